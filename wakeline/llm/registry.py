@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import bpe, line_dedup, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
+from wakeline.llm import bpe, line_dedup, media, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
 from wakeline.session import table
 
 
@@ -26,6 +26,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), keep_bytes=False).drop("kept")
 
 
+def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.copies(media.drawn(table(spark, sf_dir, "embeddings")))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -62,6 +66,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_media": op3_media,
     "op4_bpe": op4_bpe,
     "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
@@ -75,3 +80,13 @@ ORACLE_SQL = {
     "op9_sharding": sharding.sql(),
     "op10_quality": quality.sql(),
 }
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this subpackage
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+def queries() -> dict:
+    return QUERIES | {"pipeline": pipeline}
