@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.llm import bpe, line_dedup, media, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
-from wakeline.session import table
+from wakeline.session import settle, table
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -18,6 +18,7 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     lines = pages.select("page_id", line_dedup.host_of(F.col("url")).alias("host"), line_dedup.page_text(F.col("html")).alias("text"))
+    lines = settle(lines)  # counted and filtered: the markup is taken apart once
     out = line_dedup.drop_boilerplate(lines, "host")
     return out.select("page_id", "host", "n_lines", "n_dropped", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
