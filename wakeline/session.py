@@ -26,13 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own_folder: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; where that is unset (tests), one made here."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not _own_folder:
+        _own_folder.append("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
+    return _own_folder[0]
 
 
 def settle(df: DataFrame) -> DataFrame:
