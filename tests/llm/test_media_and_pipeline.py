@@ -8,6 +8,7 @@ import corpus_pipeline
 from tests.llm.test_simhash import classes, plain
 from wakeline.llm import media, mixing
 from wakeline.llm.registry import op3_media, queries
+from wakeline.session import shared_folder
 
 SF = "/root/testdata/sf0.001"
 
@@ -56,7 +57,7 @@ def test_pipeline_stages_against_plain_forms(spark):
     kept = []
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
-        path = spark.conf.get("spark.checkpoint.dir") + f"/{name.replace(' ', '-')}-{len(kept)}-{id(out)}"
+        path = f"{shared_folder(spark)}/{name.replace(' ', '-')}-{len(kept)}-{id(out)}"
         out.write.parquet(path)
         kept.append((name, docs, spark.read.parquet(path)))
         docs = kept[-1][2]
