@@ -18,7 +18,7 @@ def test_odd_rows_and_missing_labels(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.fit(odd_docs, none) == 0.0
     assert [r.predicted for r in toxicity.score(odd_docs, 0.0).collect()] == [0] * odd_docs.count()
-    docs = spark.createDataFrame([(k, f"you {'idiot' if k % 2 else 'friend'} number {k} said {k * 7} words") for k in range(400)], "doc_id long, text string")
+    docs = spark.createDataFrame([(k, f"w{k // 2 % 40} {'idiot' if k % 2 else 'friend'} number {k} said {k * 7} words") for k in range(400)], "doc_id long, text string")
     labels = spark.createDataFrame([(k, 1, k % 2) for k in range(400)] + [(1, 1, 1), (None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
     model = toxicity.fit(docs, labels)
     out = toxicity.score(odd_docs, model)
