@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from wakeline.operators import boxes, matching, rollup, signals, tracks
 from wakeline.plans import fixtures as fx
-from wakeline.session import table
+from wakeline.session import new_folder, table
+from wakeline.sources import readers, writers
+from wakeline.streaming import replay
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -248,3 +250,77 @@ def overlay_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_success(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").where("role = 'assistant'")
     return c.groupBy("conv_id").agg(F.min("turn").alias("turn"), F.min_by(F.length("text").cast("long"), "turn").alias("n"))
+
+
+@query("""WITH o AS (SELECT user_id, event_id, epoch_us(ts) AS t FROM events), g AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) > 86400000000 THEN 1 ELSE 0 END AS fresh FROM o),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id AS source, count(*) AS n, min(event_id) AS first_obs, max(event_id) AS last_obs FROM s GROUP BY user_id, k""")
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("source"), "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    stream = replay.staged(replay.with_last_row(e, "ts", "10 days"))
+    found = [F.count("*").alias("n"), F.min("event_id").alias("first_obs"), F.max("event_id").alias("last_obs")]
+    return replay.replay(spark, replay.gap_sessions(stream, "source", "ts", "1 day", "1 hour", found)).drop("span")
+
+
+@query("""SELECT r.user_id AS key, r.event_id AS rear_id, f.event_id AS front_id FROM events r JOIN events f ON r.user_id = f.user_id AND abs(epoch_us(r.ts) - epoch_us(f.ts)) <= 21600000000
+WHERE r.event_type = 'click' AND f.event_type = 'view'""")
+def stream_lane_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), "event_id", "event_type", F.col("ts").cast("timestamp").alias("t"))
+    side = lambda kind, name: replay.staged(e.where(F.col("event_type") == kind).select("key", F.col("event_id").alias(name), "t"))
+    return replay.replay(spark, replay.interval_matches(side("click", "rear_id"), side("view", "front_id"), "6 hours", "1 hour"))
+
+
+@query(f"WITH {fx.FILES_SQL} SELECT * FROM files")
+def manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark)
+    files = fx.files(spark, sf_dir)
+    writers.delimited(files, path, files.columns, "\t")
+    return readers.manifest(spark, path)
+
+
+@query(f"WITH {fx.OBSERVATIONS_SQL} SELECT source, camera, session, count(*) AS n FROM obs GROUP BY source, camera, session")
+def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark)
+    sessions = fx.observations(spark, sf_dir).groupBy("source", "camera", "session").agg(F.count("*").alias("n"))
+    writers.json_lines(sessions.groupBy("source", "camera").agg(F.collect_list(F.struct("session", "n")).alias("events")), path)
+    docs = readers.json_lines(spark, path, "source long, camera string, events array<struct<session:long,n:long>>")
+    return readers.events_of(docs, ["source", "camera"])
+
+
+@query(f"""SELECT key, count(*) FILTER (reason IS NULL) AS accepted, count(*) FILTER (reason = 'no_match') AS no_match, count(*) FILTER (reason = 'too_short') AS too_short FROM ({ORACLE_SQL["clip_plan"]}) GROUP BY key""")
+def skip_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reason = F.col("reason")
+    counts = [F.count_if(reason.isNull()).alias("accepted"), F.count_if(reason == "no_match").alias("no_match"), F.count_if(reason == "too_short").alias("too_short")]
+    return clip_plan(spark, sf_dir).groupBy("key").agg(*counts)
+
+
+@query(f"""SELECT count(*) FILTER (confirmed) AS confirmed, count(*) FILTER (NOT confirmed) AS rejected, count(*) FILTER (strong) AS strong FROM ({ORACLE_SQL["review_evidence"]})""")
+def review_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = review_evidence(spark, sf_dir)
+    return r.agg(F.count_if("confirmed").alias("confirmed"), F.count_if(~F.col("confirmed")).alias("rejected"), F.count_if("strong").alias("strong"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, 'combined' AS origin FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+UNION ALL SELECT l_orderkey, l_linenumber, 'review' FROM lineitem WHERE l_returnflag = 'N' AND l_quantity > 30 AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')""")
+def publish_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    items = table(spark, sf_dir, "lineitem").withColumn("confirmed", (F.col("l_returnflag") == "N") & (F.col("l_quantity") > 30))
+    valid = lambda s: o.withColumn("valid", F.col("o_orderstatus") == s)
+    return rollup.publish_list(items, valid("F"), items, valid("O"), "l_orderkey", ("l_linenumber",))
+
+
+@query("""WITH b AS (SELECT l_orderkey, list_sort(list_distinct(list(e))) AS below FROM (SELECT l_orderkey, unnest([CASE WHEN l_quantity > 45 THEN 'quantity' END, CASE WHEN l_discount >= 0.09 THEN 'discount' END]) AS e FROM lineitem) WHERE e IS NOT NULL GROUP BY l_orderkey)
+SELECT o_orderkey AS l_orderkey, errors, len(errors) = 0 AS valid FROM (SELECT o_orderkey, list_concat(CASE WHEN o_totalprice <= 400000 THEN []::VARCHAR[] ELSE ['price'] END, coalesce(below, []::VARCHAR[])) AS errors FROM orders LEFT JOIN b ON o_orderkey = l_orderkey)""")
+def combined_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    rules = {"quantity": F.col("l_quantity") <= 45, "discount": F.col("l_discount") < 0.09}
+    return rollup.validated_groups(o, table(spark, sf_dir, "lineitem"), "l_orderkey", {"price": F.col("o_totalprice") <= 400000}, rules)
+
+
+@query("""WITH l AS (SELECT user_id, max(epoch_us(ts)) FILTER (event_type = 'view') / 3600e6 AS last_beat, min(epoch_us(ts)) / 3600e6 AS started FROM events GROUP BY user_id)
+SELECT user_id AS key, round(last_beat, 6) AS last_beat, 474000 - coalesce(last_beat, started) > 300 AS silent FROM l""")
+def heartbeat_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), F.expr(fx._MICROS).alias("us"), "event_type")
+    starts = e.groupBy("key").agg((F.min("us") / 3600e6).alias("started"))
+    beats = e.where("event_type = 'view'").select("key", (F.col("us") / 3600e6).alias("at"))
+    return rollup.watchdog(starts, beats, "key", F.lit(474000.0), 300.0).withColumn("last_beat", F.round("last_beat", 6))

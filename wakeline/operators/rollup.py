@@ -70,6 +70,34 @@ def schedulable(keys: DataFrame, done: DataFrame, active: DataFrame, ready: Data
     return keys.join(done, key, "left_anti").join(active, key, "left_anti").join(ready, key, "left_semi")
 
 
+def watchdog(starts: DataFrame, beats: DataFrame, key: str, now: Column, limit: float) -> DataFrame:
+    """key, last_beat, silent: more than limit since the last beat or, without one, since the start.
+
+    starts: key, started; beats: key, at; all times are numbers of one unit.
+    """
+    last = beats.groupBy(key).agg(F.max("at").alias("last_beat"))
+    since = now - F.coalesce("last_beat", "started")
+    return starts.join(last, key, "left").select(key, "last_beat", (since > limit).alias("silent"))
+
+
+def publish_list(clips: DataFrame, combined: DataFrame, reviews: DataFrame, reviewed: DataFrame, key: str, clip: tuple[str, ...]) -> DataFrame:
+    """All clips of valid combined keys and, of valid reviews, the confirmed ones: key, the clip's columns, origin."""
+    a = clips.join(combined.where("valid").select(key), key, "left_semi").select(key, *clip, F.lit("combined").alias("origin"))
+    b = reviews.where("confirmed").join(reviewed.where("valid").select(key), key, "left_semi")
+    return a.unionByName(b.select(key, *clip, F.lit("review").alias("origin")))
+
+
+def validated_groups(heads: DataFrame, rows: DataFrame, key: str, head_rules: dict[str, Column], row_rules: dict[str, Column]) -> DataFrame:
+    """key, errors, valid: a key fails by its own rules and by the rules that any of its rows fails.
+
+    Rows fail by name, so a key holds each name once however many rows it has.
+    """
+    head = validated(heads, head_rules).select(key, F.col("errors").alias("own"))
+    bad = validated(rows, row_rules).select(key, F.explode("errors").alias("e")).groupBy(key).agg(F.collect_set("e").alias("below"))
+    errors = F.concat("own", F.sort_array(F.coalesce("below", F.array().cast("array<string>"))))
+    return head.join(bad, key, "left").select(key, errors.alias("errors"), (F.size(errors) == 0).alias("valid"))
+
+
 def validated(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """df with errors (the names of failed rules; a rule without a value fails) and valid."""
     failed = F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items())))

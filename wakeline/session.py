@@ -39,6 +39,10 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[0]
 
 
+def new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back.
 
