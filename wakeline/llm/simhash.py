@@ -155,7 +155,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     joined = labels.join(distinct.withColumnRenamed("fp", "node"), "node")
     roots = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
     linked = joined.select("node", "component").join(roots, "component").select(F.col("node").alias("fp"), "component_id")
-    of_print = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    # written, so that both sides of the last join are plain shuffles and Spark splits the rows of a hot fingerprint
+    of_print = settle(distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
     return prints.join(of_print, "fp").select(id_col, "fp", "component_id")
 
 
