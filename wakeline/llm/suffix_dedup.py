@@ -225,7 +225,8 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = _keyed(df, id_col, text_col)
     all_pieces = _pieces(keyed, length, gram)
     anchors = all_pieces.groupBy("kh").agg(F.count("*").alias("c"), F.min("ph").alias("least"), F.max("ph").alias("most"))
-    anchors = anchors.where("c > 1").select("kh", (F.col("least") == F.col("most")).alias("equal"))
+    # written, so that both sides of the join are plain shuffles and Spark splits a hot anchor's rows
+    anchors = settle(anchors.where("c > 1").select("kh", (F.col("least") == F.col("most")).alias("equal")))
     met = settle(all_pieces.join(anchors, "kh"))
 
     mixed = met.where("not equal")
