@@ -38,11 +38,25 @@ def test_hamming_tables_equal_brute_force(spark):
     votes = {}
     for p in rows:
         for q in rows:
-            if p.image < q.image and p.scale == q.scale and sum(((p[k] ^ q[k]) & 0xFFFFFFFF).bit_count() for k in range(4, 8)) <= media.MAX_BITS:
+            if p.image < q.image and p.scale == q.scale and sum(((p[k] ^ q[k]) & (2**64 - 1)).bit_count() for k in range(4, 8)) <= media.MAX_BITS:
                 votes.setdefault((p.image, q.image, p.scale, p.x - q.x, p.y - q.y), set()).add((p.x, p.y))
     assert got == {k[:2] for k, v in votes.items() if len(v) >= media.MIN_VOTES}
 
 
+def test_noise_crop_and_brightness_keep_the_link(spark):
+    rnd = np.random.default_rng(5)
+    some = media.drawn(spark.read.parquet(f"{SF}/embeddings.parquet").where("vec_id % 10 < 9 and vec_id < 60")).collect()
+    grey = {r.image_id: np.frombuffer(r.pixels, np.uint8).reshape(r.height, r.width) for r in some}
+    rows = []
+    for k, g in grey.items():
+        noisy = (g.astype(int) + rnd.integers(-1, 2, g.shape)).clip(0, 255)
+        cut = (g[4:, 6:] * 0.8 + 20).astype(int)
+        rows += [(k + 1000 * n, v.shape[1], v.shape[0], bytearray(v.astype(np.uint8).tobytes())) for n, v in enumerate((g, noisy, cut))]
+    got = {r.image_id: r.class_id for r in media.copies(spark.createDataFrame(rows, "image_id long, width int, height int, pixels binary")).collect()}
+    linked = [got[k] == got[k + 1000 * n] for k in grey for n in (1, 2)]
+    assert sum(linked) >= 0.95 * len(linked)
+
+
 def test_odd_images(spark):
     flat, tiny = bytes(64 * 64), bytes(9)
     rows = [(1, 64, 64, flat, "x"), (2, 64, 64, flat, "x"), (3, 3, 3, tiny, None), (4, None, None, None, None), (5, 2, 2, tiny, None), (6, 0, 0, b"", None), (None, 64, 64, None, None)]
