@@ -33,7 +33,9 @@ def test_query_finds_the_edited_copies(spark):
 def test_hamming_tables_equal_brute_force(spark):
     images = media.drawn(spark.read.parquet(f"{SF}/embeddings.parquet").where("vec_id < 24")).withColumnRenamed("image_id", "image")
     found = media.descriptors(images).collect()
-    got = {(r.a, r.b) for r in media.linked(spark.createDataFrame(found)).collect()}
+    points = spark.createDataFrame(found)
+    got = {(r.a, r.b) for r in media.linked(points).collect()}
+    assert got == {(r.a, r.b) for r in media.linked(points, common=0).collect()} == {(r.a, r.b) for r in media.linked(points, common=10**6).collect()}
     rows = [P(*r) for r in found]
     votes = {}
     for p in rows:
