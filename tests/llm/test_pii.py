@@ -67,3 +67,25 @@ def test_contexts_find_what_the_patterns_miss(spark):
     assert [(s.kind, t[s.start : s.end]) for s in got[100]] == [("card", "4111111111111199")]
     assert not any(got[k] for k in got if k != 100)
     assert {r.doc_id: r.text for r in pii.redact(df).collect()}[100] == "so my card number [card], fine"
+
+
+def test_contexts_of_numbers_with_spaces(spark):
+    seeds = [(k, f"v{k} please call me +1 ({100 + k}) 555-{1000 + k} today") for k in range(12)]
+    cards = [f"411111111111{k:04d}" for k in range(200)]
+    cards = [f"{c[:4]} {c[4:8]} {c[8:12]} {c[12:]}" for c in cards if luhn(c)]
+    seeds += [(50 + k, f"so pay by {c} now") for k, c in enumerate(cards)]
+    want = {
+        200: ("oh call me 555 123 4567, thanks", "phone", "555 123 4567"), 201: ("oh call me (555) 123-4567.", "phone", "(555) 123-4567"), 202: ("or call me 0171-5557713 first", "phone", "0171-5557713"),
+        203: ("we pay by 4111 1111 1111 1199 then", "card", "4111 1111 1111 1199"), 204: ("we pay by 4111111111111199 12 times", "card", "4111111111111199"), 205: ("I pay by 4111-1111-1111-1199", "card", "4111-1111-1111-1199"),
+    }
+    none = [(300, "there are 555 123 4567 of them"), (301, "call me 12 times, pay by 4 or 5"), (302, "call me at 10.0.0.1 10.0.0.2")]
+    df = spark.createDataFrame(seeds + [(k, t) for k, (t, _, _) in want.items()] + none, "doc_id long, text string")
+    got = {r.doc_id: r.found for r in pii.find(df).collect()}
+    assert {k: [(s.kind, t[s.start : s.end]) for s in got[k]] for k, (t, _, _) in want.items()} == {k: [(kind, x)] for k, (_, kind, x) in want.items()}
+    assert not any(got[k] for k in got if k not in want)
+
+
+def test_values_are_whole_numbers(spark):
+    df = spark.createDataFrame([(1, "call me +1 (017) 555-7713"), (2, "pay by 4111 1111 1111 1111"), (3, "call me 1 017 555 7713"), (4, "see 192.168.100.200 10 a@b.c")], "_id long, _text string")
+    base = pii.base_spans(df.selectExpr("*", "_id as _h"), "_text")
+    assert sorted((r["_id"], r.value, r.kind) for r in pii._token_rows(base).collect()) == [(1, "10175557713", "phone"), (2, "4111111111111111", "card"), (3, "10175557713", None), (4, "192.168.100.200", "ip")]

@@ -4,9 +4,10 @@ Base: leftmost, non-overlapping matches of one pattern for each kind, with check
 Luhn sums, digit counts); a match that fails is dropped. Possessive groups keep the patterns linear and off the
 stack, and match what the plain forms match.
 
-Contexts: an identifier-like token is a run of non-space characters with a digit or an at sign; its
-pattern is the two words before it. Tokens in base matches are seeds. Over the graph of patterns and
-token values, ROUNDS times: a pattern's confidence in a kind is the summed score of its values of that kind over
+Contexts: an identifier-like token is a run of non-space characters with a digit or an at sign, numbers go on over
+single spaces, brackets, dots and hyphens ("+1 (017) 555-7713" is one); its pattern is the two words before it. A base
+match that begins in a token's first word makes it a seed, whose value is the whole match. Card and phone numbers
+count by their digits, however they are grouped. Over the graph of patterns and values, ROUNDS times: a pattern's confidence in a kind is the summed score of its values of that kind over
 (its distinct values + 1), from MIN_SEEDS values on; a value's score is one less the product of its patterns' doubts.
 Tokens that stand after a pattern of confidence MIN_CONFIDENCE and have the shape of the kind are added.
 All sums aggregate partially, so a frequent pattern or value does not gather in one task.
@@ -36,8 +37,12 @@ PATTERNS = {
 }
 _BYTE = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _SPACE = r"\x20\x09-\x0D"
-_TOKEN = rf"(?<![^{_SPACE}])[^0-9@{_SPACE}]*+[0-9@][^{_SPACE}]*+"
-#: Shape of a token that a context may add, per kind.
+_TOKEN = rf"(?<![^{_SPACE}])(?:[^0-9A-Za-z@+(:{_SPACE}]*+[+(]{{0,2}}+[0-9][0-9().-]*+(?:\x20[(]?[0-9][0-9().-]*+)*+[^{_SPACE}]*+|[^0-9@{_SPACE}]*+[0-9@][^{_SPACE}]*+)"
+#: Numbers at the start of a token, to the end of one of its words. One whole word of that many digits ends there.
+_WORD_END = r"(?=[^0-9A-Za-z@\x20]*(?:\x20|$))"
+_CARD = (rf"^[0-9](?:[.-]?[0-9]){{12,18}}{_WORD_END}", rf"^[0-9](?:[\x20.-]?[0-9]){{12,18}}{_WORD_END}")
+_PHONE = (rf"^[+(]{{0,2}}[0-9](?:[().-]*[0-9]){{9,14}}{_WORD_END}", rf"^[+(]{{0,2}}[0-9](?:[\x20().-]*[0-9]){{6,14}}{_WORD_END}")
+#: Shape of a value that a context may add, per kind.
 SHAPES = {
     "email": r"^[^@]+@[^@]+\.[^@]+$",
     "ip": r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$|^[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){3,7}$",
@@ -118,20 +123,34 @@ def base_spans(df: DataFrame, text_col: str) -> DataFrame:
     return df.drop("_t", "_number", *(f"_p_{k}" for k in (*KINDS, "token")))
 
 
+def _number(body: Column) -> Column:
+    """The card or phone number that a token begins with, as written; the longer if it can be both, else empty."""
+    first = lambda of: F.coalesce(*(F.nullif(F.regexp_extract(body, p, 0), F.lit("")) for p in of), F.lit(""))
+    return _bind(first(_CARD), lambda c: _bind(first(_PHONE), lambda p: F.when(F.length(c) >= F.length(p), c).otherwise(p)))
+
+
 def _token_rows(base: DataFrame) -> DataFrame:
-    """_id, _h, start, end, pattern, value and kind: null for tokens in no base span; only first tokens of spans seed."""
+    """_id, _h, start, end, pattern, value and kind: null for tokens in no base span; a span seeds where its first word is a token's first."""
     rows = base.where(F.size("_tokens") > 0).select("_id", "_h", *KINDS, F.explode("_tokens").alias("t"))
-    meets = lambda s: (s["start"] < F.col("t.end")) & (s["end"] > F.col("t.start"))
-    begins = lambda s: (s["start"] >= F.col("t.start")) & (s["start"] < F.col("t.end"))
+    lead = F.regexp_extract("t.value", r"^[^0-9A-Za-z@+(:]*", 0)
+    rows = rows.withColumns({"_start": F.col("t.start") + F.length(lead), "_body": F.substr("t.value", F.length(lead) + 1), "_stop": F.col("t.start") + F.length(F.substring_index("t.value", " ", 1))})
+    rows = rows.withColumns({"_first": F.regexp_replace(F.substring_index("_body", " ", 1), r"[^0-9A-Za-z:]+$", ""), "_digits": _number(F.col("_body"))})
+    begins = lambda s: (s["start"] >= F.col("t.start")) & (s["start"] < F.col("_stop"))
+
+    def meets(start: Column, end: Column) -> Column:
+        out = F.lit(False)
+        for k in KINDS:
+            out = out | F.exists(k, lambda s: (s["start"] < end) & (s["end"] > start))
+        return out
+
     kind = F.coalesce(*(F.when(F.exists(k, begins), F.lit(k)) for k in KINDS))
-    inside = F.lit(False)
-    for k in KINDS:
-        inside = inside | F.exists(k, meets)
+    whole = {k: F.get(F.filter(k, begins), 0)["value"] for k in KINDS}
+    seed = F.coalesce(*(_digits(v) if k in ("card", "phone") else v for k, v in whole.items()))
+    number = (F.col("_digits") != "") & ~F.col("_first").rlike(SHAPES["ip"]) & ~meets(F.col("_start"), F.col("_start") + F.length("_digits"))
+    written = F.when(number, F.col("_digits")).otherwise(F.col("_first"))
+    value = F.coalesce(seed, F.when(number, _digits(F.col("_digits"))).otherwise(F.col("_first")))
     near = F.regexp_replace(F.lower(F.right(F.col("t.before"), F.lit(80))), rf"[{_SPACE}]+", " ")
-    lead = F.regexp_extract("t.value", r"^[^0-9A-Za-z@+(:]*", 0)
-    value = F.regexp_replace(F.regexp_replace("t.value", r"^[^0-9A-Za-z@+(:]*", ""), r"[^0-9A-Za-z:]+$", "")
-    start = F.col("t.start") + F.length(lead)
-    rows = rows.select("_id", "_h", start.alias("start"), (start + F.length(value)).alias("end"), F.substring_index(F.btrim(near), " ", -2).alias("pattern"), value.alias("value"), kind.alias("kind"), inside.alias("inside"))
+    rows = rows.select("_id", "_h", F.col("_start").alias("start"), (F.col("_start") + F.length(written)).alias("end"), F.substring_index(F.btrim(near), " ", -2).alias("pattern"), value.alias("value"), kind.alias("kind"), meets(F.col("t.start"), F.col("_stop")).alias("inside"))
     return rows.where((F.col("kind").isNotNull() | ~F.col("inside")) & (F.col("value") != "") & (F.col("pattern") != ""))
 
 
