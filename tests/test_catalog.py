@@ -35,3 +35,49 @@ def test_greedy_groups_equal_the_whole(spark):
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL)))
 def test_other_queries_run(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() > 0
+
+
+def test_nms_keeps_sources_and_moments_apart(spark):
+    from wakeline.operators import boxes
+
+    sides = (0.1, 0.1, 0.4, 0.4)
+    rows = [(s, t, c, 100 * s + 10 * t + i, 0.9 - i / 10, *sides) for s in (1, 2) for t in (0, 1) for c in (3,) for i in range(3)]
+    df = spark.createDataFrame(rows, "source long, frame long, class_id int, box_id long, score double, left double, top double, right double, bottom double")
+    assert sorted(r.box_id for r in boxes.nms(df).collect()) == [100, 110, 200, 210]
+    from wakeline.plans import fixtures as fx
+
+    frames = {(r.source, r.ts, r.class_id) for r in fx.observations(spark, SF).collect()}
+    assert frames == {(r.source, r.frame, r.class_id) for r in catalog.nms(spark, SF).collect()}
+
+
+def test_groups_across_batches():
+    import pandas as pd
+
+    from wakeline.operators.groups import whole_groups
+
+    rows = pd.DataFrame({"k": [1, 1, 1, 2, None, None, 3, 4, 4, 4, 4, 4], "v": range(12)})
+    for cut in (1, 2, 3, 5, 12):
+        got = []
+        for g, at in whole_groups((rows.iloc[i : i + cut] for i in range(0, 12, cut)), ["k"]):
+            got += [g["v"].iloc[i:j].tolist() for i, j in zip(at[:-1], at[1:], strict=True)]
+        assert got == [[0, 1, 2], [3], [4, 5], [6], [7, 8, 9, 10, 11]]
+
+
+def test_best_bias_equals_lists_without_making_them(spark):
+    import statistics
+
+    rear = [("a", k, k * 7.0 + k * k % 5 / 10) for k in range(40)] + [("b", 100, 3.0), ("c", 101, 1.0)]
+    front = [("a", k, k * 7.0 - 2.5) for k in range(40)] + [("b", 100, 50.0)]
+    r, f = (spark.createDataFrame(x, f"key string, {n} long, t double") for x, n in ((rear, "rear_id"), (front, "front_id")))
+    out = matching.best_bias(r, f, 1.5, 20.0)
+    want = {}
+    for key, bias in {tuple(x) for x in matching.candidates(r, f, 20.0).collect()}:
+        lists = [[(t, i) for k, i, t in side if k == key] for side in (rear, front)]
+        m = matching.greedy(*lists, bias, 1.5) if all(lists) else None
+        if m is not None:
+            offsets = [x for _, _, x in m]
+            rank = (-len(m), round(sum(abs(x - bias) for x in offsets), 6), abs(bias), bias)
+            mine = (rank, (bias, len(m), statistics.median(offsets) if m else 0.0))
+            want[key] = min(want.get(key, mine), mine)
+    assert {x.key: (x.bias, x.matches, round(x.refined, 6)) for x in out.collect()} == {k: (*v[1][:2], round(v[1][2], 6)) for k, v in want.items()}
+    assert "collect_list" not in out._jdf.queryExecution().toString()

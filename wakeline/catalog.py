@@ -205,8 +205,8 @@ def box_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def nms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = fx.observations(spark, sf_dir).select(F.floor("ts").alias("frame"), "class_id", F.col("obs_id").alias("box_id"), F.col("confidence").alias("score"), *boxes.SIDES)
-    return boxes.nms(o).select("frame", "class_id", "box_id")
+    o = fx.observations(spark, sf_dir).select("source", F.col("ts").alias("frame"), "class_id", F.col("obs_id").alias("box_id"), F.col("confidence").alias("score"), *boxes.SIDES)
+    return boxes.nms(o).select("source", "frame", "class_id", "box_id")
 
 
 @query("""WITH e AS (SELECT vec_id, unnest(range(4)) AS side, embedding FROM embeddings), v AS (SELECT vec_id, side, list_transform(embedding[side * 16 + 1:side * 16 + 16], lambda x: exp(x::DOUBLE)) AS w FROM e)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wakeline.operators.groups import whole_groups
+
 SIDES = ("left", "top", "right", "bottom")
 
 
@@ -33,15 +34,20 @@ def suppress(left, top, right, bottom, order, threshold: float) -> np.ndarray:
     return keep
 
 
-def nms(boxes: DataFrame, threshold: float = 0.45, keys: tuple[str, ...] = ("frame", "class_id")) -> DataFrame:
-    """The boxes of each frame and class that stay; a group is one frame's boxes, which a camera bounds."""
+def nms(boxes: DataFrame, threshold: float = 0.45, keys: tuple[str, ...] = ("source", "frame", "class_id")) -> DataFrame:
+    """The boxes of each source's frame and class that stay; a group is one frame's boxes, which a camera bounds."""
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["score", "box_id"], ascending=[False, True], kind="stable")
-        cols = [g[s].to_numpy() for s in SIDES]
-        return g[suppress(*cols, np.arange(len(g)), threshold)]
+    def run(batches):
+        for g, at in whole_groups(batches, list(keys)):
+            keep = np.ones(len(g), bool)
+            cols = [g[s].to_numpy() for s in SIDES]
+            for k in np.flatnonzero(np.diff(at) > 1):
+                own = slice(at[k], at[k + 1])
+                keep[own] = suppress(*(c[own] for c in cols), np.arange(at[k + 1] - at[k]), threshold)
+            yield g[keep]
 
-    return boxes.groupBy(*keys).applyInPandas(run, boxes.schema)
+    rows = boxes.repartition(*keys).sortWithinPartitions(*keys, F.desc("score"), "box_id")
+    return rows.mapInPandas(run, boxes.schema)
 
 
 def anchor_grid(spark: SparkSession, size: int = 640, strides: tuple[int, ...] = (8, 16, 32)) -> DataFrame:

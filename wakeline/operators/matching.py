@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wakeline.operators.groups import whole_groups
+from wakeline.session import settle
+
 
 def nearest(rear: DataFrame, front: DataFrame, tolerance: float, key: str = "key") -> DataFrame:
     """Each rear row (key, rear_id, t) with the front row (key, front_id, t) nearest within tolerance.
@@ -41,29 +44,44 @@ def greedy(rear: list[tuple[float, int]], front: list[tuple[float, int]], bias:
     return out
 
 
-def _both(rear: DataFrame, front: DataFrame, key: str, bias: float) -> DataFrame:
-    r = rear.select(key, F.col("rear_id").alias("id"), F.lit(True).alias("is_rear"), "t", (F.col("t") - bias).alias("target"))
-    return r.unionByName(front.select(key, F.col("front_id").alias("id"), F.lit(False).alias("is_rear"), "t", F.col("t").alias("target")))
+def _both(rear: DataFrame, front: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of both sides, with the bias that each is to be matched at."""
+    r = rear.select(*keys, F.col("rear_id").alias("id"), F.lit(True).alias("is_rear"), "t", F.col("bias").alias("_bias"), (F.col("t") - F.col("bias")).alias("target"))
+    return r.unionByName(front.select(*keys, F.col("front_id").alias("id"), F.lit(False).alias("is_rear"), "t", F.col("bias").alias("_bias"), F.col("t").alias("target")))
 
 
-def greedy_pairs(rear: DataFrame, front: DataFrame, tolerance: float, bias: float = 0.0, key: str = "key") -> DataFrame:
-    """key, rear_id, front_id, offset of the greedy one-to-one matching in each key.
+def _matched(rows: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
+    """keys, rear_id, front_id, offset of the greedy matching in each group of keys.
 
-    Rows of a key further apart than the tolerance cannot compete, so each key falls at such gaps into
-    groups, and a key with very many rows is matched by many tasks.
+    Rows further apart than the tolerance cannot compete, so keys fall at such gaps into groups, and keys
+    with very many rows are matched by many tasks. Rows between two gaps are matched in one task.
     """
-    w = Window.partitionBy(key).orderBy("target", "is_rear", "id")
-    rows = _both(rear, front, key, bias).withColumn("_gap", F.coalesce((F.col("target") - F.lag("target").over(w) > tolerance).cast("int"), F.lit(0)))
+    w = Window.partitionBy(*keys).orderBy("target", "is_rear", "id")
+    rows = rows.withColumn("_gap", F.coalesce((F.col("target") - F.lag("target").over(w) > tolerance).cast("int"), F.lit(0)))
     rows = rows.withColumn("_group", F.sum("_gap").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_gap", "target")
+    own = [*keys, "_group"]
+    sides = [F.count_if(s).over(Window.partitionBy(*own)) for s in (F.col("is_rear"), ~F.col("is_rear"))]
+    rows = rows.withColumns({"_rear": sides[0], "_front": sides[1]}).where("_rear > 0 and _front > 0").drop("_rear", "_front")
+
+    def match(batches):
+        for g, at in whole_groups(batches, own):
+            out = []
+            cols = [g[c].tolist() for c in ("t", "id", "is_rear", "_bias")]
+            names = list(zip(*(g[k].tolist() for k in keys), strict=True))
+            for i, j in zip(at[:-1], at[1:], strict=True):
+                here = list(zip(*(c[i:j] for c in cols), strict=True))
+                lists = [[(t, k) for t, k, is_rear, _ in here if is_rear == s] for s in (True, False)]
+                out += [(*names[i], *m) for m in greedy(*lists, cols[3][i], tolerance)]
+            yield pd.DataFrame(out, columns=[*keys, "rear_id", "front_id", "offset"])
 
-    def match(g: pd.DataFrame) -> pd.DataFrame:
-        sides = [list(g.loc[g["is_rear"] == s, ["t", "id"]].itertuples(index=False, name=None)) for s in (True, False)]
-        out = pd.DataFrame(greedy(*sides, bias, tolerance), columns=["rear_id", "front_id", "offset"])
-        return out.assign(**{key: g[key].iloc[0]})[[key, "rear_id", "front_id", "offset"]]
+    kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
+    return rows.repartition(*own).sortWithinPartitions(*own).mapInPandas(match, f"{kinds}, rear_id long, front_id long, offset double")
 
-    kind = rear.schema[key].dataType.simpleString()
-    both = rows.withColumn("_sides", F.count_if("is_rear").over(Window.partitionBy(key, "_group")) * F.count_if(~F.col("is_rear")).over(Window.partitionBy(key, "_group")))
-    return both.where("_sides > 0").drop("_sides").groupBy(key, "_group").applyInPandas(match, f"`{key}` {kind}, rear_id long, front_id long, offset double")
+
+def greedy_pairs(rear: DataFrame, front: DataFrame, tolerance: float, bias: float = 0.0, key: str = "key") -> DataFrame:
+    """key, rear_id, front_id, offset of the greedy one-to-one matching in each key."""
+    sides = [x.withColumn("bias", F.lit(float(bias))) for x in (rear, front)]
+    return _matched(_both(*sides, [key]), [key], tolerance)
 
 
 def candidates(rear: DataFrame, front: DataFrame, bound: float, key: str = "key") -> DataFrame:
@@ -82,23 +100,13 @@ def candidates(rear: DataFrame, front: DataFrame, bound: float, key: str = "key"
 def best_bias(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, key: str = "key") -> DataFrame:
     """key, bias, matches, refined: the bias with most greedy matches, then least residue, then least size.
 
-    Each candidate is scored in a group of its own: candidates spread over tasks.
+    Candidates are matched as rows of their key and bias, which fall apart at gaps: no list of a key's events is made.
     """
-    sides = rear.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("t", "rear_id"))).alias("rear"))
-    sides = sides.join(front.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("t", "front_id"))).alias("front")), key)
-    tasks = candidates(rear, front, bound, key).join(sides, key)
-
-    def scored(batches):
-        for b in batches:
-            out = []
-            for k, bias, r, f in zip(b[key], b["bias"], b["rear"], b["front"], strict=True):
-                rows = [[(x["t"], x[i]) for x in side] for side, i in ((r, "rear_id"), (f, "front_id"))]
-                m = greedy(*rows, bias, tolerance)
-                out.append((k, bias, len(m), round(sum(abs(x - bias) for _, _, x in m), 6), float(pd.Series([x for _, _, x in m]).median()) if m else 0.0))
-            yield pd.DataFrame(out, columns=[key, "bias", "matches", "residue", "refined"])
-
-    kind = rear.schema[key].dataType.simpleString()
-    done = tasks.repartition(key, "bias").mapInPandas(scored, f"`{key}` {kind}, bias double, matches long, residue double, refined double")
+    tasks = settle(candidates(rear, front, bound, key).join(front.select(key).distinct(), key, "left_semi"))
+    pairs = _matched(_both(rear.join(tasks, key), front.join(tasks, key), [key, "bias"]), [key, "bias"], tolerance)
+    size = F.round(F.sum(F.abs(F.col("offset") - F.col("bias"))), 6)
+    scored = pairs.groupBy(key, "bias").agg(F.count("*").alias("matches"), size.alias("residue"), F.median("offset").alias("refined"))
+    done = tasks.join(scored, [key, "bias"], "left").na.fill({"matches": 0, "residue": 0.0, "refined": 0.0})
     rank = F.struct(-F.col("matches"), F.col("residue"), F.abs("bias"), F.col("bias"))
     return done.groupBy(key).agg(F.min_by(F.struct("bias", "matches", "refined"), rank).alias("m")).select(key, "m.*")
 
