@@ -81,3 +81,19 @@ def test_best_bias_equals_lists_without_making_them(spark):
             want[key] = min(want.get(key, mine), mine)
     assert {x.key: (x.bias, x.matches, round(x.refined, 6)) for x in out.collect()} == {k: (*v[1][:2], round(v[1][2], 6)) for k, v in want.items()}
     assert "collect_list" not in out._jdf.queryExecution().toString()
+
+
+def test_hours_follow_the_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from wakeline.plans import fixtures as fx
+
+    e = spark.read.parquet(f"{SF}/events.parquet")
+    moved = [e.withColumn("ts", (F.col("ts") + F.expr(f"interval {d} days")).cast(e.schema["ts"].dataType)) for d in (-40, 0, 50)]
+    moved[0].unionByName(moved[1]).unionByName(moved[2]).write.parquet(f"{tmp_path}/events.parquet")
+    for kind in ("click", "view"):
+        rows = fx.hourly(spark, str(tmp_path), kind).collect()
+        assert sum(r.x for r in rows) == 3 * e.where(F.col("event_type") == kind).count()
+        idx = sorted(r.idx for r in rows)
+        assert idx == list(range(idx[0], idx[-1] + 1)) and idx[0] <= -24 * 39 and idx[-1] >= 24 * 79
+    assert catalog.detrend(spark, str(tmp_path)).count() == len(idx)

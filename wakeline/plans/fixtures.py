@@ -68,10 +68,13 @@ f AS (SELECT user_id AS key, event_id AS front_id, epoch_us(ts) / 3600e6 AS t FR
 
 
 def hourly(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Events of a kind in each of the 720 hours from the first hour of 2024 on."""
+    """Events of a kind in each hour, counted from the first one of 2024, that the events of all kinds span; at least in the 720 hours of the SQL."""
     hour = F.floor((F.expr(_MICROS) - F.lit(1704067200000000)) / 3600e6)
-    e = table(spark, sf_dir, "events").where(F.col("event_type") == kind).groupBy(hour.alias("idx")).agg(F.count("*").alias("n"))
-    return spark.range(720).select(F.col("id").alias("idx")).join(e, "idx", "left").select(F.lit(kind).alias("key"), "idx", F.coalesce("n", F.lit(0)).cast("double").alias("x"))
+    events = table(spark, sf_dir, "events")
+    e = events.where(F.col("event_type") == kind).groupBy(hour.alias("idx")).agg(F.count("*").alias("n"))
+    ends = events.agg(F.min(hour).alias("first"), F.max(hour).alias("last"))
+    hours = ends.select(F.explode(F.sequence(F.least(F.lit(0).cast("long"), "first"), F.greatest(F.lit(719).cast("long"), "last"))).alias("idx"))
+    return hours.join(e, "idx", "left").select(F.lit(kind).alias("key"), "idx", F.coalesce("n", F.lit(0)).cast("double").alias("x"))
 
 
 def hourly_sql(name: str, kind: str) -> str:
