@@ -69,4 +69,11 @@ def test_odd_rows(odd_docs, no_docs):
     kept = simhash.keep_first(odd_docs)
     assert kept.columns == odd_docs.columns
     assert kept.where(F.col("doc_id").isin(2, 4, 5)).count() == 0 and kept.where("doc_id is null").count() == 1
+    assert kept.where("doc_id = 1").count() == kept.where("doc_id = 3").count() == 1
     assert simhash.near_duplicates(no_docs).count() == 0
+
+
+def test_keep_first_judges_rows_not_ids(spark):
+    text, other = "the quick brown fox jumps over the lazy dog again", "an unrelated text about rivers and old mills in rain"
+    df = spark.createDataFrame([(1, text), (1, text), (2, text), (2, other), (2, other), (None, text), (None, "some third text that stands here without an id at all")], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.text) for r in simhash.keep_first(df).collect()), key=str) == sorted([(1, text), (2, other), (None, "some third text that stands here without an id at all")], key=str)

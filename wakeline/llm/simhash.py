@@ -11,8 +11,9 @@ spanning forest, never all pairs; a block value with more than BLOCK_ROWS finger
 chunks, and each two chunks form a task of their own.
 
 Defined results: null, empty and blank texts have fingerprint zero and are linked to each other and to
-any fingerprint within max_bits of zero. Texts under four words are one shingle. Rows with equal ids
-are all kept; null ids are ignored when the smallest id is taken.
+any fingerprint within max_bits of zero. Texts under four words are one shingle. Rows with equal ids are
+rows of their own; null ids are ignored when the smallest id is taken. keep_first() keeps one row of each
+component, also of repeated rows and of rows without an id.
 """
 
 from __future__ import annotations
@@ -147,20 +148,33 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, b
     return keys.repartition("key", "sub").sortWithinPartitions("key", "sub").mapInArrow(run, "a long, b long")
 
 
+def components(prints: DataFrame, id_col: str, max_bits: int = MAX_BITS) -> DataFrame:
+    """fp, component (one of its fingerprints) and component_id (the smallest id reachable) of each distinct fingerprint."""
+    distinct = settle(prints.groupBy("fp").agg(F.min(id_col).alias("first_id")))
+    labels = connected_components(links(distinct.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    joined = distinct.join(labels, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    roots = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    # written, so that both sides of later joins are plain shuffles and Spark splits the rows of a hot fingerprint
+    return settle(joined.join(roots, "component").select("fp", "component", "component_id"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """id_col, fp and component_id (the smallest id reachable) of each row."""
     prints = settle(fingerprints(df, id_col, text_col))
-    distinct = settle(prints.groupBy("fp").agg(F.min(id_col).alias("first_id")))
-    labels = connected_components(links(distinct.select("fp"), max_bits))
-    joined = labels.join(distinct.withColumnRenamed("fp", "node"), "node")
-    roots = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    linked = joined.select("node", "component").join(roots, "component").select(F.col("node").alias("fp"), "component_id")
-    # written, so that both sides of the last join are plain shuffles and Spark splits the rows of a hot fingerprint
-    of_print = settle(distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
-    return prints.join(of_print, "fp").select(id_col, "fp", "component_id")
+    return prints.join(components(prints, id_col, max_bits).drop("component"), "fp").select(id_col, "fp", "component_id")
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """df without the rows whose component has a smaller id; rows with a null id stay."""
-    later = near_duplicates(df, id_col, text_col, max_bits).where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
-    return df.join(later, id_col, "left_anti").select(df.columns)
+    """One row of df for each component: the one with the smallest id (null last), then the smallest fingerprint; of
+    rows that agree in both, any one, chosen by their text's digest.
+
+    Fingerprints are numbered by component, so a row is judged by its fingerprint, not by its id alone.
+    """
+    names = df.columns
+    # _n tells rows apart: it is written with them, so that it stays the same whenever they are read
+    rows = settle(df.select(F.struct(*names).alias("row"), F.monotonically_increasing_id().alias("_n")).select("row", "_n", F.col(f"row.`{id_col}`").alias("_id"), F.col(f"row.`{text_col}`").alias("_text")))
+    marked = settle(fingerprints(rows, "_n", "_text").join(rows.select("_n", "_id", F.xxhash64("_text").alias("_h")), "_n"))
+    of_print = components(marked, "_id", max_bits).select(F.col("fp").alias("_fp"), "component")
+    order = F.struct(F.col("_id").isNull().alias("last"), "_id", "fp", "_h", "_n")
+    first = marked.join(of_print, F.col("fp") == F.col("_fp")).groupBy("component").agg(F.min(order).alias("m")).select(F.col("m._n").alias("_n"))
+    return rows.join(first, "_n", "left_semi").select("row.*")
