@@ -14,9 +14,9 @@ all sources; a target stops at CAP times its source's size and the rest is share
 target = min(CAP * size, level * weight) with one level for all sources, found from running sums over
 the sources by size per weight.
 
-Defined results: documents without words take none. Rows with equal ids are documents of their own (they
-share their random digits unless their texts differ in length). One source may hold any part of the
-rows. No words at all give targets of zero; no rows give no rows.
+Defined results: documents without words take none. Rows of equal id, source and text collapse to one item
+with a multiplicity; the copies that it is given are shared out evenly among them. Other rows with equal ids
+are documents of their own. One source, or one repeated row, may hold any part of the rows. No words at all give targets of zero; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -111,35 +111,81 @@ def _settle_blocks(rows: DataFrame) -> DataFrame:
     return blocks.select("_source", "_block", F.aggregate("_items", start, meet).alias("_state")).select("_source", "_block", F.col("_state.done").alias("_done"), F.col("_state.open").alias("_open"))
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", cap: int = CAP, seed: int = 0) -> DataFrame:
-    """id_col, size, source_size, target and copies of each row. Only ids, sources and sizes are shuffled."""
-    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("t"))
-    sizes = settle(df.select(F.col(id_col), F.col(source_col).alias("_source"), n_words(F.col(text_col)).alias("size"), key.alias("_id")))
-    goal = settle(targets(sizes, "_source", cap))
+def _numbered(df: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
+    """row, _source, size and _id of each row of df. _id (id, digest of id, source and text, ordinal) names one row.
+
+    Equal rows are told apart by an ordinal; which of them has which makes no difference, as they are equal.
+    They may be any part of the table, so they are first dealt into parts: the ordinal is part and place in the part.
+    """
+    names = df.columns
+    rows = df.select(F.struct(*names).alias("row")).withColumns({"_source": F.col(f"row.`{source_col}`"), "size": n_words(F.col(f"row.`{text_col}`"))})
+    mark = F.xxhash64(F.col(f"row.`{id_col}`"), F.col("_source"), F.col(f"row.`{text_col}`"))
+    return rows.select("row", "_source", "size", F.struct(F.col(f"row.`{id_col}`").alias("id"), mark.alias("t")).alias("_key"))
+
+
+def plan(rows: DataFrame, cap: int = CAP, seed: int = 0) -> DataFrame:
+    """_key, _source, size, source_size, target, n (equal rows) and total: the copies that they are given together.
+
+    rows: _key (id, t), _source, size. Equal rows collapse to one item with a multiplicity: a whole number of
+    them is taken at once, and only the fraction that is left, less than one copy, is rounded.
+    """
+    sizes = settle(rows.groupBy("_key", "_source", "size").agg(F.count("*").alias("n")))
+    goal = settle(targets(sizes.select("_source", (F.col("size") * F.col("n")).alias("size"), "n"), "_source", cap))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    goal = goal.select(F.col("_source").alias("_s"), "source_size", "target", F.floor(rate).alias("_whole"), (rate - F.floor(rate)).alias("_part"), F.greatest(F.lit(1), F.ceil(F.col("_docs") / BLOCK)).alias("_blocks"))
-    rows = sizes.join(goal, F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
+    goal = goal.select(F.col("_source").alias("_s"), "source_size", "target", rate.alias("_rate"), F.greatest(F.lit(1), F.ceil(F.col("_docs") / BLOCK)).alias("_blocks"))
+    items = sizes.join(goal, F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
+    due = F.when(F.col("size") > 0, F.col("_rate") * F.col("n")).otherwise(0.0)
+    items = items.withColumns({"_whole": F.floor(due), "_part": due - F.floor(due)})
 
     u = uniform(F.lit(seed), F.col("_id.id"), F.col("_id.t"))
-    part = F.when(F.col("size") > 0, F.col("_part")).otherwise(0.0)
-    todo = rows.where(part > 0).select("_source", F.pmod(F.xxhash64("_id", F.lit(seed)), F.col("_blocks")).alias("_block"), "_id", F.col("size").cast("double").alias("_size"), part.alias("_p"), u.alias("_u"))
+    todo = items.where("_part > 0").select("_source", F.pmod(F.xxhash64("_key", F.lit(seed)), F.col("_blocks")).alias("_block"), F.col("_key").alias("_id"), F.col("size").cast("double").alias("_size"), F.col("_part").alias("_p")).withColumn("_u", u)
     levels = 1 + math.ceil(math.log(max(2, goal.agg(F.max("_blocks")).first()[0] or 2), BLOCK))
     done = None
     for k in range(levels):
         state = settle(_settle_blocks(todo))
-        now = state.select(F.explode("_done").alias("d")).select("d.*")
+        now = state.select("_source", F.explode("_done").alias("d")).select("_source", "d.*")
         done = now if done is None else done.unionByName(now)
         left = state.where("_open is not null").select("_source", F.floor(F.col("_block") / BLOCK).alias("_block"), "_open.*")
         todo = left.withColumn("_u", uniform(F.lit(seed + k + 1), F.col("_id.id"), F.col("_id.t")))
-    last = todo.select("_id", (F.col("_u") < F.col("_p")).cast("long").alias("_more"))
-    done = done.unionByName(last).groupBy("_id").agg(F.max("_more").alias("_more"))
-    out = rows.join(done, "_id", "left")
-    copies = F.when(F.col("size") > 0, F.col("_whole") + F.coalesce(F.col("_more"), F.lit(0))).otherwise(0)
-    return out.select(id_col, "size", "source_size", "target", copies.cast("long").alias("copies"), F.col("_id.t").alias("_text_hash"))
+    last = todo.select("_source", "_id", (F.col("_u") < F.col("_p")).cast("long").alias("_more"))
+    done = done.unionByName(last).select(F.col("_id").alias("_k"), F.col("_source").alias("_s"), "_more")
+    out = items.join(done, F.col("_key").eqNullSafe(F.col("_k")) & F.col("_source").eqNullSafe(F.col("_s")), "left")
+    total = F.when(F.col("size") > 0, F.col("_whole") + F.coalesce(F.col("_more"), F.lit(0))).otherwise(0).cast("long")
+    return settle(out.select("_key", "_source", "size", "source_size", "target", "n", total.alias("total")))
+
+
+def _with_copies(rows: DataFrame, planned: DataFrame, seed: int) -> DataFrame:
+    """rows with their source's figures and copies: what equal rows are given together is shared out evenly."""
+    p = planned.select(F.col("_key").alias("_k"), F.col("_source").alias("_s"), "source_size", "target", "n", "total")
+    joined = rows.join(p, F.col("_key").eqNullSafe(F.col("_k")) & F.col("_source").eqNullSafe(F.col("_s"))).drop("_k", "_s")
+    single = F.when(F.col("n") == 1, F.col("total"))
+    alone = joined.where("n = 1").withColumn("copies", single)
+    many = joined.where("n > 1")
+    # places of equal rows: parts of rows numbered apart, each after the parts before it
+    many = settle(many.withColumn("_part", F.spark_partition_id()))
+    before = many.groupBy("_key", "_source", "_part").agg(F.count("*").alias("_c"))
+    w = Window.partitionBy("_key", "_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = before.select(F.col("_key").alias("_k"), F.col("_source").alias("_s"), F.col("_part").alias("_q"), F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_key", "_source", "_part").orderBy(F.lit(0)))
+    many = many.withColumn("_place", place).join(before, F.col("_key").eqNullSafe(F.col("_k")) & F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_part") == F.col("_q")))
+    at = F.col("_before") + F.col("_place")
+    # the i-th of n rows takes floor(i * total / n) - floor((i - 1) * total / n): at most one more than another
+    share = lambda i: F.expr("cast(floor(cast({} as decimal(38,0)) * total div n) as long)".format(i))
+    many = many.withColumn("_at", at.cast("long"))
+    many = many.withColumn("copies", share("_at") - share("_at - 1"))
+    return alone.unionByName(many.select(alone.columns))
+
+
+def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", cap: int = CAP, seed: int = 0) -> DataFrame:
+    """id_col, size, source_size, target and copies of each row. Only ids, sources and sizes are shuffled."""
+    rows = settle(_numbered(df.select(*dict.fromkeys([id_col, source_col, text_col])), id_col, source_col, text_col).drop("row"))
+    out = _with_copies(rows, plan(rows, cap, seed), seed)
+    return out.select(F.col("_key.id").alias(id_col), "size", "source_size", "target", "copies")
 
 
 def take(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", cap: int = CAP, seed: int = 0) -> DataFrame:
     """The rows of df, each as many times as the mix takes it."""
-    plan = mix(df, id_col, source_col, text_col, cap, seed).where("copies > 0").groupBy(F.col(id_col).alias("_key"), "_text_hash").agg(F.max("copies").alias("_copies"))
-    rows = df.join(plan, F.col(id_col).eqNullSafe(F.col("_key")) & (F.xxhash64(text_col) == F.col("_text_hash")))
-    return rows.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(df.columns)
+    rows = _numbered(df, id_col, source_col, text_col)
+    planned = plan(settle(rows.drop("row")), cap, seed)
+    out = _with_copies(rows, planned.where("total > 0"), seed).where("copies > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_i")).select("row.*")
