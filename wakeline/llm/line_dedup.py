@@ -10,8 +10,8 @@ tasks. The boilerplate of a host is bounded: at most (mean distinct lines of its
 It is written to the shared folder, so Spark knows its size when it picks the join.
 
 Defined results: rows with a null host are kept as they are; a null text stays null; blank lines are
-never boilerplate; a text may become empty but its row stays; no rows give no rows. Columns named like the internal
-ones (leading underscore) must not exist in the input.
+never boilerplate; a text may become empty but its row stays; no rows give no rows. Other columns stay as they
+are, whatever their names; n_lines and n_dropped are replaced.
 """
 
 from __future__ import annotations
@@ -65,16 +65,19 @@ def boilerplate(df: DataFrame, host_col: str, text_col: str = "text", percent: i
 def drop_boilerplate(df: DataFrame, host_col: str, text_col: str = "text", percent: int = PERCENT, min_pages: int = MIN_PAGES) -> DataFrame:
     """df with the boilerplate lines gone from text_col, and columns n_lines and n_dropped (non-blank lines)."""
     bad = boilerplate(df, host_col, text_col, percent, min_pages)
-    out = df.drop("n_lines", "n_dropped").join(bad, F.col(host_col) == F.col("_host"), "left")
+    names = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
+    # the input's columns go into one struct, so that none clashes with those used here
+    rows = df.select(F.struct(*names).alias("row"), F.col(host_col).alias("_own"), F.col(text_col).alias("_text"), F.split(F.col(text_col), "\n").alias("_all"))
+    out = rows.join(bad, F.col("_own") == F.col("_host"), "left")
     blank = lambda x: _trimmed(x) == ""
-    out = out.withColumn("_all", F.split(F.col(text_col), "\n"))
     kept = F.when(F.col("_lines").isNull(), F.col("_all")).otherwise(F.filter("_all", lambda x: blank(x) | ~F.array_contains("_lines", _mark(x))))
     out = out.withColumn("_kept", kept)
     count = lambda c: F.coalesce(F.size(F.filter(c, lambda x: ~blank(x))).cast("long"), F.lit(0).cast("long"))
     n, k = count("_all"), count("_kept")
-    text = F.when(F.size("_kept") == F.size("_all"), F.col(text_col)).otherwise(F.array_join("_kept", "\n"))
-    names = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
-    return out.select(*(text.alias(c) if c == text_col else F.col(c) for c in names), F.when(F.col(text_col).isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.when(F.col(text_col).isNull(), 0).otherwise(n - k).cast("long").alias("n_dropped"))
+    text = F.when(F.size("_kept") == F.size("_all"), F.col("_text")).otherwise(F.array_join("_kept", "\n"))
+    zero = F.col("_text").isNull()
+    cols = [text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in names]
+    return out.select(*cols, F.when(zero, 0).otherwise(n).cast("long").alias("n_lines"), F.when(zero, 0).otherwise(n - k).cast("long").alias("n_dropped"))
 
 
 def sql() -> str:
