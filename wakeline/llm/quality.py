@@ -19,6 +19,8 @@ SPACES = " \t\n\x0b\f\r"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+#: Least share of stop words among the words.
+STOP_PERCENT = 4
 #: Frequent function words of the corpus languages (fixed values).
 STOP_WORDS = {
     "en": ["the", "of", "and", "to", "in", "is", "that", "with"],
@@ -42,7 +44,7 @@ BASE = (Rule("too_short", "n_words", low=2000), Rule("repeats_itself", "n_repeat
 RULES = (
     Rule("mean_word_length", "word_chars", "n_words", low=200, high=2000),
     Rule("symbols_per_word", "n_symbols", "n_words", high=50),
-    Rule("stop_words", "n_stop_kinds", low=100),
+    Rule("stop_words", "n_stop_words", "n_words", low=STOP_PERCENT),
     Rule("copied_lines", "n_dup_lines", "n_lines", high=60),
     Rule("unfinished_lines", "n_ellipsis_lines", "n_lines", high=60),
     Rule("long_lines_only_symbols", "n_symbols", "word_chars", high=20),
@@ -97,31 +99,40 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def measures(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """df with every measure that rules use."""
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_ellipsis_lines", "n_stop_words", "n_repeat_words")
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _stop_words() -> list[str]:
+    return sorted({w for x in STOP_WORDS.values() for w in x})
+
+
+def measures(df: DataFrame, text_col: str = "text", replaced: tuple[str, ...] = ()) -> DataFrame:
+    """df with every measure that rules use; columns of these names, and replaced ones, give way."""
+    names = [c for c in df.columns if c == text_col or c not in (*MEASURES, *replaced)]
+    # the input's columns go into one struct, so that none clashes with those used here
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != "")
-    stop = F.array(*map(F.lit, sorted({w for x in STOP_WORDS.values() for w in x})))
-    df = df.withColumns({"_words": words, "_lines": lines})
+    rows = df.select(F.struct(*names).alias("row"), text.alias("_text"), words.alias("_words"), lines.alias("_lines"))
     size = lambda c: F.size(c).cast("long")
-    return df.withColumns(
-        {
-            "n_words": size("_words"),
-            "word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
-            "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-            "n_lines": size("_lines"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_ellipsis_lines": size(F.filter("_lines", lambda x: F.rtrim(x).endswith("..."))),
-            "n_stop_kinds": size(F.array_intersect("_words", stop)),
-            "n_repeat_words": repeated_words(F.col("_words")),
-        }
-    ).drop("_words", "_lines")
+    found = {
+        "n_words": size("_words"),
+        "word_chars": F.length(F.translate("_text", SPACES, "")).cast("long"),
+        "n_symbols": (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long"),
+        "n_lines": size("_lines"),
+        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "n_ellipsis_lines": size(F.filter("_lines", lambda x: F.rtrim(x).endswith("..."))),
+        "n_stop_words": size(F.filter("_words", lambda w: F.translate(w, _UPPER, _LOWER).isin(*_stop_words()))),
+        "n_repeat_words": repeated_words(F.col("_words")),
+    }
+    rows = rows.select("row", F.struct(*(v.alias(k) for k, v in found.items())).alias("measured"))
+    return rows.select(*(F.col(f"row.`{c}`").alias(c) for c in names), "measured.*")
 
 
 def judge(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """df with the measures, base_failed, failed_rules (names) and kept."""
-    df = measures(df, text_col)
+    df = measures(df, text_col, ("base_failed", "failed_rules", "kept"))
     base, more = ([F.when(fails(r), F.lit(r.name)) for r in x] for x in (BASE, rules))
     df = df.withColumn("base_failed", F.size(F.array_compact(F.array(*base))) > 0)
     df = df.withColumn("failed_rules", F.array_compact(F.array(*base, *more)))
@@ -129,7 +140,7 @@ def judge(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES
 
 
 def sql(table: str = "documents") -> str:
-    stop = ", ".join(f"'{w}'" for w in sorted({w for x in STOP_WORDS.values() for w in x}))
+    stop = ", ".join(f"'{w}'" for w in _stop_words())
     base, more = (" OR ".join(map(fails_sql, x)) for x in (BASE, RULES))
     return rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM {table}),
@@ -144,7 +155,7 @@ m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(x, '[\x
   (length(x) - length(regexp_replace(x, '[{SYMBOLS}]', '', 'g')))::BIGINT AS n_symbols,
   len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
   len(list_filter(ls, lambda v: rtrim(v) LIKE '%...'))::BIGINT AS n_ellipsis_lines,
-  len(list_intersect(list_distinct(ws), [{stop}]))::BIGINT AS n_stop_kinds,
+  len(list_filter(ws, lambda v: translate(v, '{_UPPER}', '{_LOWER}') IN ({stop})))::BIGINT AS n_stop_words,
   coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN c ON w.doc_id = c.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({base}) AS base_failed, NOT ({base} OR {more}) AS kept FROM m"""
