@@ -1,3 +1,9 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+
 from wakeline.llm import toxicity
 from wakeline.llm.registry import op8_toxicity
 
@@ -28,3 +34,49 @@ def test_odd_rows_and_missing_labels(spark, odd_docs, no_docs):
     assert toxicity.score(no_docs, model).count() == 0
     right = toxicity.score(docs, model).collect()
     assert sum(r.predicted == r.doc_id % 2 for r in right) > 390
+
+
+def plain_ratios(train, corpus, words):
+    """Log ratios of each word by dictionaries: passages above, different words before it below, the corpus below that."""
+    passages = {y: set() for y in (0, 1)}
+    for t, y in train:
+        w = [toxicity.START] * 3 + toxicity.words_of(t) + [toxicity.START] * 2
+        passages[y] |= {tuple(w[k - 3 : k + 3]) for k in range(3, len(w) - 2)}
+    count = {y: Counter((p[2], p[3]) for p in passages[y]) for y in passages}
+    vocabulary = {x for y in count for pair in count[y] for x in pair}
+    pairs = {p for t in corpus for w in [toxicity.words_of(t)] for p in zip([toxicity.START, *w[:-1]], w)}
+    company = Counter(w for _, w in pairs if w in vocabulary)
+    total = sum(company.values()) + len(vocabulary) + 1
+    kept = {y: Counter(w for _, w in count[y]) for y in count}
+    lost = sum(min(n, toxicity.DISCOUNT) for y in kept for n in kept[y].values()) / sum(sum(kept[y].values()) for y in kept)
+    of = {y: Counter() for y in count}
+    cut = Counter()
+    for y in count:
+        for (v, _), n in count[y].items():
+            of[y][v] += n
+            cut[v] += min(n, toxicity.TOP_DISCOUNT)
+
+    def p(y, v, w):
+        base = (company[w] + 1) / total if w in vocabulary else 1 / total
+        low = max(kept[y][w] - toxicity.DISCOUNT, 0) / sum(kept[y].values()) + lost * base
+        c = of[0][v] + of[1][v]
+        return max(count[y][v, w] - toxicity.TOP_DISCOUNT, 0) / max(of[y][v], 1) + (cut[v] / c if c else 1) * low
+
+    return [math.log(p(1, v, w) / p(0, v, w)) for v, w in zip([toxicity.START, *words[:-1]], words)]
+
+
+def test_ratios_equal_plain_kneser_ney(spark):
+    rnd = np.random.default_rng(1)
+    some = [f"w{k}" for k in range(30)]
+    texts = [" ".join(rnd.choice(some, 12)) + (" you utter fool" if k % 2 else "") for k in range(200)] + ["", None]
+    texts[4] = texts[2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = [(k, k % 2) for k in range(160)]
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    fold = {r.doc_id: r.f for r in docs.select("doc_id", toxicity.fold("doc_id").alias("f")).collect()}
+    train = [(texts[k], y) for k, y in labels if 0 < fold[k] < toxicity.FOLDS - 1]
+    for text in (texts[3], texts[4], "you utter fool", "never seen words and w3 w4 utter fool"):
+        words = toxicity.words_of(text)
+        assert model.ratios(words) == pytest.approx(plain_ratios(train, texts, words))
+    # an expression that always follows one word tells
+    assert model.ratios(["you", "utter", "fool"])[2] > 2

@@ -1,10 +1,11 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two models, one of toxic and one of ordinary texts, are learnt by Spark aggregations over a sample of
-labelled documents. As in Kneser-Ney's lower orders, a bigram counts once for each different word before
-it, and a word once for each different word before it, so that copies of a text weigh nothing. A bigram's
-discounted count backs off to the class's discounted word count, and that to the counts that both classes
-share, with backoff weights common to both: an expression that is rare or unknown tells nothing either way.
+Two bigram models, one of toxic and one of ordinary texts, are learnt by Spark aggregations over labelled documents, of
+which equal texts, and equal passages of AROUND words around a bigram, count once. The top order has the counts of
+bigrams, less TOP_DISCOUNT. Below it a word counts once for each
+different word before it, less DISCOUNT, and below that stand the shared backoff counts: in how many different words'
+company a word stands anywhere in the corpus, labelled or not. Backoff weights are common to both classes, so an
+expression that is rare or unknown tells nothing either way.
 
 A text is compared by its toxic and ordinary log-likelihoods per word: over the whole text, over its most
 toxic window of WINDOW words, and over its PAIR most telling words. A logistic curve over these numbers,
@@ -12,8 +13,9 @@ fitted on labelled documents that the models have not seen, gives a score from 0
 
 Only labelled rows whose crc32(id as text) modulo FOLDS is not 0 are used: the last fold for the curve, the
 others for the models. Bounds (parameters): MODEL_ROWS and CURVE_ROWS labelled documents of each class,
-picked by a digest of the id, and MODEL_WORDS words and MODEL_BIGRAMS bigrams, the most frequent ones. So
-the broadcast model has a size bound. Every document is scored, whole.
+picked by a digest of the id. They alone bound the broadcast model: it has every word of these documents and every
+bigram that they have more often than TOP_DISCOUNT. The shared backoff counts take all documents, and every document is
+scored, whole.
 
 Defined results: null and empty texts get the score of a text without evidence. Without labelled rows of
 both classes there is no model and every score is the share of toxic rows (0 if there are none). Of
@@ -38,9 +40,9 @@ from wakeline.session import settle
 FOLDS = 5
 MODEL_ROWS = 5_000
 CURVE_ROWS = 2_000
-MODEL_WORDS = 200_000
-MODEL_BIGRAMS = 200_000
 DISCOUNT = 3
+TOP_DISCOUNT = 8
+AROUND = 2
 WINDOW = 32
 PAIR = 2
 
@@ -101,17 +103,66 @@ def _sampled(labels: DataFrame, id_col: str, label_col: str, folds: list[int], r
     return chosen.where(F.col(label_col) == 1).orderBy(*order).limit(rows).unionByName(chosen.where(F.col(label_col) == 0).orderBy(*order).limit(rows))
 
 
-def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """v, w, passage (digest of the bigram with AROUND words on each side), bits (1 ordinary, 2 toxic)."""
+    import xxhash
+
     for b in batches:
         found: dict[tuple, int] = {}
         for text, label in zip(b.column("_text"), b.column("_label"), strict=True):
             w = words_of(text.as_py())
             bit = 1 + label.as_py()
-            for t in zip([START, START, *w], [START, *w], w):
-                found[t] = found.get(t, 0) | bit
+            padded = [START] * (AROUND + 1) + w + [START] * AROUND
+            for k, now in enumerate(w):
+                key = (padded[k + AROUND], now, xxhash.xxh64_intdigest(" ".join(padded[k : k + 2 * AROUND + 2])))
+                found[key] = found.get(key, 0) | bit
         if found:
-            cols = [pa.array(c, pa.string()) for c in zip(*found, strict=True)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(found.values(), pa.int32())], names=["u", "v", "w", "bits"])
+            v, w, passage = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(w), pa.array(np.array(passage, np.uint64).view(np.int64)), pa.array(found.values(), pa.int32())], names=["v", "w", "passage", "bits"])
+
+
+def company(texts: DataFrame, words: list[str]) -> np.ndarray:
+    """In how many different words' company (right after them) each of these words stands in all texts.
+
+    texts: column _text. Pairs meet as 64-bit digests; each task sends a pair once for each batch of rows.
+    """
+    shipped = texts.sparkSession.sparkContext.broadcast({w: k for k, w in enumerate(words)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        def once(parts: list[np.ndarray]) -> pa.RecordBatch:
+            rows = np.concatenate(parts, 1)
+            rows = rows[:, np.lexsort(rows)]
+            new = np.ones(rows.shape[1], bool)
+            new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in rows[:, new]], names=["w", "v"])
+
+        ids, digest = shipped.value, {}
+        for b in batches:
+            pairs, size = [], 0
+            for text in b.column("_text"):
+                w = words_of(text.as_py())
+                now = np.fromiter((ids.get(x, -1) for x in w), np.int64, len(w))
+                for x in w:
+                    if x not in digest:
+                        if len(digest) > 500_000:
+                            digest.clear()
+                        digest[x] = xxhash.xxh64_intdigest(x)
+                before = np.fromiter((digest.get(x) or xxhash.xxh64_intdigest(x) for x in [START, *w[:-1]][: len(w)]), np.uint64, len(w))
+                known = now >= 0
+                pairs.append(np.stack([now[known], before[known].view(np.int64)]))
+                size += int(known.sum())
+                if size > 1 << 20:
+                    yield once(pairs)
+                    pairs, size = [], 0
+            if pairs:
+                yield once(pairs)
+
+    out = np.zeros(len(words), np.int64)
+    found = texts.select("_text").mapInArrow(run, "w long, v long").distinct().groupBy("w").agg(F.count("*").alias("n")).toPandas()
+    out[found["w"].to_numpy(np.int64)] = found["n"]
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | float:
@@ -121,38 +172,39 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def sample(folds: list[int], rows: int) -> DataFrame:
         # at most 2 * rows ids: a bound that does not grow with the corpus
-        return texts.join(F.broadcast(_sampled(labels, "_id", "_label", folds, rows)), "_id").select("_text", "_label")
-
-    has = {"plain": F.col("bits").bitwiseAND(1) > 0, "toxic": F.col("bits").bitwiseAND(2) > 0}
-    three = sample([*range(1, FOLDS - 1)], MODEL_ROWS).mapInArrow(_trigrams, "u string, v string, w string, bits int")
-    three = three.groupBy("u", "v", "w").agg(F.bit_or("bits").alias("bits"))
-    big = settle(three.groupBy("v", "w").agg(*(F.count_if(x).alias(c) for c, x in has.items())))
+        few = texts.join(F.broadcast(_sampled(labels, "_id", "_label", folds, rows)), "_id")
+        return few.groupBy(F.xxhash64("_text"), "_label").agg(F.first("_text").alias("_text")).select("_text", "_label")
+
+    classes = ("toxic", "plain")
+    big = sample([*range(1, FOLDS - 1)], MODEL_ROWS).mapInArrow(_bigrams, "v string, w string, passage long, bits int")
+    big = big.groupBy("v", "w", "passage").agg(F.bit_or("bits").alias("bits"))
+    has = lambda bit: F.count_if(F.col("bits").bitwiseAND(bit) > 0)
+    big = settle(big.groupBy("v", "w").agg(has(1).alias("plain"), has(2).alias("toxic")))
     one = lambda c: F.count_if(F.col(c) > 0).alias(f"k_{c}")
-    after = big.groupBy(F.col("w").alias("word")).agg(one("toxic"), one("plain"))
-    cut = F.least("toxic", F.lit(DISCOUNT)) + F.least("plain", F.lit(DISCOUNT))
+    after = big.groupBy(F.col("w").alias("word")).agg(*map(one, classes))
+    cut = sum((F.least(c, F.lit(TOP_DISCOUNT)) for c in classes), F.lit(0))
     before = big.groupBy(F.col("v").alias("word")).agg(F.sum("toxic").alias("c_toxic"), F.sum("plain").alias("c_plain"), F.sum(cut).alias("cut"))
-    stats = settle(after.join(before, "word", "full").na.fill(0))
-    lost = sum((F.least(f"k_{c}", F.lit(DISCOUNT)) for c in has), F.lit(0))
-    total = stats.agg(*(F.sum(c).alias(c) for c in ("k_toxic", "k_plain", "c_toxic", "c_plain")), F.sum(lost).alias("lost"), F.sum(F.least("k_toxic", "k_plain") + 1).alias("shared")).first()
-    if not total["c_toxic"] or not total["c_plain"]:
+    top = after.join(before, "word", "full").na.fill(0).toPandas().sort_values("word").reset_index(drop=True)
+    if not len(top) or not top["c_toxic"].sum() or not top["c_plain"].sum():
         share = labels.where(fold("_id") != 0).agg(F.avg("_label")).first()[0]
         return float(share or 0.0)
 
-    top = stats.orderBy(F.desc(F.col("k_toxic") + F.col("k_plain")), "word").limit(MODEL_WORDS).toPandas()
     words = top["word"].tolist()
     none = len(words)
-    both = np.append(np.minimum(top["k_toxic"], top["k_plain"]) + 1, 1) / total["shared"]
-    weight = total["lost"] / (total["k_toxic"] + total["k_plain"])
-    uni = np.stack([np.append(np.maximum(top[f"k_{c}"] - DISCOUNT, 0), 0) / total[f"k_{c}"] + weight * both for c in ("toxic", "plain")])
+    # one more for each word and for what no labelled text has
+    shared = np.append(company(texts, words), 0) + 1
+    both = shared / shared.sum()
+    k = {c: top[f"k_{c}"].to_numpy(float) for c in classes}
+    weight = sum(np.minimum(k[c], DISCOUNT).sum() for c in classes) / sum(k[c].sum() for c in classes)
+    uni = np.stack([np.append(np.maximum(k[c] - DISCOUNT, 0), 0) / k[c].sum() + weight * both for c in classes])
     c = (top["c_toxic"] + top["c_plain"]).to_numpy(float)
     back = np.append(np.where(c > 0, top["cut"] / np.maximum(c, 1), 1.0), 1.0)
     ids = {w: i for i, w in enumerate(words)}
-    often = big.where(F.greatest("toxic", "plain") > DISCOUNT).orderBy(F.desc(F.col("toxic") + F.col("plain")), "v", "w").limit(MODEL_BIGRAMS).toPandas()
-    often = often[often["v"].isin(ids) & often["w"].isin(ids)]
-    v, w = (often[c].map(ids).to_numpy(np.int64) for c in ("v", "w"))
+    often = big.where(F.greatest("toxic", "plain") > TOP_DISCOUNT).toPandas()
+    v, w = (often[x].map(ids).to_numpy(np.int64) for x in ("v", "w"))
     keys = v * (none + 1) + w
     order = np.argsort(keys)
-    seen = np.stack([np.maximum(often[c].to_numpy(float) - DISCOUNT, 0) / np.maximum(top[f"c_{c}"].to_numpy(float)[v], 1) for c in ("toxic", "plain")])
+    seen = np.stack([np.maximum(often[x].to_numpy(float) - TOP_DISCOUNT, 0) / np.maximum(top[f"c_{x}"].to_numpy(float)[v], 1) for x in classes])
     model = Model(ids, uni, back, keys[order], seen[:, order], np.zeros(4))
 
     shipped = docs.sparkSession.sparkContext.broadcast(model)
