@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.oracle import differences, duck
-from wakeline.llm import line_dedup, mixing, quality, registry, sharding
+from wakeline.llm import bpe, line_dedup, mixing, pii, quality, registry, sharding, simhash, suffix_dedup, toxicity
+from wakeline.session import shared_folder
 
 SF = "/root/testdata/sf0.001"
 
@@ -95,3 +96,83 @@ def test_taken_rows_repeat(spark):
     want = mixing.mix(docs).agg(F.sum("copies")).first()[0]
     out = mixing.take(docs)
     assert out.columns == docs.columns and out.count() == want
+
+
+def test_equal_rows_of_a_source_share_its_target(spark):
+    """One of two sources is 300 equal rows; the other is long enough for the first to be cut in half."""
+    text = " ".join(["word"] * 10)
+    rows = [(1, text, "a")] * 300 + [(k, " ".join(f"x{j}" for j in range(30)), "b") for k in range(2, 52)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).collect()
+    assert len(got) == len(rows)
+    for s in ("a", "b"):
+        mine = [r for r in got if (r.doc_id == 1) == (s == "a")]
+        assert abs(sum(r.size * r.copies for r in mine) - mine[0].target) <= mine[0].size
+    assert {r.copies for r in got if r.doc_id == 1} == {0, 1}
+    assert mixing.take(df).where("source = 'a'").count() == sum(r.copies for r in got if r.doc_id == 1)
+
+
+def plain_fold(items):
+    """Pivotal rounding of (id, size, open part, random number) one after another."""
+    out, still = {}, None
+    for b in items:
+        if still is None:
+            still = b
+            continue
+        (ia, sa, pa, ua), (ib, sb, pb, ub) = still, b
+        ma, mb = pa * sa, pb * sb
+        up, down = min(sa - ma, mb), min(ma, sb - mb)
+        if ub * (up + down) < down:
+            if sa - ma <= mb:
+                out[ia], still = 1, (ib, sb, (mb - (sa - ma)) / sb, ub)
+            else:
+                out[ib], still = 0, (ia, sa, (ma + mb) / sa, ua)
+        elif ma <= sb - mb:
+            out[ia], still = 0, (ib, sb, (mb + ma) / sb, ub)
+        else:
+            out[ib], still = 1, (ia, sa, (ma - (sb - mb)) / sa, ua)
+    return out, still
+
+
+def test_fold_equals_the_plain_one(spark):
+    rnd = __import__("random").Random(8)
+    items = [(k, float(rnd.randint(1, 50)), rnd.choice([0.25, 0.5, 0.75]), round(rnd.random(), 6)) for k in range(60)]
+    rows = spark.createDataFrame([("s", 0, (k, k), size, p, u) for k, size, p, u in items], "_source string, _block long, _id struct<id:long,t:long>, _size double, _p double, _u double")
+    state = mixing._settle_blocks(rows).first()
+    out, still = plain_fold(sorted(items, key=lambda x: x[3]))
+    assert {d["_id"]["id"]: d["_more"] for d in state["_done"]} == out
+    assert state["_open"]["_id"]["id"] == still[0] and state["_open"]["_p"] == pytest.approx(still[2])
+
+
+NAMES = ["_host", "_lines", "_key", "_i", "_k", "_s", "_text", "_own", "_id", "_h", "_words", "row", "n", "size", "target", "copies", "fp", "component", "_n", "_t", "_label", "score", "slot", "shard", "n_words", "kept", "found", "token_ids", "spans", "start", "node", "corners"]
+
+
+def test_clashing_names(spark):
+    """Columns named like those used inside an operator stay as they are, or give way where the docstring says so."""
+    rows = [(k, f"line {k}\nthe same words of all for the ip 1.2.3.{k}", "s", *["x"] * len(NAMES)) for k in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in NAMES))
+    kept = [c for c in df.columns if c not in ("doc_id", "text", "source", "n_words", "kept", "slot", "shard", "score", "token_ids")]
+    labels = df.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    results = {
+        "line": line_dedup.drop_boilerplate(df, "source"), "take": mixing.take(df), "redact": pii.redact(df), "judge": quality.judge(df), "first": simhash.keep_first(df),
+        "place": sharding.place(df, "doc_id"), "score": toxicity.score(df, toxicity.fit(df, labels)), "encode": bpe.encode(df, registry.vocabulary()),
+    }
+    for name, out in results.items():
+        got = out.select(kept).distinct().collect()
+        assert [tuple(r) for r in got] == [("x",) * len(kept)], name
+    assert pii.find(df).count() == simhash.near_duplicates(df).count() == mixing.mix(df).count() == suffix_dedup.deduplicate(df).count() == 6
+    assert "[ip]" in results["redact"].first().text
+
+
+def test_rows_of_one_id_and_different_texts(spark):
+    df = spark.createDataFrame([(1, "call 10.0.0.1 now a@b.org"), (1, "nothing here but z@y.org"), (1, "plain and clean words"), (None, "x 10.0.0.2"), (None, "clean")], "doc_id long, text string")
+    assert sorted(r.text for r in pii.redact(df).collect()) == ["call [ip] now [email]", "clean", "nothing here but [email]", "plain and clean words", "x [ip]"]
+
+
+def test_shards_are_written_apart(spark):
+    path = f"{shared_folder(spark)}/shards-{id(spark)}"
+    df = spark.range(1000).withColumnRenamed("id", "doc_id")
+    sharding.write(df, path, "doc_id", shards=("a", "b", "c"))
+    back = spark.read.parquet(path)
+    assert back.count() == 1000 and back.select("shard").distinct().count() == 3
+    assert back.select("doc_id", "shard").exceptAll(sharding.place(df, "doc_id", shards=("a", "b", "c")).select("doc_id", "shard")).count() == 0

@@ -178,9 +178,12 @@ def learn(tokens: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS) -
     return patterns
 
 
-def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """id_col, a column of base spans (start, end) for each kind, and found (kind, start, end) by context."""
-    keyed = df.select(F.col(id_col), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_h"), F.col(text_col).alias("_text"))
+def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE, keep_key: bool = False) -> DataFrame:
+    """id_col, a column of base spans (start, end) for each kind, and found (kind, start, end) by context.
+
+    keep_key adds _key_id and _key_h, the id and the digest of the text.
+    """
+    keyed = df.select(F.col(id_col).alias("_own"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_h"), F.col(text_col).alias("_text"))
     base = settle(base_spans(keyed, "_text").drop("_text"))
     tokens = settle(_token_rows(base))
     sure = learn(tokens, rounds, min_seeds).where(F.col("confidence") >= min_confidence).withColumnRenamed("kind", "as")
@@ -189,7 +192,8 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds:
     more = more.select(F.col("_id").alias("_i"), F.col("_h").alias("_g"), "found")
     out = base.join(more, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g")), "left")
     bare = lambda k: F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(k)
-    return out.select(id_col, *map(bare, KINDS), F.coalesce("found", F.array().cast("array<struct<kind:string,start:int,end:int>>")).alias("found"))
+    key = [F.col("_id").alias("_key_id"), F.col("_h").alias("_key_h")] if keep_key else []
+    return out.select(F.col("_own").alias(id_col), *map(bare, KINDS), F.coalesce("found", F.array().cast("array<struct<kind:string,start:int,end:int>>")).alias("found"), *key)
 
 
 def written(*spans: tuple[str, Column]) -> Column:
@@ -211,18 +215,25 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df with every found span in text_col replaced by its kind in brackets (the first of overlapping spans)."""
-    spans = find(df, id_col, text_col)
+    """df with every found span in text_col replaced by its kind in brackets (the first of overlapping spans).
+
+    Spans belong to an id and a text, so rows of one id and different texts keep their own.
+    """
+    names = df.columns
+    rows = df.select(F.struct(*names).alias("row"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_g"), F.col(text_col).alias("_text"))
+    spans = find(df.select(*dict.fromkeys([id_col, text_col])), id_col, text_col, keep_key=True)
     one = lambda k: F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(k).alias("kind")))
     more = F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-    spans = spans.groupBy(F.col(id_col).alias("_i")).agg(F.max(F.concat(*map(one, KINDS), more)).alias("_s"))
-    out = df.join(spans, F.col(id_col).eqNullSafe(F.col("_i")), "left")
+    spans = spans.withColumn("_s", F.concat(*map(one, KINDS), more)).where(F.size("_s") > 0)
+    # rows with one key have one text, and so the same spans
+    spans = spans.groupBy(F.col("_key_id").alias("_i"), F.col("_key_h").alias("_k")).agg(F.max("_s").alias("_s"))
+    out = rows.join(spans, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_g") == F.col("_k")), "left")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(a: Column, s: Column) -> Column:
-        piece = F.concat(a["out"], F.substring(text_col, a["at"] + 1, s["start"] - a["at"]), F.lit("["), s["kind"], F.lit("]"))
+        piece = F.concat(a["out"], F.substring("_text", a["at"] + 1, s["start"] - a["at"]), F.lit("["), s["kind"], F.lit("]"))
         return F.when(s["start"] < a["at"], a).otherwise(F.struct(s["end"].alias("at"), piece.alias("out")))
 
     done = F.aggregate(F.sort_array("_s"), start, step)
-    text = F.when(F.size("_s") > 0, F.concat(done["out"], F.substring(text_col, done["at"] + 1, F.length(text_col)))).otherwise(F.col(text_col))
-    return out.withColumn(text_col, text).select(df.columns)
+    text = F.when(F.size("_s") > 0, F.concat(done["out"], F.substring("_text", done["at"] + 1, F.length("_text")))).otherwise(F.col("_text"))
+    return out.withColumn("_new", text).select(*(F.col("_new").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in names))
