@@ -43,6 +43,22 @@ def test_query_base_equals_brute_force(spark):
     rows = op5_pii(spark, SF).collect()
     assert len(rows) == len(texts)
     check(rows, texts)
+    # every assigned key of the corpus is found by its context, and nothing but keys
+    keys = {k: re.findall(r'token = "([0-9a-f]{40})"', t or "") for k, t in texts.items()}
+    assert sum(map(len, keys.values())) >= 8
+    for r in rows:
+        found = [s.split(":") for s in r.spans.split(",") if s.startswith("secret:")]
+        assert [texts[r.doc_id][int(a) : int(b)] for _, a, b in found] == keys[r.doc_id]
+        assert r.n_found == len(found) and r.n_spans == len([s for s in r.spans.split(",") if s])
+
+
+def test_secrets_are_learnt_from_seeds(spark):
+    seeds = [(k, f'w{k} set secret_key = "{hashlib.sha1(str(k).encode()).hexdigest()}" here') for k in range(12)]
+    rows = seeds + [(100, "x secret_key = Zm9vYmFyMTIzNDU2Nzg5 y"), (101, "the build Zm9vYmFyMTIzNDU2Nzg5 is done"), (102, "set secret_key = value1 now"), (103, f"commit {hashlib.sha1(b'z').hexdigest()} fixes it")]
+    got = {r.doc_id: r.found for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    assert [[texts[k][s.start : s.end] for s in got[k]] for k in (0, 100, 101, 102, 103)] == [[hashlib.sha1(b"0").hexdigest()], ["Zm9vYmFyMTIzNDU2Nzg5"], [], [], []]
+    assert {s.kind for f in got.values() for s in f} == {"secret"}
 
 
 def test_odd_texts(spark, odd_docs, no_docs):
@@ -88,4 +104,4 @@ def test_contexts_of_numbers_with_spaces(spark):
 def test_values_are_whole_numbers(spark):
     df = spark.createDataFrame([(1, "call me +1 (017) 555-7713"), (2, "pay by 4111 1111 1111 1111"), (3, "call me 1 017 555 7713"), (4, "see 192.168.100.200 10 a@b.c")], "_id long, _text string")
     base = pii.base_spans(df.selectExpr("*", "_id as _h"), "_text")
-    assert sorted((r["_id"], r.value, r.kind) for r in pii._token_rows(base).collect()) == [(1, "10175557713", "phone"), (2, "4111111111111111", "card"), (3, "10175557713", None), (4, "192.168.100.200", "ip")]
+    assert sorted({(r["_id"], r.value, r.kind) for r in pii._token_rows(base).collect()}) == [(1, "10175557713", "phone"), (2, "4111111111111111", "card"), (3, "10175557713", None), (4, "192.168.100.200", "ip")]

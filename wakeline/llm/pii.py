@@ -5,11 +5,13 @@ Luhn sums, digit counts); a match that fails is dropped. Possessive groups keep
 stack, and match what the plain forms match.
 
 Contexts: an identifier-like token is a run of non-space characters with a digit or an at sign, numbers go on over
-single spaces, brackets, dots and hyphens ("+1 (017) 555-7713" is one); its pattern is the two words before it. A base
+single spaces, brackets, dots and hyphens ("+1 (017) 555-7713" is one). It stands in two patterns: the two words before it,
+and the word before it with the token's own shape (letters, digits, punctuation). A base
 match that begins in a token's first word makes it a seed, whose value is the whole match. Card and phone numbers
-count by their digits, however they are grouped. Over the graph of patterns and values, ROUNDS times: a pattern's confidence in a kind is the summed score of its values of that kind over
+count by their digits, however they are grouped. Secrets have no base pattern: their seeds are tokens of a well-known
+form (SECRET_SEED) that are assigned to a name. Over the graph of patterns and values, ROUNDS times: a pattern's confidence in a kind is the summed score of its values of that kind over
 (its distinct values + 1), from MIN_SEEDS values on; a value's score is one less the product of its patterns' doubts.
-Tokens that stand after a pattern of confidence MIN_CONFIDENCE and have the shape of the kind are added.
+Tokens that stand in a pattern of confidence MIN_CONFIDENCE and have the shape of the kind are added, seeds of secrets too.
 All sums aggregate partially, so a frequent pattern or value does not gather in one task.
 
 Spans are in code points, end exclusive. Defined results: null and empty texts have none. Equal rows get
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from wakeline.session import settle
 
 KINDS = ("email", "ip", "card", "phone")
+SECRET = "secret"
 ROUNDS = 3
 MIN_SEEDS = 4
 MIN_CONFIDENCE = 0.8
@@ -48,7 +51,11 @@ SHAPES = {
     "ip": r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$|^[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){3,7}$",
     "card": r"^[0-9](?:[.-]?[0-9]){12,18}$",
     "phone": r"^\+?[0-9(](?:[().-]*[0-9]){6,14}$",
+    SECRET: r"^(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9+/_-]{16,}={0,2}$",
 }
+#: Forms of keys and digests that services hand out (fixed values): 40 or 64 hex digits, and keys with a known prefix.
+SECRET_SEED = r"^(?:[0-9a-f]{40}|[0-9a-f]{64}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{32,})$"
+ASSIGNED = r"[=:]\s*$"
 
 
 def _marked(text: Column, pattern: str) -> Column:
@@ -129,8 +136,13 @@ def _number(body: Column) -> Column:
     return _bind(first(_CARD), lambda c: _bind(first(_PHONE), lambda p: F.when(F.length(c) >= F.length(p), c).otherwise(p)))
 
 
+_CHARS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+_CLASSES = "9" * 10 + "A" * 26 + "a" * 26
+
+
 def _token_rows(base: DataFrame) -> DataFrame:
-    """_id, _h, start, end, pattern, value and kind: null for tokens in no base span; a span seeds where its first word is a token's first."""
+    """_id, _h, start, end, pattern, value and kind, a row for each pattern of a token. kind is null for tokens in no base
+    span; a span seeds where its first word is a token's first."""
     rows = base.where(F.size("_tokens") > 0).select("_id", "_h", *KINDS, F.explode("_tokens").alias("t"))
     lead = F.regexp_extract("t.value", r"^[^0-9A-Za-z@+(:]*", 0)
     rows = rows.withColumns({"_start": F.col("t.start") + F.length(lead), "_body": F.substr("t.value", F.length(lead) + 1), "_stop": F.col("t.start") + F.length(F.substring_index("t.value", " ", 1))})
@@ -149,9 +161,16 @@ def _token_rows(base: DataFrame) -> DataFrame:
     number = (F.col("_digits") != "") & ~F.col("_first").rlike(SHAPES["ip"]) & ~meets(F.col("_start"), F.col("_start") + F.length("_digits"))
     written = F.when(number, F.col("_digits")).otherwise(F.col("_first"))
     value = F.coalesce(seed, F.when(number, _digits(F.col("_digits"))).otherwise(F.col("_first")))
-    near = F.regexp_replace(F.lower(F.right(F.col("t.before"), F.lit(80))), rf"[{_SPACE}]+", " ")
-    rows = rows.select("_id", "_h", F.col("_start").alias("start"), (F.col("_start") + F.length(written)).alias("end"), F.substring_index(F.btrim(near), " ", -2).alias("pattern"), value.alias("value"), kind.alias("kind"), meets(F.col("t.start"), F.col("_stop")).alias("inside"))
-    return rows.where((F.col("kind").isNotNull() | ~F.col("inside")) & (F.col("value") != "") & (F.col("pattern") != ""))
+    tail = F.right(F.col("t.before"), F.lit(80))
+    secret = kind.isNull() & value.rlike(SECRET_SEED) & tail.rlike(ASSIGNED)
+    near = F.btrim(F.regexp_replace(F.lower(tail), rf"[{_SPACE}]+", " "))
+    shape = F.when(value.rlike("^[0-9]*[a-f][0-9a-f]*$") & (F.length(value) >= 16), "hex").otherwise(F.translate(value, _CHARS, _CLASSES))
+    # a bar stands in no two words that a space parts
+    last = F.when(near != "", F.concat(F.substring_index(near, " ", -1), F.lit(" | "), shape))
+    patterns = F.array_distinct(F.filter(F.array(F.substring_index(near, " ", -2), last), lambda p: p != ""))
+    rows = rows.select("_id", "_h", F.col("_start").alias("start"), (F.col("_start") + F.length(written)).alias("end"), patterns.alias("patterns"), value.alias("value"), F.coalesce(kind, F.when(secret, SECRET)).alias("kind"), meets(F.col("t.start"), F.col("_stop")).alias("inside"))
+    rows = rows.where((F.col("kind").isNotNull() | ~F.col("inside")) & (F.col("value") != ""))
+    return rows.select("_id", "_h", "start", "end", F.explode("patterns").alias("pattern"), "value", "kind")
 
 
 def _fits(kind: Column, value: Column) -> Column:
@@ -187,7 +206,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds:
     base = settle(base_spans(keyed, "_text").drop("_text"))
     tokens = settle(_token_rows(base))
     sure = learn(tokens, rounds, min_seeds).where(F.col("confidence") >= min_confidence).withColumnRenamed("kind", "as")
-    more = tokens.where("kind is null").join(sure, "pattern").where(_fits(F.col("as"), F.col("value")))
+    more = tokens.where(F.col("kind").isNull() | (F.col("kind") == SECRET)).join(sure, "pattern").where(_fits(F.col("as"), F.col("value")))
     more = more.groupBy("_id", "_h").agg(F.sort_array(F.collect_set(F.struct(F.col("as").alias("kind"), "start", "end"))).alias("found"))
     more = more.select(F.col("_id").alias("_i"), F.col("_h").alias("_g"), "found")
     out = base.join(more, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g")), "left")
@@ -203,15 +222,17 @@ def written(*spans: tuple[str, Column]) -> Column:
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts of the base spans, their digest, and all spans as text."""
+    """Counts of the base spans, their digest, all spans as text, and n_found, the spans that contexts add."""
     base = written(*((k, F.col(k)) for k in KINDS))
 
     def with_found(k: str) -> Column:
         own = F.filter("found", lambda s: s["kind"] == k)
         return F.concat(F.col(k), F.transform(own, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
 
-    every = written(*((k, with_found(k)) for k in KINDS))
-    return found.select(id_col, *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(base, 256).alias("base_sha256"), every.alias("spans"))
+    own = lambda k: F.transform(F.filter("found", lambda s: s["kind"] == k), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    every = written(*((k, with_found(k)) for k in KINDS), (SECRET, own(SECRET)))
+    n = [F.size(k) for k in KINDS]
+    return found.select(id_col, *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(base, 256).alias("base_sha256"), every.alias("spans"), F.size("found").cast("long").alias("n_found"), sum(n, F.size("found")).cast("long").alias("n_spans"))
 
 
 def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
