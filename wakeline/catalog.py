@@ -56,12 +56,12 @@ s AS (SELECT camera, grp, i, side, peak_time, last_seen, detections, duration, p
   CASE WHEN near AND NOT wins THEN s.alive ELSE n.track_id END, CASE WHEN NOT near THEN NULL WHEN wins THEN s.alive ELSE n.track_id END
  FROM s JOIN n ON s.camera = n.camera AND s.grp = n.grp AND n.i = s.i + 1,
  LATERAL (SELECT n.side = s.side AND n.peak_time - s.peak_time <= 1.0 AND n.first_seen <= s.last_seen + 0.25 AS near, (n.detections, n.duration, n.peak_area) > (s.detections, s.duration, s.peak_area) AS wins))
-SELECT c.source, c.session, c.track_id NOT IN (SELECT lost FROM s WHERE lost IS NOT NULL) AS survivor FROM c""")
+SELECT c.source, c.session, s.lost IS NULL AS survivor, s.alive AS duplicate_of FROM c LEFT JOIN s ON s.lost = c.track_id""")
 def candidate_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tracks.summarize(fx.observations(spark, sf_dir)).where("detections >= 2")
     t = t.withColumns({"track_id": F.col("source") * 100000 + F.col("session"), "grp": F.floor(F.col("source") / 10)})
     t = t.select("source", "session", "track_id", "camera", "grp", "side", "peak_time", "first_seen", "last_seen", "detections", "duration", "peak_area")
-    return tracks.deduplicate(t, ("camera", "grp")).select("source", "session", "survivor")
+    return tracks.deduplicate(t, ("camera", "grp")).select("source", "session", "survivor", "duplicate_of")
 
 
 @query(f"""WITH {fx.LANES_SQL}, m AS (SELECT r.key, rear_id, front_id, f.t - r.t AS delta, row_number() OVER (PARTITION BY r.key, rear_id ORDER BY abs(f.t - r.t), f.t, front_id) AS k
@@ -94,9 +94,10 @@ def bias_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.best_bias(*fx.lanes(spark, sf_dir), 1.5, 120.0).withColumn("refined", F.round("refined", 6))
 
 
-@query(f"""WITH {fx.LANES_SQL}, o AS (SELECT r.key, round(r.t - f.t, 3) AS o FROM r JOIN f ON r.key = f.key AND abs(r.t - f.t) <= 12), c AS (SELECT DISTINCT key, o AS c FROM o),
-g AS (SELECT c.key, c, count(*) AS n, median(o) AS modal FROM c JOIN o ON c.key = o.key AND abs(o - c) <= 1.5 GROUP BY c.key, c)
-SELECT key, n, round(modal, 6) AS modal FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, abs(c), c) AS k FROM g) WHERE k = 1""")
+@query(f"""WITH {fx.LANES_SQL}, o AS (SELECT r.key, round(r.t - f.t, 3) AS o, round(round(r.t - f.t, 3) * 1e6)::BIGINT AS u FROM r JOIN f ON r.key = f.key AND abs(r.t - f.t) <= 12), c AS (SELECT DISTINCT key, u AS c FROM o),
+g AS (SELECT c.key, c, count(*) AS n, median(o) AS modal FROM c JOIN o ON c.key = o.key AND abs(u - c) <= 1500000 GROUP BY c.key, c),
+s AS (SELECT g.key, g.c, g.n, g.modal, round(sum(abs(o - g.modal)), 6) AS spread FROM g JOIN o ON g.key = o.key AND abs(u - g.c) <= 1500000 GROUP BY g.key, g.c, g.n, g.modal)
+SELECT key, n, round(modal, 6) AS modal FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, spread, round(abs(modal), 6), abs(c), c) AS k FROM s) WHERE k = 1""")
 def modal_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     rear, front = fx.lanes(spark, sf_dir)
     b = F.floor(F.col("t") / 12.0)
@@ -324,3 +325,6 @@ def heartbeat_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = e.groupBy("key").agg((F.min("us") / 3600e6).alias("started"))
     beats = e.where("event_type = 'view'").select("key", (F.col("us") / 3600e6).alias("at"))
     return rollup.watchdog(starts, beats, "key", F.lit(474000.0), 300.0).withColumn("last_beat", F.round("last_beat", 6))
+
+
+from wakeline import catalog_more  # noqa: E402, F401  registers the rest

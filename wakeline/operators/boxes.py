@@ -64,3 +64,30 @@ def expectation(logits: Column, bins: int, side: int) -> Column:
     e = F.transform(own, lambda v: F.exp(v - top))
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
     return total(F.transform(e, lambda v, k: v * k)) / total(e)
+
+
+def decoded(df: DataFrame, logits: Column, bins: int, stride: int, x: Column, y: Column) -> DataFrame:
+    """df with the box (x1, y1, x2, y2): the anchor less or plus the expected distance of each side, in pixels."""
+    l, t, r, b = (expectation(logits, bins, k) for k in range(4))
+    return df.withColumns({"x1": (x - l) * stride, "y1": (y - t) * stride, "x2": (x + r) * stride, "y2": (y + b) * stride})
+
+
+def letterbox(width: int, height: int, size: int = 640) -> tuple[float, float, float]:
+    """Scale and left and top padding of a picture in a square."""
+    if min(width, height, size) < 1:
+        raise ValueError("sizes are positive")
+    scale = min(size / width, size / height)
+    return scale, (size - round(width * scale)) // 2, (size - round(height * scale)) // 2
+
+
+def unpadded(df: DataFrame, scale: float, left: float, top: float, width: float, height: float) -> DataFrame:
+    """Boxes in the pixels of the picture before it was scaled and padded, held within it; empty ones go."""
+    back = lambda c, pad, most: F.greatest(F.lit(0.0), F.least(F.lit(most), (F.col(c) - pad) / scale))
+    df = df.withColumns({"x1": back("x1", left, width), "y1": back("y1", top, height), "x2": back("x2", left, width), "y2": back("y2", top, height)})
+    return df.where("x2 > x1 and y2 > y1")
+
+
+def class_score(logits: Column) -> tuple[Column, Column]:
+    """The largest sigmoid of the class logits (held within 30) and the first class that has it."""
+    best = F.array_max(logits)
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), best)))), F.array_position(logits, best).cast("int") - 1

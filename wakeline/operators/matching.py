@@ -25,22 +25,27 @@ def nearest(rear: DataFrame, front: DataFrame, tolerance: float, key: str = "key
     return best.select(key, "rear_id", F.col("m.front_id").alias("front_id"), (F.col("m.ft") - F.col("rt")).alias("delta"))
 
 
-def nearest_unused(values: list[float], target: float, used: set[int]) -> int | None:
-    """The unused place nearest to target among the two places on each side of it; the lower of equals."""
-    p = bisect_left(values, target)
-    near = [k for k in range(max(0, p - 2), min(len(values), p + 3)) if k not in used]
-    return min(near, key=lambda k: (abs(values[k] - target), k), default=None)
+#: Free rows are looked for this many places around the target (fixed value).
+REACH = 2
 
 
 def greedy(rear: list[tuple[float, int]], front: list[tuple[float, int]], bias: float, tolerance: float) -> list[tuple[int, int, float]]:
-    """(rear id, front id, rear time - front time): rear rows in order each take the nearest front row left."""
-    front, used, out = sorted(front), set(), []
-    times = [t for t, _ in front]
+    """(rear id, front id, rear time - front time): rear rows in order each take the free front row nearest to their
+    target, within REACH places of where it would stand; of equally near ones the earlier."""
+    order, out = sorted(front), []
+    times = [t for t, _ in order]
+    free = [True] * len(order)
     for t, k in sorted(rear):
-        at = nearest_unused(times, t - bias, used)
-        if at is not None and abs(times[at] - (t - bias)) <= tolerance:
-            used.add(at)
-            out.append((k, front[at][1], t - times[at]))
+        goal = t - bias
+        at = bisect_left(times, goal)
+        least, chosen = tolerance, -1
+        for j in range(max(0, at - REACH), min(len(order), at + REACH + 1)):
+            apart = abs(times[j] - goal)
+            if free[j] and (apart < least or (chosen < 0 and apart == least)):
+                least, chosen = apart, j
+        if chosen >= 0:
+            free[chosen] = False
+            out.append((k, order[chosen][1], t - times[chosen]))
     return out
 
 
@@ -111,14 +116,43 @@ def best_bias(rear: DataFrame, front: DataFrame, tolerance: float, bound: float,
     return done.groupBy(key).agg(F.min_by(F.struct("bias", "matches", "refined"), rank).alias("m")).select(key, "m.*")
 
 
-def modal_offset(offsets: DataFrame, tolerance: float, key: str = "key") -> DataFrame:
-    """key, n, modal: the median of the largest cluster of values within tolerance of one of them."""
-    mine = offsets.select(key, F.col("offset").alias("c")).distinct()
-    bucket = lambda c: F.floor(F.col(c) / tolerance)
-    a = mine.select(key, "c", F.explode(F.array(bucket("c") - 1, bucket("c"), bucket("c") + 1)).alias("b"))
-    near = a.join(offsets.select(key, "offset", bucket("offset").alias("b")), [key, "b"]).where(F.abs(F.col("offset") - F.col("c")) <= tolerance)
+def modal_offset(offsets: DataFrame, tolerance: float, key: str = "key", preferred: float = 0.0) -> DataFrame:
+    """key, n, modal: the median of the largest cluster of values within tolerance of one of them.
+
+    Of clusters of one size the one with the least spread about its median wins, then the one nearest to preferred,
+    then the one of the smallest value. Sizes come from a window over sorted values, so only the largest
+    clusters of a key are laid out in full.
+    """
+    # whole millionths, so that sums and differences are exact
+    band = round(tolerance * 1e6)
+    offsets = offsets.select(key, "offset", F.round(F.col("offset") * 1e6).cast("long").alias("u"))
+    at = Window.partitionBy(key).orderBy("u")
+    sized = offsets.withColumn("n", F.count("*").over(at.rangeBetween(-band, band)))
+    most = sized.withColumn("_most", F.max("n").over(Window.partitionBy(key))).where("n = _most").select(key, F.col("u").alias("c")).distinct()
+    bucket = lambda c: F.floor(F.col(c) / band)
+    a = most.select(key, "c", F.explode(F.array(bucket("c") - 1, bucket("c"), bucket("c") + 1)).alias("b"))
+    near = a.join(offsets.select(key, "offset", "u", bucket("u").alias("b")), [key, "b"]).where(F.abs(F.col("u") - F.col("c")) <= band)
     groups = near.groupBy(key, "c").agg(F.count("*").alias("n"), F.median("offset").alias("modal"))
-    return groups.groupBy(key).agg(F.min_by(F.struct("n", "modal"), F.struct(-F.col("n"), F.abs("c"), F.col("c"))).alias("m")).select(key, "m.*")
+    spread = near.join(groups.select(key, "c", "modal"), [key, "c"]).groupBy(key, "c").agg(F.round(F.sum(F.abs(F.col("offset") - F.col("modal"))), 6).alias("spread"))
+    rank = F.struct(-F.col("n"), F.col("spread"), F.round(F.abs(F.col("modal") - preferred), 6), F.abs("c"), F.col("c"))
+    return groups.join(spread, [key, "c"]).groupBy(key).agg(F.min_by(F.struct("n", "modal"), rank).alias("m")).select(key, "m.*")
+
+
+def aligned(rear: DataFrame, front: DataFrame, bias: DataFrame, tolerance: float, key: str = "key") -> tuple[DataFrame, DataFrame]:
+    """Matches (key, rear_id, front_id, offset, residual) and, for each key, bias, accepted, max_residual, min_offset, max_offset.
+
+    Rows are matched at each key's first bias (key, bias), then once more at the median of what that found; residuals
+    are against that median. Keys without matches have their first bias and zeros.
+    """
+
+    def matched(at: DataFrame) -> DataFrame:
+        return _matched(_both(rear.join(at, key), front.join(at, key), [key]), [key], tolerance)
+
+    first = settle(matched(bias))
+    refined = settle(bias.join(first.groupBy(key).agg(F.median("offset").alias("m")), key, "left").select(key, F.coalesce("m", "bias").alias("bias")))
+    pairs = settle(matched(refined).join(refined, key).withColumn("residual", F.col("offset") - F.col("bias")).drop("bias"))
+    ends = pairs.groupBy(key).agg(F.count("*").alias("accepted"), F.max(F.abs("residual")).alias("max_residual"), F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
+    return pairs, refined.join(ends, key, "left").na.fill({"accepted": 0, "max_residual": 0.0, "min_offset": 0.0, "max_offset": 0.0})
 
 
 def clip_plan(pairs: DataFrame, rear_length: float, front_length: float, before: float = 3.0, after: float = 4.0, least: float = 5.0) -> DataFrame:

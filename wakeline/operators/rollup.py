@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wakeline.session import settle
+
 
 def status(run: Column, benchmark: Column, valid: Column) -> Column:
     """completed, awaiting_validation, awaiting_benchmark or pending, from what of a file exists."""
@@ -33,13 +35,16 @@ def telemetry_stats(samples: DataFrame, metrics: list[str]) -> DataFrame:
     """metric, n, least, most, mean, p95 (nearest rank, index rounded half to even) over the cells that hold a number."""
     long = samples.unpivot([], metrics, "metric", "value").where("value is not null")
     stats = long.groupBy("metric").agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"), F.round(F.avg("value"), 3).alias("mean"))
-    # ranks from counts of equal values: the window runs over distinct values, not over all samples
-    from pyspark.sql import Window
-
-    values = long.groupBy("metric", "value").agg(F.count("*").alias("k"))
-    w = Window.partitionBy("metric").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = values.withColumn("upto", F.sum("k").over(w)).join(stats.select("metric", "n"), "metric")
-    at = ranked.where(F.col("upto") > F.bround(0.95 * (F.col("n") - 1))).groupBy("metric").agg(F.min("value").alias("p95"))
+    # ranks from counts of equal values: values are range-partitioned, so a rank is a count of the parts before and a place in its part
+    values = settle(long.groupBy("metric", "value").agg(F.count("*").alias("k")).repartitionByRange("metric", "value").withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy("metric").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = values.groupBy("metric", "part").agg(F.sum("k").alias("k")).select("metric", "part", "k", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("base"))
+    rank = F.bround(0.95 * (F.col("n") - 1))
+    # only the part that holds the rank is sorted
+    held = parts.join(stats.select("metric", "n"), "metric").where((F.col("base") <= rank) & (rank < F.col("base") + F.col("k"))).select("metric", "part", "base", "n")
+    inside = Window.partitionBy("metric").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = values.join(held, ["metric", "part"]).withColumn("upto", F.col("base") + F.sum("k").over(inside))
+    at = ranked.where(F.col("upto") > rank).groupBy("metric").agg(F.min("value").alias("p95"))
     return stats.join(at, "metric")
 
 

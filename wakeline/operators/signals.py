@@ -22,3 +22,32 @@ def xcorr(a: DataFrame, b: DataFrame, most: int) -> DataFrame:
     """lag, score: mean product of a(idx + lag) and b(idx) over the places where both exist, by an equi-join on shifted places."""
     shifted = b.select(F.col("x").alias("y"), F.col("idx").alias("at"), F.explode(F.sequence(F.lit(-most), F.lit(most))).alias("lag")).withColumn("idx", F.col("at") + F.col("lag"))
     return a.join(shifted, "idx").groupBy("lag").agg((F.sum(F.col("x") * F.col("y")) / F.count("*")).alias("score"))
+
+
+def indexed(df: DataFrame, order: list[str], key: str = "key") -> DataFrame:
+    """df with idx, the place of each row of a key in the order, from 0 on."""
+    return df.withColumn("idx", F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1)
+
+
+def envelope(df: DataFrame, block: int, width: int, key: str = "key") -> DataFrame:
+    """key, idx, envelope: log of the root mean square of each block of samples, detrended, in standard deviations.
+
+    A signal that hardly varies has null values.
+    """
+    power = F.log1p(F.sqrt(F.avg(F.col("x") * F.col("x")) + 1)).alias("x")
+    d = detrend(df.groupBy(key, F.floor(F.col("idx") / block).alias("idx")).agg(power), width, key)
+    spread = d.groupBy(key).agg(F.stddev_pop("detrended").alias("sd"))
+    return d.join(spread, key).select(key, "idx", F.when(F.col("sd") > 1e-6, F.col("detrended") / F.col("sd")).alias("envelope"))
+
+
+def best_lag(scores: DataFrame, apart: int, absolute: bool = False) -> DataFrame:
+    """lag, score, second (the best outside apart places of it), score_ratio, polarity, from lag and score.
+
+    There is one row for each lag, a bounded number.
+    """
+    ranked = F.abs("score") if absolute else F.col("score")
+    s = scores.withColumn("r", ranked)
+    best = s.agg(F.max_by(F.struct("lag", "score", "r"), F.struct("r", -F.col("lag"))).alias("b")).select("b.*")
+    other = s.crossJoin(F.broadcast(best.select(F.col("lag").alias("at")))).where(F.abs(F.col("lag") - F.col("at")) > apart).agg(F.max("r").alias("second"))
+    ratio = F.when(F.col("second") > 0, F.round(F.col("r") / F.col("second"), 3))
+    return best.crossJoin(F.broadcast(other)).select("lag", F.col("r").alias("score"), "second", ratio.alias("score_ratio"), F.when(F.col("score") >= 0, 1).otherwise(-1).alias("polarity"))

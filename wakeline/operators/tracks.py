@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wakeline.operators.groups import whole_groups
+
 CLASS_NAMES = {2: "car", 3: "motorcycle", 5: "bus", 7: "truck"}
 
 
@@ -45,12 +48,16 @@ def summarize(obs: DataFrame, limits: Thresholds = Thresholds(), keys: tuple[str
     The peak is the earliest row of largest area. A front camera is judged from the peak on (the object
     recedes), a rear camera up to the peak (it comes near).
     """
+    known = F.when(F.col("camera").isin("front", "rear"), F.col("camera")).otherwise(F.raise_error(F.concat(F.lit("unknown camera: "), F.coalesce("camera", F.lit("null")))))
+    obs = obs.withColumn("camera", known)
     w = Window.partitionBy(*keys).orderBy("ts", "obs_id")
     rows = obs.withColumn("idx", F.row_number().over(w) - 1).withColumn("floored", F.greatest("area", F.lit(1e-9)))
     whole = Window.partitionBy(*keys)
     rows = rows.withColumn("peak", -F.max(F.struct("floored", -F.col("idx"))).over(whole)["col2"])
     rows = rows.withColumn("used", F.when(F.col("camera") == "front", F.col("idx") >= F.col("peak")).otherwise(F.col("idx") <= F.col("peak")))
     at_peak = lambda c: F.max(F.when(F.col("idx") == F.col("peak"), F.col(c)))
+    # times that hardly differ have no slope
+    spread = F.var_pop(F.when(F.col("used"), F.col("ts"))) * F.count(F.when(F.col("used"), F.lit(1)))
     log_area = F.when(F.col("used"), F.log("floored"))
     used_ts = F.when(F.col("used"), F.col("ts"))
     ends = {"first": F.min_by(F.struct("cx", "bottom", "floored"), "idx"), "last": F.max_by(F.struct("cx", "bottom", "floored"), "idx")}
@@ -58,7 +65,7 @@ def summarize(obs: DataFrame, limits: Thresholds = Thresholds(), keys: tuple[str
         F.first("camera").alias("camera"), F.count("*").alias("detections"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"),
         F.min_by("class_id", "idx").alias("class_id"), F.max("confidence").alias("max_confidence"), F.max("peak").alias("peak_index"),
         at_peak("ts").alias("peak_time"), at_peak("cx").alias("pcx"), at_peak("bottom").alias("pbottom"), at_peak("floored").alias("peak_area"),
-        F.regr_slope(log_area, used_ts).alias("slope"), *(v.alias(k) for k, v in ends.items()),
+        F.when(spread > 1e-12, F.regr_slope(log_area, used_ts)).alias("slope"), *(v.alias(k) for k, v in ends.items()),
     )
     front = F.col("camera") == "front"
     end = lambda f: F.when(front, F.col(f"last.{f}")).otherwise(F.col(f"first.{f}"))
@@ -94,34 +101,37 @@ def _class_name(class_id: Column) -> Column:
 
 
 def deduplicate(tracks: DataFrame, lane: tuple[str, ...], peak_window: float = 1.0, track_gap: float = 0.25) -> DataFrame:
-    """tracks with survivor: a scan in the order of peak times compares each with the last survivor.
+    """tracks with survivor and duplicate_of: a scan in the order of peak times compares each with the last survivor.
 
     Tracks of one side, near in time, are one object; the one with more detections, then the longer one, then
-    the larger stays, and the earlier one of equals. A chain can only run through steps of at most
-    peak_window, so a lane falls at larger steps into groups that tasks scan apart.
+    the larger stays, and the earlier one of equals. duplicate_of is the track that won the comparison, which may
+    lose a later one. A chain can only run through steps of at most peak_window, so a lane falls at larger steps
+    into groups, and tasks take whole groups from sorted rows.
     """
     w = Window.partitionBy(*lane).orderBy("peak_time", "track_id")
     far = F.coalesce((F.col("peak_time") - F.lag("peak_time").over(w) > peak_window).cast("int"), F.lit(0))
     cut = tracks.withColumn("_far", far).withColumn("_group", F.sum("_far").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_far")
-
-    def scan(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["peak_time", "track_id"], kind="stable").reset_index(drop=True)
-        stays, last = [True] * len(g), None
-        rows = list(g[["side", "peak_time", "first_seen", "last_seen", "detections", "duration", "peak_area"]].itertuples(index=False))
-        for k, r in enumerate(rows):
-            if last is not None:
-                p = rows[last]
-                if r.side == p.side and r.peak_time - p.peak_time <= peak_window and r.first_seen <= p.last_seen + track_gap:
-                    if (r.detections, r.duration, r.peak_area) > (p.detections, p.duration, p.peak_area):
-                        stays[last], last = False, k
+    own = [*lane, "_group"]
+
+    def scan(batches):
+        for g, at in whole_groups(batches, own):
+            stays, winner = np.ones(len(g), bool), np.full(len(g), None, object)
+            side, peak, first, last_seen = (g[c].tolist() for c in ("side", "peak_time", "first_seen", "last_seen"))
+            worth = list(zip(g["detections"].tolist(), g["duration"].tolist(), g["peak_area"].tolist(), strict=True))
+            ids = g["track_id"].tolist()
+            for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                last = i
+                for k in range(i + 1, j):
+                    if side[k] != side[last] or peak[k] - peak[last] > peak_window or first[k] > last_seen[last] + track_gap:
+                        last = k
+                    elif worth[k] > worth[last]:
+                        stays[last], winner[last], last = False, ids[k], k
                     else:
-                        stays[k] = False
-                    continue
-            last = k
-        return g.assign(survivor=stays)
+                        stays[k], winner[k] = False, ids[last]
+            yield g.assign(survivor=stays, duplicate_of=pd.array(winner, "Int64"))
 
-    schema = cut.withColumn("survivor", F.lit(True)).schema
-    return cut.groupBy(*lane, "_group").applyInPandas(scan, schema).drop("_group")
+    schema = cut.withColumns({"survivor": F.lit(True), "duplicate_of": F.lit(None).cast("long")}).schema
+    return cut.repartition(*own).sortWithinPartitions(*own, "peak_time", "track_id").mapInPandas(scan, schema).drop("_group")
 
 
 def clip_window(df: DataFrame, before: float = 3.0, after: float = 4.0, length: str = "media_seconds") -> DataFrame:

@@ -30,10 +30,12 @@ _own_folder: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), one made here."""
+    """The folder in spark.checkpoint.dir; where that is unset, one made here, which only a local master can share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _own_folder:
         _own_folder.append("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
     return _own_folder[0]
