@@ -124,43 +124,36 @@ def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def company(texts: DataFrame, words: list[str]) -> np.ndarray:
     """In how many different words' company (right after them) each of these words stands in all texts.
 
-    texts: column _text. Pairs meet as 64-bit digests; each task sends a pair once for each batch of rows.
+    texts: column _text. A pair is one number: the word's place in words and 32 bits of a digest of the word before it,
+    so two companions of a word count as one with a chance of their number in 2^32.
     """
     shipped = texts.sparkSession.sparkContext.broadcast({w: k for k, w in enumerate(words)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        def once(parts: list[np.ndarray]) -> pa.RecordBatch:
-            rows = np.concatenate(parts, 1)
-            rows = rows[:, np.lexsort(rows)]
-            new = np.ones(rows.shape[1], bool)
-            new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in rows[:, new]], names=["w", "v"])
-
         ids, digest = shipped.value, {}
+        pairs, size = [], 0
         for b in batches:
-            pairs, size = [], 0
             for text in b.column("_text"):
                 w = words_of(text.as_py())
+                if len(digest) > 500_000:
+                    digest.clear()
                 now = np.fromiter((ids.get(x, -1) for x in w), np.int64, len(w))
-                for x in w:
-                    if x not in digest:
-                        if len(digest) > 500_000:
-                            digest.clear()
-                        digest[x] = xxhash.xxh64_intdigest(x)
-                before = np.fromiter((digest.get(x) or xxhash.xxh64_intdigest(x) for x in [START, *w[:-1]][: len(w)]), np.uint64, len(w))
+                digest.update((x, xxhash.xxh32_intdigest(x)) for x in {START, *w} if x not in digest)
+                before = np.fromiter((digest[x] for x in [START, *w[:-1]][: len(w)]), np.int64, len(w))
                 known = now >= 0
-                pairs.append(np.stack([now[known], before[known].view(np.int64)]))
-                size += int(known.sum())
-                if size > 1 << 20:
-                    yield once(pairs)
+                pairs.append((now[known] << 32) | before[known])
+                size += len(pairs[-1])
+                if size > 1 << 21:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(pairs)))], names=["pair"])
                     pairs, size = [], 0
-            if pairs:
-                yield once(pairs)
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(pairs)))], names=["pair"])
 
     out = np.zeros(len(words), np.int64)
-    found = texts.select("_text").mapInArrow(run, "w long, v long").distinct().groupBy("w").agg(F.count("*").alias("n")).toPandas()
+    met = texts.select("_text").mapInArrow(run, "pair long").distinct()
+    found = met.groupBy(F.shiftright("pair", 32).alias("w")).agg(F.count("*").alias("n")).toPandas()
     out[found["w"].to_numpy(np.int64)] = found["n"]
     return out
 
