@@ -13,10 +13,12 @@ def test_sql_gives_the_same_rows(spark, name):
 
 
 def test_greedy_takes_only_near_places():
-    # two places on each side of the target are looked at; all five used means no match
-    values = [float(k) for k in range(9)]
-    assert matching.nearest_unused(values, 4.0, {2, 3, 4, 5, 6}) is None
-    assert matching.nearest_unused(values, 4.0, {4}) == 3
+    # two places on each side of the target are looked at; with all five taken a sixth row finds none, though others are free
+    front = [(float(k), k) for k in range(9)]
+    got = matching.greedy([(4.0, 100 + k) for k in range(6)], front, 0.0, 10.0)
+    assert [f for _, f, _ in got] == [4, 3, 5, 2, 6]
+    # a difference of just the tolerance counts
+    assert matching.greedy([(4.0, 1)], [(6.0, 2)], 0.0, 2.0) == [(1, 2, -2.0)] and matching.greedy([(4.0, 1)], [(6.1, 2)], 0.0, 2.0) == []
 
 
 def test_greedy_groups_equal_the_whole(spark):
