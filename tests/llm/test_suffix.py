@@ -48,6 +48,12 @@ def test_repeated_starts(alphabet):
     got = suffix_array.repeated_starts(pieces, length)
     for p, g in zip(pieces, got, strict=True):
         assert g.tolist() == [i for i in range(len(p) - length + 1) if seen[p[i : i + length]] > 1]
+    # pieces that are there more than once stand in the sort once, with their number
+    several = suffix_array.repeated_starts(pieces, length, np.array([1 + k % 3 for k in range(len(pieces))]))
+    for k, (p, g) in enumerate(zip(pieces, several, strict=True)):
+        seen.update({p[i : i + length]: k % 3 for i in range(len(p) - length + 1)} if k % 3 else {})
+    for p, g in zip(pieces, several, strict=True):
+        assert g.tolist() == [i for i in range(len(p) - length + 1) if seen[p[i : i + length]] > 1]
 
 
 def test_query_equals_brute_force(spark):
@@ -71,13 +77,26 @@ def test_small_lengths_periods_copies_and_both_ways(spark, monkeypatch):
         assert out.where("doc_id is null").count() == sum(k % 9 == 0 for k in range(len(texts)))
 
 
+def test_anchor_with_very_many_contexts(spark):
+    """One run of bytes in all texts, what stands around it different, equal or equal on one side only."""
+    rnd = random.Random(5)
+    some = lambda n: "".join(rnd.choice("pqrstuvw") for _ in range(n))
+    middle, left, right = some(8), [some(16) for _ in range(6)], [some(16) for _ in range(6)]
+    texts = [rnd.choice([*left, some(16)]) + middle + rnd.choice([*right, some(16)]) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute(texts, 24)
+    for many in (100, 20, 1):
+        out = suffix_dedup.deduplicate(df, length=24, gram=8, many=many, portion=500).collect()
+        assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sorted(out, key=lambda r: r.doc_id)] == want
+
+
 def test_long_texts_in_parts(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BUFFER", 300)
     rnd = random.Random(4)
     text = bytes(rnd.randrange(97, 100) for _ in range(2_000))
     starts = set()
     for rows, at, parts in suffix_dedup._segments(iter([b"short", text, text[:40]]), 24):
-        t, s, n, _, _ = suffix_dedup.pieces(np.frombuffer(b"".join(parts), np.uint8), [len(p) for p in parts], 24, 8)
+        t, s, n, _, _, _ = suffix_dedup.pieces(np.frombuffer(b"".join(parts), np.uint8), [len(p) for p in parts], 24, 8)
         for k, a, c in zip(t, s, n, strict=True):
             starts |= {(rows[k], at[k] + a + j) for j in range(c)}
     assert starts == {(1, k) for k in range(2_000 - 23)} | {(2, k) for k in range(17)}

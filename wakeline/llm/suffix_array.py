@@ -93,8 +93,11 @@ def suffix_array(t: np.ndarray, depth: int, words: np.ndarray, m: int) -> np.nda
     return np.concatenate(out)
 
 
-def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
-    """For each piece, the starts of its strings of that length that also start elsewhere in the pieces."""
+def repeated_starts(pieces: list[bytes], length: int, times: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each piece, the starts of its strings of that length that also start elsewhere in the pieces.
+
+    times: how often each piece is there (else once).
+    """
     if not pieces:
         return []
     data = np.frombuffer(b"".join(pieces), np.uint8)
@@ -111,11 +114,17 @@ def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
     sa = suffix_array(t, length, words, m)
     left = np.zeros(len(t), np.int64)  # symbols up to the end of the piece
     left[inside] = np.repeat(first + sizes, sizes) - inside
-    # adjacent common prefixes, as far as the length asked for
+    # adjacent common prefixes, as far as the length asked for: equal strings are runs of sa
+    sa = sa[left[sa] >= length]
     a, b = sa[:-1], sa[1:]
-    alive = np.flatnonzero((left[a] >= length) & (left[b] >= length))
+    alive = np.arange(len(a))
     for at in [*range(0, length - m, m), length - m]:
         alive = alive[words[a[alive] + at] == words[b[alive] + at]]
+    new = np.ones(len(sa), np.int64)
+    new[alive + 1] = 0
+    run = np.cumsum(new) - 1
+    weight = np.zeros(len(t), np.int64)
+    weight[inside] = 1 if times is None else np.repeat(np.minimum(times, 2), sizes)  # two will do, and sums stay small
     again = np.zeros(len(t), bool)
-    again[a[alive]] = again[b[alive]] = True
+    again[sa] = np.bincount(run, weight[sa])[run] > 1 if len(sa) else False
     return [np.flatnonzero(again[f : f + n]) for f, n in zip(first.tolist(), sizes.tolist(), strict=True)]

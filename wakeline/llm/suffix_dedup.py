@@ -6,16 +6,18 @@ The suffixes of a large corpus cannot be shuffled one by one, so strings first m
    equals). The anchor follows from the string alone, so equal strings have equal anchors at equal
    places. Neighbouring strings mostly share an anchor, so a document falls into pieces: maximal runs of
    starts with one anchor. A piece is two hashes, of the anchor and of all its bytes.
-2. An anchor hash seen once cannot repeat. If all pieces of an anchor are equal, their starts repeat.
-   Counts aggregate partially, so copies weigh one row for each task.
-3. Of the other anchors, one text for each different piece is fetched, dealt by anchor, and sorted as
-   suffixes by the two-stage method (see suffix_array); adjacent common prefixes show what repeats. Work
-   is in portions of about PORTION bytes. An anchor with more than MANY different pieces is not put into
-   one task: its strings meet by a 128-bit digest of each instead, by partial aggregation.
-4. Repeated starts return to their documents, and the bytes they cover go.
-
-Every stage is linear in the bytes of the input. Steps 1 and 2 compare by 128 hash bits in all, step 3
-by the bytes themselves.
+2. An anchor hash seen once cannot repeat. Of the others, each different piece is one row with its multiplicity;
+   counts aggregate partially, so copies weigh one row for each task.
+3. One text for each different piece is fetched, dealt by anchor, and sorted as suffixes by the two-stage method
+   (see suffix_array). Adjacent common prefixes join equal strings, and a string repeats if the multiplicities of
+   its pieces add up to two or more. Work is in portions of about PORTION bytes.
+4. An anchor with more than MANY different pieces falls apart by a longer common context: strings whose anchor
+   stands at nearly the same place share more bytes around it than the anchor alone. Such parts of pieces are
+   groups like those before, so copies collapse again, and each is sorted as in step 3. If a part is still too
+   large, the places are cut finer, down to single ones, where a group is one string.
+5. Repeated starts return to their documents, and the bytes they cover go.
+
+Every stage is linear in the bytes of the input. Equal pieces meet by 128 hash bits, all else by the bytes themselves.
 
 Defined results: null and empty texts have no bytes and lose none. Texts under LENGTH bytes stay whole.
 Rows with equal ids count as separate documents. Extra columns do not matter. No rows give no rows.
@@ -77,7 +79,7 @@ def _windowed_least(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def pieces(data: np.ndarray, lengths: list[int], length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(text, start, starts, anchor hash, piece hash) of the pieces of the concatenated texts."""
+    """(text, start, starts, anchor's place after the start, anchor hash, piece hash) of the pieces of the concatenated texts."""
     up, down, letters = _powers()
     n = len(data)
     sums = np.zeros(n + 1, np.uint64)
@@ -97,14 +99,14 @@ def pieces(data: np.ndarray, lengths: list[int], length: int, gram: int) -> tupl
     new[1:] &= ~valid[:-1] | (anchor[1:] != anchor[:-1])
     start = np.flatnonzero(new)
     if not len(start):
-        return (np.empty(0, np.int64),) * 5
+        return (np.empty(0, np.int64),) * 6
     count = np.add.reduceat(valid.astype(np.int64), start)
     text = np.searchsorted(ends, start, side="right")
     at = anchor[start]
     stop = start + count + length - 1
     whole = (sums[stop] - sums[start]) * down[start]
     whole = _mix(_mix(whole) ^ (count.astype(np.uint64) << np.uint64(20)) ^ (at - start).astype(np.uint64))
-    return text, start - first[text], count, grams[at].view(np.int64), whole.view(np.int64)
+    return text, start - first[text], count, at - start, grams[at].view(np.int64), whole.view(np.int64)
 
 
 def _segments(texts: Iterator[bytes], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
@@ -141,7 +143,7 @@ def _pieces(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             ids, hs = (b.column(k).to_numpy(zero_copy_only=False) for k in _KEY)
             texts = (x.as_buffer().to_pybytes() if x.is_valid else b"" for x in b.column("_text"))
             for rows, at, parts in _segments(texts, length):
-                text, start, count, kh, ph = pieces(np.frombuffer(b"".join(parts), np.uint8), [len(p) for p in parts], length, gram)
+                text, start, count, _, kh, ph = pieces(np.frombuffer(b"".join(parts), np.uint8), [len(p) for p in parts], length, gram)
                 row = np.array(rows)[text]
                 cols = [kh, ph, ids[row], hs[row], (start + np.array(at)[text]).astype(np.int32), count.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kh", "ph", "_id", "_h", "start", "n"])
@@ -150,23 +152,24 @@ def _pieces(keyed: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _fetched(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """kh, ph, piece (its bytes) of the wanted pieces (kh, ph, rep)."""
-    asked = wanted.select("rep._id", "rep._h", F.struct("kh", "ph", "rep.start", "rep.n").alias("w")).groupBy(*_KEY).agg(F.collect_list("w").alias("_asked"))
+    """kh, ph, c, piece (its bytes) of the wanted pieces (kh, ph, c, rep)."""
+    asked = wanted.select("rep._id", "rep._h", F.struct("kh", "ph", "c", "rep.start", "rep.n").alias("w")).groupBy(*_KEY).agg(F.collect_list("w").alias("_asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            kh, ph, out = [], [], []
+            kh, ph, c, out = [], [], [], []
             for x, asked in zip(b.column("_text"), b.column("_asked"), strict=True):
                 data = x.as_buffer().to_pybytes()
                 for w in asked.as_py():
                     kh.append(w["kh"])
                     ph.append(w["ph"])
+                    c.append(w["c"])
                     out.append(data[w["start"] : w["start"] + w["n"] + length - 1])
-            yield pa.RecordBatch.from_arrays([pa.array(kh, pa.int64()), pa.array(ph, pa.int64()), pa.array(out, pa.binary())], names=["kh", "ph", "piece"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (kh, ph, c)), pa.array(out, pa.binary())], names=["kh", "ph", "c", "piece"])
 
     # of rows with one key any text will do, and each may answer: equal answers collapse
     texts = keyed.select(*_KEY, "_text")
-    return texts.join(asked, _KEY).mapInArrow(run, "kh long, ph long, piece binary").dropDuplicates(["kh", "ph"])
+    return texts.join(asked, _KEY).mapInArrow(run, "kh long, ph long, c long, piece binary").dropDuplicates(["kh", "ph"])
 
 
 def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
@@ -182,66 +185,85 @@ _SPANS = pa.list_(pa.struct([("o", pa.int32()), ("n", pa.int32())]))
 def _sorted_groups(found: DataFrame, length: int, portion: int) -> DataFrame:
     """kh, ph, spans (runs of repeated starts) by suffix arrays over portions of whole anchor groups."""
 
-    def solve(kh: list[int], ph: list[int], piece: list[bytes]) -> pa.RecordBatch:
-        spans = [[{"o": o, "n": n} for o, n in _runs(s)] for s in repeated_starts(piece, length)]
+    def solve(kh: list[int], ph: list[int], count: list[int], piece: list[bytes]) -> pa.RecordBatch:
+        spans = [[{"o": o, "n": n} for o, n in _runs(s)] for s in repeated_starts(piece, length, np.array(count))]
         return pa.RecordBatch.from_arrays([pa.array(kh, pa.int64()), pa.array(ph, pa.int64()), pa.array(spans, _SPANS)], names=["kh", "ph", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kh, ph, piece, size = [], [], [], 0
+        rows, size = [], 0
         for b in batches:
-            for k, p, x in zip(*(b.column(c).to_pylist() for c in ("kh", "ph", "piece")), strict=True):
-                if size >= portion and k != kh[-1]:
-                    yield solve(kh, ph, piece)
-                    kh, ph, piece, size = [], [], [], 0
-                kh.append(k)
-                ph.append(p)
-                piece.append(x)
-                size += len(x)
-        if kh:
-            yield solve(kh, ph, piece)
+            for row in zip(*(b.column(c).to_pylist() for c in ("kh", "ph", "c", "piece")), strict=True):
+                if size >= portion and row[0] != rows[-1][0]:
+                    yield solve(*map(list, zip(*rows, strict=True)))
+                    rows, size = [], 0
+                rows.append(row)
+                size += len(row[-1])
+        if rows:
+            yield solve(*map(list, zip(*rows, strict=True)))
 
     return found.repartition("kh").sortWithinPartitions("kh", "ph").mapInArrow(run, "kh long, ph long, spans array<struct<o:int,n:int>>")
 
 
-def _digested_groups(found: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many pieces: each string meets its equals by a digest."""
+def _parts(found: DataFrame, length: int, gram: int, width: int) -> DataFrame:
+    """Pieces cut into parts whose strings have the anchor within width places: kh (hash of the bytes that all strings with
+    the anchor there share), ph (of the part), the whole piece's keys of_kh and of_ph, where the part starts in it, c, piece."""
+
+    def number(of: bytes, *more: int) -> int:
+        tail = b"".join(k.to_bytes(8, "little", signed=True) for k in more)
+        return int.from_bytes(hashlib.blake2b(of + tail, digest_size=8).digest(), "little", signed=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k, p, x in zip(*(b.column(c).to_pylist() for c in ("kh", "ph", "piece")), strict=True):
-                d = b"".join(hashlib.blake2b(x[o : o + length], digest_size=16).digest() for o in range(len(x) - length + 1))
-                d = np.frombuffer(d, np.int64).reshape(-1, 2)
-                cols = [np.full(len(d), k), np.full(len(d), p), np.arange(len(d), dtype=np.int32), d[:, 0].copy(), d[:, 1].copy()]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kh", "ph", "o", "d", "e"])
-
-    rows = settle(found.mapInArrow(run, "kh long, ph long, o int, d long, e long"))
-    again = rows.groupBy("d", "e").agg(F.count("*").alias("c")).where("c > 1").select("d", "e")
-    hit = rows.join(again, ["d", "e"]).groupBy("kh", "ph").agg(F.collect_list("o").alias("os"))
-    return hit.select("kh", "ph", F.transform("os", lambda o: F.struct(o.alias("o"), F.lit(1).alias("n"))).alias("spans"))
+            kh, ph, c = (b.column(k).to_pylist() for k in ("kh", "ph", "c"))
+            for rows, _, texts in _segments((x.as_buffer().to_pybytes() for x in b.column("piece")), length):
+                text, _, count, place, _, _ = pieces(np.frombuffer(b"".join(texts), np.uint8), [len(p) for p in texts], length, gram)
+                out = []
+                for k, n, at in zip(text.tolist(), count.tolist(), place.tolist(), strict=True):
+                    x, row = texts[k], rows[k]
+                    for j in range((at - n + 1) // width, at // width + 1):
+                        last = at - j * width  # of the part's starts, if the piece goes so far
+                        first = last - width + 1
+                        lo, hi = max(first, 0), min(last, n - 1)
+                        part = x[lo : hi + length]
+                        shared = number(x[last : first + length], kh[row], j)
+                        out.append((shared, number(part, at - lo), kh[row], ph[row], lo, c[row], part))
+                cols = zip(zip(*out, strict=True), _PART_KINDS.values(), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in cols], names=list(_PART_KINDS))
+
+    return found.select("kh", "ph", "c", "piece").mapInArrow(run, "kh long, ph long, of_kh long, of_ph long, start int, c long, piece binary")
+
+
+_PART_KINDS = {"kh": pa.int64(), "ph": pa.int64(), "of_kh": pa.int64(), "of_ph": pa.int64(), "start": pa.int32(), "c": pa.int64(), "piece": pa.binary()}
+
+
+def _solved(found: DataFrame, length: int, gram: int, many: int, portion: int, width: int) -> DataFrame:
+    """kh, ph, spans of the pieces (kh, ph, c, piece), whose anchors stand within width places."""
+    large = settle(found.groupBy("kh").agg(F.count("*").alias("k")).where(F.col("k") > many).select("kh"))
+    if width == 1 or large.isEmpty():
+        return _sorted_groups(found, length, portion)
+    width = max(1, width // 4)
+    parts = settle(_parts(found.join(large, "kh", "left_semi"), length, gram, width))
+    kinds = settle(parts.groupBy("kh", "ph").agg(F.sum("c").alias("c"), F.first("piece").alias("piece")))
+    # written, like the parts, so that Spark can split the rows of a part that many pieces share
+    spans = settle(_solved(kinds, length, gram, many, portion, width).where(F.size("spans") > 0))
+    back = parts.select("kh", "ph", "of_kh", "of_ph", "start").join(spans, ["kh", "ph"]).select("of_kh", "of_ph", "start", F.explode("spans").alias("s"))
+    whole = back.groupBy(F.col("of_kh").alias("kh"), F.col("of_ph").alias("ph")).agg(F.collect_list(F.struct((F.col("start") + F.col("s.o")).alias("o"), "s.n")).alias("spans"))
+    return _sorted_groups(found.join(large, "kh", "left_anti"), length, portion).unionByName(whole)
 
 
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, many: int = MANY, portion: int = PORTION) -> DataFrame:
     """_id, _h, spans: for each document key the runs (start, n) of starts of strings that repeat."""
     keyed = _keyed(df, id_col, text_col)
     all_pieces = _pieces(keyed, length, gram)
-    anchors = all_pieces.groupBy("kh").agg(F.count("*").alias("c"), F.min("ph").alias("least"), F.max("ph").alias("most"))
     # written, so that both sides of the join are plain shuffles and Spark splits a hot anchor's rows
-    anchors = settle(anchors.where("c > 1").select("kh", (F.col("least") == F.col("most")).alias("equal")))
+    anchors = settle(all_pieces.groupBy("kh").agg(F.count("*").alias("c")).where("c > 1").select("kh"))
     met = settle(all_pieces.join(anchors, "kh"))
-
-    mixed = met.where("not equal")
-    kinds = mixed.groupBy("kh", "ph").agg(F.count("*").alias("c"), F.min(F.struct(*_KEY, "start", "n")).alias("rep"))
-    kinds = settle(kinds)
-    large = kinds.groupBy("kh").agg(F.count("*").alias("k")).where(F.col("k") > many).select("kh")
+    kinds = settle(met.groupBy("kh", "ph").agg(F.count("*").alias("c"), F.min(F.struct(*_KEY, "start", "n")).alias("rep")))
     found = settle(_fetched(keyed, kinds, length))
-    partly = _sorted_groups(found.join(large, "kh", "left_anti"), length, portion).unionByName(_digested_groups(found.join(large, "kh", "left_semi"), length))
-
-    # a piece that is there twice repeats as a whole, whatever its neighbours
-    whole = F.array(F.struct(F.lit(0).alias("o"), F.col("rep.n").alias("n")))
-    spans = kinds.join(partly, ["kh", "ph"], "left").select("kh", "ph", F.when(F.col("c") > 1, whole).otherwise(F.col("spans")).alias("spans")).where(F.size("spans") > 0)
-    some = mixed.join(spans, ["kh", "ph"]).select(*_KEY, F.explode("spans").alias("s"), "start").select(*_KEY, (F.col("start") + F.col("s.o")).alias("start"), F.col("s.n").alias("n"))
-    all_spans = met.where("equal").select(*_KEY, "start", "n").unionByName(some)
-    return all_spans.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    # written for the same reason: a piece may have very many copies
+    spans = settle(_solved(found, length, gram, many, portion, length - gram + 1).where(F.size("spans") > 0))
+    hit = met.join(spans, ["kh", "ph"]).select(*_KEY, "start", F.explode("spans").alias("s"))
+    return hit.groupBy(*_KEY).agg(F.collect_list(F.struct((F.col("start") + F.col("s.o")).alias("start"), F.col("s.n").alias("n"))).alias("spans"))
 
 
 def removed(data: bytes, spans: list[dict] | None, length: int = LENGTH) -> list[tuple[int, int]]:
