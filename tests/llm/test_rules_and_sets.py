@@ -56,11 +56,11 @@ def test_shards_take_turns():
     assert sum(a != b for a, b in zip(owner, less, strict=True) if a != 4) < 20
 
 
-def test_targets_fill_by_weight_under_the_cap(spark):
-    sizes = {"a": 100, "b": 7, "c": 30, "d": 1000, None: 4, "e": 0}
+@pytest.mark.parametrize("sizes", [{"a": 100, "b": 7, "c": 30, "d": 1000, None: 4, "e": 0}, {"": 0}, {f"host{k * 7919 % 2000:04}": k * k % 997 for k in range(2000)}])
+def test_targets_fill_by_weight_under_the_cap(spark, sizes):
     df = spark.createDataFrame([(k, v) for k, v in sizes.items()], "source string, size long")
     got = {r._source: r.target for r in mixing.targets(df).collect()}
-    order = sorted(k for k in sizes if k is not None) + [None]
+    order = sorted(k for k in sizes if k is not None) + [None] * (None in sizes)
     weight = {k: (1, 2, 3)[i % 3] for i, k in enumerate(order)}
     want, left, open_ = {}, float(sum(sizes.values())), set(order)
     while open_:

@@ -41,29 +41,36 @@ def n_words(text: Column) -> Column:
     return F.when(F.coalesce(flat, F.lit("")) == "", 0).otherwise(parts).cast("long")
 
 
-def targets(sizes: DataFrame, source_col: str = "source", cap: int = CAP) -> DataFrame:
-    """_source, source_size, _docs and target from rows of (source_col, size).
+def _sums_before(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """df with the sums over all rows that come earlier in this order, which leaves no ties.
 
-    The windows run over the sources' totals, one row for each source.
+    Rows are dealt by ranges of the order; each range has its own window, and the ranges' totals (a row for each of
+    the shuffle's partitions) carry over. So no task holds all rows.
     """
+    dealt = settle(df.withColumns(sums).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    ranges = dealt.groupBy("_part").agg(*(F.sum(c).alias(c) for c in sums))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("_part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_0") for c in sums))
+    own = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = dealt.withColumns({c: F.coalesce(F.sum(c).over(own), F.lit(0)) for c in sums}).join(ranges, "_part")
+    return out.withColumns({c: F.col(c) + F.col(f"{c}_0") for c in sums}).drop("_part", *(f"{c}_0" for c in sums))
+
+
+def targets(sizes: DataFrame, source_col: str = "source", cap: int = CAP) -> DataFrame:
+    """_source, source_size, _docs and target from rows of (source_col, size). Only single totals come to the driver."""
     total = sizes.groupBy(F.col(source_col).alias("_source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs"))
-    ordered = Window.orderBy(F.col("_source").asc_nulls_last())
-    n = len(WEIGHTS)
-    weight = F.get(F.array(*map(F.lit, WEIGHTS)), (F.row_number().over(ordered) - 1) % n).cast("long")
-    total = total.withColumn("_weight", weight)
+    by_name = F.col("_source").asc_nulls_last()
+    weight = F.get(F.array(*map(F.lit, WEIGHTS)), F.col("_place") % len(WEIGHTS)).cast("long")
+    total = _sums_before(total, [by_name], {"_place": F.lit(1)}).withColumn("_weight", weight).drop("_place")
     # sources fill up in the order of size per weight; sizes and weights are whole numbers, so sums are exact
-    fill = Window.orderBy(F.col("source_size") / F.col("_weight"), F.col("_source").asc_nulls_last())
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    full = F.coalesce(F.sum("source_size").over(before), F.lit(0))
-    left = F.sum("_weight").over(fill.rowsBetween(0, Window.unboundedFollowing))
-    all_words = F.sum("source_size").over(every)
-    level = (all_words - cap * full) / left
-    total = total.withColumn("_level", level)
+    ratio = F.col("source_size") / F.col("_weight")
+    total = settle(_sums_before(total, [ratio.asc(), by_name], {"_full": F.col("source_size"), "_light": F.col("_weight")}))
+    words, weights = total.agg(F.sum("source_size"), F.sum("_weight")).first()
+    level = (F.lit(words) - cap * F.col("_full")) / (F.lit(weights) - F.col("_light"))
     # the first source that its cap does not hold sets the level for itself and all after it
-    held = cap * F.col("source_size") <= F.col("_level") * F.col("_weight")
-    total = total.withColumn("_level", F.min(F.when(~held, F.struct(F.col("source_size") / F.col("_weight"), F.col("_level").alias("x")))).over(every)["x"])
-    target = F.least(cap * F.col("source_size").cast("double"), F.coalesce(F.col("_level"), F.lit(math.inf)) * F.col("_weight"))
+    held = cap * F.col("source_size") <= level * F.col("_weight")
+    first = total.where(~held).agg(F.min(F.struct(ratio.alias("r"), level.alias("x"))).alias("m")).first()["m"]
+    target = F.least(cap * F.col("source_size").cast("double"), F.lit(first["x"] if first else math.inf) * F.col("_weight"))
     return total.select("_source", "source_size", "_docs", target.alias("target"))
 
 
