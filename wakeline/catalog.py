@@ -70,15 +70,7 @@ def nearest_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.nearest(*fx.lanes(spark, sf_dir), 6.0).withColumn("delta", F.round("delta", 6))
 
 
-@query(f"""WITH RECURSIVE {fx.LANES_SQL}, rn AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY t, rear_id) AS i FROM r),
-fl AS (SELECT key, list({{'t': t, 'id': front_id}} ORDER BY t, front_id) AS fs FROM f GROUP BY key),
-g AS (SELECT key, 0::BIGINT AS i, []::BIGINT[] AS used, NULL::BIGINT AS rear_id, NULL::BIGINT AS front_id, NULL::DOUBLE AS o FROM fl
- UNION ALL SELECT g.key, rn.i, CASE WHEN hit IS NULL THEN used ELSE list_append(used, hit) END, rn.rear_id, fs[hit].id, rn.t - fs[hit].t
- FROM g JOIN rn ON rn.key = g.key AND rn.i = g.i + 1 JOIN fl ON fl.key = g.key,
- LATERAL (SELECT len(list_filter(fs, lambda x: x.t < rn.t)) AS p) q,
- LATERAL (SELECT list_filter(range(greatest(1, p - 1), least(len(fs), p + 3) + 1), lambda k: NOT list_contains(used, k)) AS ks) w,
- LATERAL (SELECT list_sort(list_transform(ks, lambda k: {{'d': abs(fs[k].t - rn.t), 'k': k}}))[1] AS b) v,
- LATERAL (SELECT CASE WHEN b.d <= 6 THEN b.k END AS hit) h)
+@query(f"""WITH RECURSIVE {fx.RANKED_SQL}, tasks AS (SELECT key, 0.0::DOUBLE AS bias FROM fl),{fx.greedy_sql('g', 'tasks', 6.0)}
 SELECT key, rear_id, front_id, round(o, 6) AS "offset" FROM g WHERE front_id IS NOT NULL""")
 def greedy_handoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.greedy_pairs(*fx.lanes(spark, sf_dir), 6.0).withColumn("offset", F.round("offset", 6))
@@ -89,7 +81,9 @@ def bias_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.candidates(*fx.lanes(spark, sf_dir), 120.0).groupBy("key").agg(F.count("*").alias("n"), F.min("bias").alias("least"), F.max("bias").alias("most"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {fx.RANKED_SQL}, tasks AS (SELECT DISTINCT r.key, round(r.t - f.t, 1) AS bias FROM r JOIN f ON r.key = f.key AND abs(r.t - f.t) <= 120 UNION SELECT key, 0.0::DOUBLE FROM r),{fx.greedy_sql('g', 'tasks', 1.5)},
+s AS (SELECT key, bias, count(front_id) AS matches, coalesce(round(sum(abs(o - bias)), 6), 0) AS residue, coalesce(median(o), 0) AS refined FROM g GROUP BY key, bias)
+SELECT key, bias, matches, round(refined, 6) AS refined FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY matches DESC, residue, abs(bias), bias) AS k FROM s) WHERE k = 1""")
 def bias_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.best_bias(*fx.lanes(spark, sf_dir), 1.5, 120.0).withColumn("refined", F.round("refined", 6))
 
@@ -204,7 +198,13 @@ def box_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
     return side("a").join(side("b"), ["source", "session"]).where("a < b").select("a", "b", F.round(boxes.iou("a_", "b_"), 6).alias("iou"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {fx.OBSERVATIONS_SQL}, n AS (SELECT source, ts AS frame, class_id, obs_id AS box_id, "left" AS l, top AS t, "right" AS r, bottom AS m, row_number() OVER (PARTITION BY source, ts, class_id ORDER BY confidence DESC, obs_id) AS i FROM obs),
+s AS (SELECT source, frame, class_id, i, box_id AS kept, [{{'l': l, 't': t, 'r': r, 'm': m}}] AS ks FROM n WHERE i = 1
+ UNION ALL SELECT n.source, n.frame, n.class_id, n.i, CASE WHEN stays THEN n.box_id END, CASE WHEN stays THEN list_append(ks, {{'l': n.l, 't': n.t, 'r': n.r, 'm': n.m}}) ELSE ks END
+ FROM s JOIN n ON s.source = n.source AND s.frame = n.frame AND s.class_id = n.class_id AND n.i = s.i + 1,
+ LATERAL (SELECT list_transform(ks, lambda k: {{'o': greatest(0, least(k.r, n.r) - greatest(k.l, n.l)) * greatest(0, least(k.m, n.m) - greatest(k.t, n.t)), 'a': (k.r - k.l) * (k.m - k.t) + (n.r - n.l) * (n.m - n.t)}}) AS os) x,
+ LATERAL (SELECT len(list_filter(os, lambda v: v.o / greatest(v.a - v.o, 1e-9) > 0.45)) = 0 AS stays) y)
+SELECT source, frame, class_id, kept AS box_id FROM s WHERE kept IS NOT NULL""")
 def nms(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = fx.observations(spark, sf_dir).select("source", F.col("ts").alias("frame"), "class_id", F.col("obs_id").alias("box_id"), F.col("confidence").alias("score"), *boxes.SIDES)
     return boxes.nms(o).select("source", "frame", "class_id", "box_id")

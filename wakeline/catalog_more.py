@@ -271,7 +271,10 @@ def box_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("vec_id", *(F.round(c, 3).alias(c) for c in ("x1", "y1", "x2", "y2")), F.round(score, 6).alias("score"), best.alias("class_id"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {fx.RANKED_SQL}, ones AS (SELECT DISTINCT key, 0.0::DOUBLE AS bias FROM r),{fx.greedy_sql('g', 'ones', 6.0)},
+twos AS (SELECT ones.key, coalesce(median(o), 0) AS bias FROM ones LEFT JOIN g ON g.key = ones.key GROUP BY ones.key),{fx.greedy_sql('h', 'twos', 6.0)}
+SELECT twos.key, round(twos.bias, 6) AS bias, count(front_id) AS accepted, round(coalesce(max(abs(o - twos.bias)), 0), 6) AS max_residual, round(coalesce(min(o), 0), 6) AS min_offset, round(coalesce(max(o), 0), 6) AS max_offset
+FROM twos LEFT JOIN h ON h.key = twos.key GROUP BY twos.key, twos.bias""")
 def clock_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rear, front = fx.lanes(spark, sf_dir)
     bias = rear.select("key").distinct().withColumn("bias", F.lit(0.0))

@@ -67,6 +67,28 @@ r AS (SELECT user_id AS key, event_id AS rear_id, epoch_us(ts) / 3600e6 AS t FRO
 f AS (SELECT user_id AS key, event_id AS front_id, epoch_us(ts) / 3600e6 AS t FROM events WHERE event_type = 'view')"""
 
 
+#: Rear events with their place in the key, front events as one list of each key.
+RANKED_SQL = (
+    LANES_SQL
+    + """,
+rn AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY t, rear_id) AS i FROM r),
+fl AS (SELECT key, list({'t': t, 'id': front_id} ORDER BY t, front_id) AS fs FROM f GROUP BY key)"""
+)
+
+
+def greedy_sql(name: str, tasks: str, tolerance: float) -> str:
+    """A recursive table of the greedy matching of each (key, bias) in tasks: rear_id, front_id, o, and a null row for each task."""
+    return f"""
+{name} AS (SELECT key, bias, 0::BIGINT AS i, []::BIGINT[] AS used, NULL::BIGINT AS rear_id, NULL::BIGINT AS front_id, NULL::DOUBLE AS o FROM {tasks} JOIN fl USING (key)
+ UNION ALL SELECT g.key, g.bias, rn.i, CASE WHEN hit IS NULL THEN used ELSE list_append(used, hit) END, rn.rear_id, fs[hit].id, rn.t - fs[hit].t
+ FROM {name} g JOIN rn ON rn.key = g.key AND rn.i = g.i + 1 JOIN fl ON fl.key = g.key,
+ LATERAL (SELECT rn.t - g.bias AS goal) t,
+ LATERAL (SELECT len(list_filter(fs, lambda x: x.t < goal)) AS p) q,
+ LATERAL (SELECT list_filter(range(greatest(1, p - 1), least(len(fs), p + 3) + 1), lambda k: NOT list_contains(used, k)) AS ks) w,
+ LATERAL (SELECT list_sort(list_transform(ks, lambda k: {{'d': abs(fs[k].t - goal), 'k': k}}))[1] AS b) v,
+ LATERAL (SELECT CASE WHEN b.d <= {tolerance} THEN b.k END AS hit) h)"""
+
+
 def hourly(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Events of a kind in each hour, counted from the first one of 2024, that the events of all kinds span; at least in the 720 hours of the SQL."""
     hour = F.floor((F.expr(_MICROS) - F.lit(1704067200000000)) / 3600e6)
