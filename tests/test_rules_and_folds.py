@@ -13,6 +13,7 @@ from wakeline.operators import boxes, matching, paths, review, rules, tracks
 from wakeline.plans import fixtures as fx
 from wakeline.sources import readers
 from wakeline.session import shared_folder
+from wakeline.streaming import replay
 
 SF = "/root/testdata/sf0.001"
 
@@ -143,3 +144,33 @@ def test_slope_of_one_moment_is_zero(spark):
     row = lambda k, x: (1, "front", k, 5.0, 2, 0.9, x, 0.1, x + 0.1 + k / 50, 0.3)
     df = spark.createDataFrame([row(0, 0.2), row(1, 0.2)], "source long, camera string, obs_id long, ts double, class_id int, confidence double, left double, top double, right double, bottom double")
     assert tracks.summarize(tracks.sessionize(tracks.with_box(df), 1.0)).first().slope == 0.0
+
+
+def test_sessions_end_at_frames(spark):
+    # five frames a second: seen again after 1.2 s the track goes on, after 1.4 s it is a new one
+    rows = [(k, i, t) for k, times in ((1, (0.0, 1.2)), (2, (0.0, 1.4)), (3, (0.0, 1.0))) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "source long, obs_id long, ts double")
+    last = lambda frame: {r[0]: r[1] for r in tracks.sessionize(df, 1.0, frame=frame).groupBy("source").agg(F.max("session")).collect()}
+    assert last(0.2) == {1: 0, 2: 1, 3: 0} and last(0.0) == {1: 1, 2: 1, 3: 0}
+
+
+def test_a_stream_goes_on_where_it_ended(spark, tmp_path):
+    source, place = f"{tmp_path}/in", f"{tmp_path}/out"
+    spark.range(5).write.parquet(source)
+    stream = spark.readStream.schema("id long").parquet(source)
+    assert replay.replay(spark, stream, place).count() == 5
+    spark.range(3, 9).write.mode("append").parquet(source)
+    assert sorted(r.id for r in replay.replay(spark, stream, place).collect()) == sorted([*range(5), *range(3, 9)])
+    assert replay.replay(spark, stream, place).count() == 11
+    assert sorted(r.id for r in replay.pending(spark.range(12), replay.replay(spark, stream, place), ["id"]).collect()) == [9, 10, 11]
+    query = stream.writeStream.format("noop").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert replay.progress(query)[-1][1] == 11
+
+
+def test_timeouts_and_ready_days_state_their_rows(spark):
+    t = lambda h: f"2024-01-0{1 + h // 24} {h % 24:02}:00:00"
+    beats = spark.createDataFrame([("a", t(0)), ("a", t(1)), ("a", t(9)), ("b", t(0))], "worker string, ts string").withColumn("ts", F.to_timestamp("ts"))
+    stream = replay.staged(replay.with_last_row(beats, "ts", "2 days"))
+    out = replay.replay(spark, replay.timeouts(stream, "worker", "ts", "3 hours", "1 hour"))
+    assert sorted((r.worker, r.beats, r.last_seen.hour, r.stale_at.hour) for r in out.collect()) == [("a", 1, 9, 12), ("a", 2, 1, 4), ("b", 1, 0, 3)]

@@ -40,6 +40,13 @@ def sessionize_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.observations(spark, sf_dir).groupBy("source", "session").agg(F.count("*").alias("n"), F.min("obs_id").alias("first_obs"), F.max("obs_id").alias("last_obs"))
 
 
+@query(f"""WITH {fx.OBSERVATIONS_SQL}, g AS (SELECT source, obs_id, ts, CASE WHEN ts - 0.2::DOUBLE - lag(ts) OVER (PARTITION BY source ORDER BY ts, obs_id) > 1.0 THEN 1 ELSE 0 END AS fresh FROM obs),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY source ORDER BY ts, obs_id ROWS UNBOUNDED PRECEDING)::BIGINT AS session FROM g) SELECT source, session, count(*) AS n, min(obs_id) AS first_obs, max(obs_id) AS last_obs FROM s GROUP BY source, session""")
+def sessionize_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    framed = tracks.sessionize(fx.observations(spark, sf_dir).drop("session"), 1.0, frame=0.2)
+    return framed.groupBy("source", "session").agg(F.count("*").alias("n"), F.min("obs_id").alias("first_obs"), F.max("obs_id").alias("last_obs"))
+
+
 @query(f"WITH {fx.TRACKS_SQL} SELECT source, session, class_id::INT AS class_id, round(peak_area, 6) AS peak_area, peak_index, sign(round(slope, 6))::INT AS trend FROM tracks")
 def track_peak_and_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tracks.summarize(fx.observations(spark, sf_dir))
@@ -271,6 +278,35 @@ def stream_lane_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.replay(spark, replay.interval_matches(side("click", "rear_id"), side("view", "front_id"), "6 hours", "1 hour"))
 
 
+@query("""WITH o AS (SELECT user_id, event_id, epoch_us(ts) AS t FROM events), g AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) > 172800000000 THEN 1 ELSE 0 END AS fresh FROM o),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id AS worker, count(*) AS beats, max(t) AS last_seen, max(t) + 172800000000 AS stale_at FROM s GROUP BY user_id, k""")
+def stream_timeouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    beats = table(spark, sf_dir, "events").select(F.col("user_id").alias("worker"), F.col("ts").cast("timestamp").alias("ts"))
+    stream = replay.staged(replay.with_last_row(beats, "ts", "10 days"))
+    found = replay.replay(spark, replay.timeouts(stream, "worker", "ts", "2 days", "1 hour"))
+    return found.select("worker", "beats", F.unix_micros("last_seen").alias("last_seen"), F.unix_micros("stale_at").alias("stale_at"))
+
+
+@query("""SELECT DISTINCT c.user_id AS key, epoch_us(date_trunc('day', c.ts)) AS day FROM events c JOIN events v ON c.user_id = v.user_id AND date_trunc('day', c.ts) = date_trunc('day', v.ts)
+WHERE c.event_type = 'click' AND v.event_type = 'view' AND c.value > 20 AND v.value > 20""")
+def stream_both_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").where("value > 20").select(F.col("user_id").alias("key"), "event_type", F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day"))
+    side = lambda kind: replay.staged(e.where(F.col("event_type") == kind).select("key", "day"))
+    ready = replay.replay(spark, replay.both_ready(side("click"), side("view"), ["key"], "day", "1 hour"))
+    return ready.select("key", F.unix_micros("day").alias("day"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END::INT AS run FROM events")
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work, source, place = table(spark, sf_dir, "events").select("event_id"), new_folder(spark), new_folder(spark)
+    stream = lambda run: spark.readStream.schema(work.schema).parquet(source).withColumn("run", F.lit(run))
+    work.where("event_id % 3 = 0").write.parquet(source)
+    first = replay.replay(spark, stream(1), place)
+    replay.pending(work, first, ["event_id"]).write.mode("append").parquet(source)
+    return replay.replay(spark, stream(2), place)
+
+
 @query(f"WITH {fx.FILES_SQL} SELECT * FROM files")
 def manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark)

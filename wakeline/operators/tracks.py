@@ -35,10 +35,14 @@ def with_box(df: DataFrame) -> DataFrame:
     return df.withColumns({"cx": (F.col("left") + F.col("right")) / 2, "cy": (F.col("top") + F.col("bottom")) / 2, "area": side("left", "right") * side("top", "bottom")})
 
 
-def sessionize(df: DataFrame, gap: float, keys: tuple[str, ...] = ("source",), ts: str = "ts", tie: str = "obs_id") -> DataFrame:
-    """df with session: a new one starts where the step from the key's row before exceeds gap."""
+def sessionize(df: DataFrame, gap: float, keys: tuple[str, ...] = ("source",), ts: str = "ts", tie: str = "obs_id", frame: float = 0.0) -> DataFrame:
+    """df with session: a new one starts where the step from the key's row before exceeds gap.
+
+    With the length of a frame given, sessions end at frames: a row still joins if the frame before its own is within
+    gap of the last row, as a session is closed only after a frame's own rows are added.
+    """
     w = Window.partitionBy(*keys).orderBy(ts, tie)
-    new = F.coalesce((F.col(ts) - F.lag(ts).over(w) > gap).cast("int"), F.lit(0))
+    new = F.coalesce((F.col(ts) - frame - F.lag(ts).over(w) > gap).cast("int"), F.lit(0))
     return df.withColumn("_new", new).withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("_new")
 
 

@@ -1,4 +1,4 @@
-"""Structured Streaming forms: gap sessions, matches of two lanes within an interval, and their replay over a table.
+"""Structured Streaming forms: gap sessions, timeouts, matches of two lanes, keys that are ready in both, and replay of a table.
 
 A replay streams a table that is in the shared folder, ends when all of it is read, and returns what the
 sink holds. State is kept by key in Spark's state store and leaves it when the watermark passes.
@@ -26,6 +26,29 @@ def interval_matches(rear: DataFrame, front: DataFrame, reach: str, delay: str)
     return r.join(f, (F.col("rkey") == F.col("key")) & near).select("key", "rear_id", "front_id")
 
 
+def timeouts(stream: DataFrame, key: str, time_col: str, timeout: str, delay: str) -> DataFrame:
+    """key, beats, last_seen, stale_at: a row for each time a key has been silent for longer than timeout.
+
+    It is given when the watermark passes, whether or not the key is heard of again; state is one row for each live key.
+    """
+    found = [F.count("*").alias("beats"), F.max(time_col).alias("last_seen")]
+    return gap_sessions(stream, key, time_col, timeout, delay, found).select(key, "beats", "last_seen", F.col("span.end").alias("stale_at"))
+
+
+def both_ready(rear: DataFrame, front: DataFrame, keys: list[str], day: str, delay: str) -> DataFrame:
+    """keys and day, once, as soon as both streams have a row for them. Rows come already filtered to valid ones.
+
+    day is a timestamp with a watermark: a day's state goes when the watermark is past it.
+    """
+    once = lambda s: s.select(*keys, day).withWatermark(day, delay).dropDuplicates([*keys, day])
+    return once(rear).join(once(front), [*keys, day])
+
+
+def pending(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of work whose keys have no result yet: what a restart has left to do."""
+    return work.join(done.select(*keys).distinct(), keys, "left_anti")
+
+
 def staged(df: DataFrame) -> DataFrame:
     """A stream of df's rows, from a table written for it."""
     spark, path = df.sparkSession, new_folder(df.sparkSession)
@@ -42,9 +65,23 @@ def with_last_row(df: DataFrame, time_col: str, wait: str) -> DataFrame:
     return df.unionByName(end, allowMissingColumns=True)
 
 
-def replay(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    """What the stream has given when all that is there now is read."""
-    out = new_folder(spark)
-    query = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", new_folder(spark)).trigger(availableNow=True).start(out)
+def replay(spark: SparkSession, stream: DataFrame, place: str | None = None) -> DataFrame:
+    """What the stream has given when all that is there now is read.
+
+    place is the folder of the results and of the stream's checkpoint. A later call with the same place and source
+    takes up where this one ended: only new files are read, and results stand beside those from before.
+    """
+    place = place or new_folder(spark)
+    out, log = f"{place}/rows", f"{place}/checkpoint"
+    query = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", log).trigger(availableNow=True).start(out)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
+
+
+def progress(query) -> list[tuple[int, int]]:
+    """(batch, rows read so far) of a streaming query's batches."""
+    done, out = 0, []
+    for p in query.recentProgress:
+        done += p["numInputRows"]
+        out.append((p["batchId"], done))
+    return out
