@@ -80,3 +80,20 @@ def test_ratios_equal_plain_kneser_ney(spark):
         assert model.ratios(words) == pytest.approx(plain_ratios(train, texts, words))
     # an expression that always follows one word tells
     assert model.ratios(["you", "utter", "fool"])[2] > 2
+
+
+def test_bigrams_are_held_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"_text": ["a b c a b c a b c", "", None, "c b a"], "_label": [0, 1, 1, 1]})
+    met = []
+    for held in (10**6, 2, 1):
+        monkeypatch.setattr(toxicity, "HELD", held)
+        bits = {}
+        for part in toxicity._bigrams(iter([batch, batch])):
+            assert part.num_rows <= held
+            for v, w, p, b in zip(*part.to_pydict().values(), strict=True):
+                bits[v, w, p] = bits.get((v, w, p), 0) | b
+        met.append(bits)
+    assert met[0] == met[1] == met[2] and len(met[0]) > 8
+    assert not list(toxicity._bigrams(iter([])))

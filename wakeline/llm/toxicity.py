@@ -45,6 +45,7 @@ TOP_DISCOUNT = 8
 AROUND = 2
 WINDOW = 32
 PAIR = 2
+HELD = 100_000
 
 _WORD = re.compile(r"\w+")
 START = "\x02"  # stands before the first word; no word contains it
@@ -104,11 +105,18 @@ def _sampled(labels: DataFrame, id_col: str, label_col: str, folds: list[int], r
 
 
 def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """v, w, passage (digest of the bigram with AROUND words on each side), bits (1 ordinary, 2 toxic)."""
+    """v, w, passage (digest of the bigram with AROUND words on each side), bits (1 ordinary, 2 toxic).
+
+    At most HELD bigrams are held at a time, however long the texts; equal ones meet again in the aggregation.
+    """
     import xxhash
 
+    def emitted(found: dict[tuple, int]) -> pa.RecordBatch:
+        v, w, passage = zip(*found, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(v), pa.array(w), pa.array(np.array(passage, np.uint64).view(np.int64)), pa.array(found.values(), pa.int32())], names=["v", "w", "passage", "bits"])
+
+    found: dict[tuple, int] = {}
     for b in batches:
-        found: dict[tuple, int] = {}
         for text, label in zip(b.column("_text"), b.column("_label"), strict=True):
             w = words_of(text.as_py())
             bit = 1 + label.as_py()
@@ -116,9 +124,11 @@ def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k, now in enumerate(w):
                 key = (padded[k + AROUND], now, xxhash.xxh64_intdigest(" ".join(padded[k : k + 2 * AROUND + 2])))
                 found[key] = found.get(key, 0) | bit
-        if found:
-            v, w, passage = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(w), pa.array(np.array(passage, np.uint64).view(np.int64)), pa.array(found.values(), pa.int32())], names=["v", "w", "passage", "bits"])
+                if len(found) >= HELD:
+                    yield emitted(found)
+                    found = {}
+    if found:
+        yield emitted(found)
 
 
 def company(texts: DataFrame, words: list[str]) -> np.ndarray:
