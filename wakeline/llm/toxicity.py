@@ -147,7 +147,7 @@ def company(texts: DataFrame, words: list[str]) -> np.ndarray:
         for b in batches:
             for text in b.column("_text"):
                 w = words_of(text.as_py())
-                if len(digest) > 500_000:
+                if len(digest) > HELD:
                     digest.clear()
                 now = np.fromiter((ids.get(x, -1) for x in w), np.int64, len(w))
                 digest.update((x, xxhash.xxh32_intdigest(x)) for x in {START, *w} if x not in digest)
@@ -155,7 +155,7 @@ def company(texts: DataFrame, words: list[str]) -> np.ndarray:
                 known = now >= 0
                 pairs.append((now[known] << 32) | before[known])
                 size += len(pairs[-1])
-                if size > 1 << 21:
+                if size > 1 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(pairs)))], names=["pair"])
                     pairs, size = [], 0
         if pairs:
@@ -163,7 +163,7 @@ def company(texts: DataFrame, words: list[str]) -> np.ndarray:
 
     out = np.zeros(len(words), np.int64)
     met = texts.select("_text").mapInArrow(run, "pair long").distinct()
-    found = met.groupBy(F.shiftright("pair", 32).alias("w")).agg(F.count("*").alias("n")).toPandas()
+    found = met.groupBy(F.shiftright("pair", 32).alias("w")).agg(F.count("*").alias("n")).toArrow().to_pandas()
     out[found["w"].to_numpy(np.int64)] = found["n"]
     return out
 
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     after = big.groupBy(F.col("w").alias("word")).agg(*map(one, classes))
     cut = sum((F.least(c, F.lit(TOP_DISCOUNT)) for c in classes), F.lit(0))
     before = big.groupBy(F.col("v").alias("word")).agg(F.sum("toxic").alias("c_toxic"), F.sum("plain").alias("c_plain"), F.sum(cut).alias("cut"))
-    top = after.join(before, "word", "full").na.fill(0).toPandas().sort_values("word").reset_index(drop=True)
+    top = after.join(before, "word", "full").na.fill(0).toArrow().to_pandas().sort_values("word").reset_index(drop=True)
     if not len(top) or not top["c_toxic"].sum() or not top["c_plain"].sum():
         share = labels.where(fold("_id") != 0).agg(F.avg("_label")).first()[0]
         return float(share or 0.0)
@@ -203,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     c = (top["c_toxic"] + top["c_plain"]).to_numpy(float)
     back = np.append(np.where(c > 0, top["cut"] / np.maximum(c, 1), 1.0), 1.0)
     ids = {w: i for i, w in enumerate(words)}
-    often = big.where(F.greatest("toxic", "plain") > TOP_DISCOUNT).toPandas()
+    often = big.where(F.greatest("toxic", "plain") > TOP_DISCOUNT).toArrow().to_pandas()
     v, w = (often[x].map(ids).to_numpy(np.int64) for x in ("v", "w"))
     keys = v * (none + 1) + w
     order = np.argsort(keys)
@@ -218,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             cols = [pa.array([x[k] for x in f], pa.float64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([b.column("_label"), *cols], names=["label", "whole", "window", "pair"])
 
-    seen_rows = sample([FOLDS - 1], CURVE_ROWS).mapInArrow(measured, "label int, whole double, window double, pair double").toPandas()
+    seen_rows = sample([FOLDS - 1], CURVE_ROWS).mapInArrow(measured, "label int, whole double, window double, pair double").toArrow().to_pandas()
     weight = labels.where(fold("_id") != 0).agg(F.avg("_label")).first()[0]
     model.curve = _logistic(seen_rows, weight)
     return model
