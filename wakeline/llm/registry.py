@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import bpe, line_dedup, media, mixing, pii, quality, sharding, simhash, suffix_dedup, toxicity
+from wakeline.llm import bpe, line_dedup, media, mixing, pieces, pii, quality, sharding, simhash, suffix_dedup, toxicity
 from wakeline.session import settle, table
 
 
@@ -64,6 +64,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op11_sentencepiece": op11_sentencepiece,
 }
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.sql(),
