@@ -32,6 +32,7 @@ from wakeline.llm.bpe import _with
 SPACE = "▁"
 CACHED_WORDS = 300_000
 PORTION = 1_000_000  # characters
+SLICE = 100_000  # ids
 NONE = np.iinfo(np.int32).max  # the rank of a pair that is no piece
 
 _WORDS = re.compile(f"\n+|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
@@ -45,9 +46,10 @@ class Table:
         self.start = np.cumsum(self.length) - self.length
         self.flat = np.frombuffer(b"".join(rows), np.uint8)
 
-    def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The chosen rows end to end, and where each begins (one more at the end)."""
-        return ragged(self.flat, self.start[rows], self.length[rows])
+    def joined(self, rows: np.ndarray) -> bytes:
+        """The chosen rows end to end, gathered in slices, as an index of each byte takes more than the bytes."""
+        some = (rows[i : i + SLICE] for i in range(0, len(rows), SLICE))
+        return b"".join(ragged(self.flat, self.start[x], self.length[x])[0].tobytes() for x in some)
 
 
 def ragged(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,8 +252,7 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of ids in UTF-8. A space mark at the very start is dropped, as encode() puts it there."""
-        data, at = self.bytes.gather(ids)
-        out = data.tobytes()
+        out = self.bytes.joined(ids)
         real = np.flatnonzero(self.bytes.length[ids])
         skip = int(len(real) > 0 and self.leads[ids[real[0]]])
         if len(real) and real[-1] >= len(real):  # a control piece may stand inside a run of bytes
@@ -338,16 +339,14 @@ def round_trip(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
         for b in batches:
-            texts = b.column("_text").to_pylist()
-            ids, at = p.encode(texts)
-            digits, to = p.decimals.gather(ids)
-            digits = memoryview(digits.tobytes())
-            raw = np.concatenate([[0], np.cumsum(p.is_byte[ids])])
             rows = []
-            for k, text in enumerate(texts):
-                i, j = at[k], at[k + 1]
-                out = p.decode(ids[i:j])
-                rows.append((j - i, hashlib.sha256(digits[to[i] : to[j] - 1]).hexdigest(), hashlib.sha256(out).hexdigest(), raw[j] - raw[i], out == (text or "").encode()))
+            for texts in portions(b.column("_text").to_pylist()):
+                ids, at = p.encode(texts)
+                raw = np.concatenate([[0], np.cumsum(p.is_byte[ids])])
+                for text, i, j in zip(texts, at[:-1], at[1:], strict=True):
+                    out = p.decode(ids[i:j])
+                    digits = memoryview(p.decimals.joined(ids[i:j]))[:-1]
+                    rows.append((j - i, hashlib.sha256(digits).hexdigest(), hashlib.sha256(out).hexdigest(), raw[j] - raw[i], out == (text or "").encode()))
             cols = list(zip(*rows, strict=True)) or [()] * 5
             kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(id_col), *(pa.array(x, k) for x, k in zip(cols, kinds, strict=True))], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", "n_byte_tokens", "exact"])
