@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import bpe, line_dedup, media, mixing, pieces, pii, quality, sharding, simhash, spelling, suffix_dedup, toxicity
+from wakeline.llm import bpe, conversations, line_dedup, media, mixing, pieces, pii, quality, sharding, simhash, spelling, suffix_dedup, toxicity
 from wakeline.session import settle, table
 
 
@@ -68,6 +68,10 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit(table(spark, sf_dir, "conversations"), faults=True)
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"), damage=199)
 
@@ -84,6 +88,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_conversations": op12_conversations,
     "op13_spelling": op13_spelling,
 }
 ORACLE_SQL = {
