@@ -118,3 +118,29 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
 FILES_SQL = """
 files AS (SELECT d.doc_id, lang AS camera, n_chars AS media_seconds, CASE WHEN quality IS NULL THEN 'pending' WHEN d.doc_id % 7 = 0 THEN 'awaiting_benchmark' WHEN quality = 1 THEN 'completed' ELSE 'awaiting_validation' END AS status,
   n_chars % 97 + 1 AS wall_seconds, coalesce(toxic, 0)::BIGINT AS events FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+
+
+def minutes(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Events of a kind in each minute from the first event of any kind on (key, idx, x); minutes without one have no row."""
+    events = table(spark, sf_dir, "events").select(F.floor(F.expr(_MICROS) / 60e6).alias("minute"), "event_type")
+    start = events.agg(F.min("minute").alias("start"))  # one row
+    own = events.where(F.col("event_type") == kind).groupBy("minute").agg(F.count("*").cast("double").alias("x"))
+    return own.crossJoin(F.broadcast(start)).select(F.lit("all").alias("key"), (F.col("minute") - F.col("start")).alias("idx"), "x")
+
+
+def minutes_sql(name: str, kind: str) -> str:
+    return f"""
+{name} AS (SELECT floor(epoch_us(ts) / 60e6)::BIGINT - (SELECT min(floor(epoch_us(ts) / 60e6)::BIGINT) FROM events) AS idx, count(*)::DOUBLE AS x FROM events WHERE event_type = '{kind}' GROUP BY 1)"""
+
+
+def balances(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Clicks less views of every minute by a quarter of the users, and the same 137 minutes later for each quarter's number, upside down for odd ones."""
+    e = table(spark, sf_dir, "events").where("event_type in ('click', 'view')")
+    e = e.select((F.col("user_id") % 4).alias("key"), F.floor((F.expr(_MICROS) - F.lit(1704067200000000)) / 60e6).alias("idx"), F.when(F.col("event_type") == "click", 1.0).otherwise(-1.0).alias("x"))
+    front = e.where("idx >= 0").groupBy("key", "idx").agg(F.sum("x").alias("x"))
+    return front, front.select("key", (F.col("idx") + 137 * F.col("key")).alias("idx"), F.when(F.col("key") % 2 == 0, F.col("x")).otherwise(-F.col("x")).alias("x"))
+
+
+BALANCES_SQL = """
+fr AS (SELECT user_id % 4 AS key, floor((epoch_us(ts) - 1704067200000000) / 60e6)::BIGINT AS idx, sum(CASE event_type WHEN 'click' THEN 1.0 ELSE -1.0 END)::DOUBLE AS x FROM events WHERE event_type IN ('click', 'view') AND epoch_us(ts) >= 1704067200000000 GROUP BY 1, 2),
+re AS (SELECT key, idx + 137 * key AS idx, CASE WHEN key % 2 = 0 THEN x ELSE -x END AS x FROM fr)"""
