@@ -291,5 +291,4 @@ def unique_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT lane, count(*) AS n, round(avg(value), 6) AS mean, min(value) AS least, max(value) AS most, round(1 / avg(value), 6) AS per_second FROM (SELECT event_type AS lane, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i FROM events) WHERE i > 5 GROUP BY lane""")
 def latency_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select(F.col("event_type").alias("lane"), "ts", "event_id", "value")
-    timed = review.first_of(e, "lane", [F.col("ts"), F.col("event_id")], 0).where("place > 5")
-    return timed.groupBy("lane").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.min("value").alias("least"), F.max("value").alias("most"), F.round(1 / F.avg("value"), 6).alias("per_second"))
+    return summary.latency(e, "lane", ["ts", "event_id"], "value", 5)

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.catalog import query
-from wakeline.operators import correlation
+from wakeline.operators import correlation, signals
 from wakeline.plans import fixtures as fx
+from wakeline.session import new_folder, table
+from wakeline.sources import recordings
 
 _LAGS = 4000
 
@@ -47,3 +49,45 @@ def correlation_polarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_best_sql("round(total / overlap, 9)"))
 def correlation_upright(spark: SparkSession, sf_dir: str) -> DataFrame:
     return correlation.best_offset(_balance_scores(spark, sf_dir), 2.0)
+
+
+_BYTES = "list_transform(embedding[1:48], lambda x: greatest(0, least(255, floor((x::DOUBLE + 1) * 128)))::BIGINT)"
+_FRAMES_SQL = f"v AS (SELECT 's' || (vec_id % 8) AS source, vec_id // 8 AS frame, vec_id // 8 / 5 AS ts, upper(list_aggregate(list_transform({_BYTES}, lambda b: printf('%02x', b)), 'string_agg', '')) AS pixels FROM embeddings)"
+
+
+def _recorded_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as frames of 4 x 4 pixels of eight sources, five a second, written as raw files and read back."""
+    level = lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.floor((x.cast("double") + 1) * 128))).cast("long")
+    pixels = F.unhex(F.array_join(F.transform(F.slice("embedding", 1, 48), lambda x: F.lpad(F.hex(level(x)), 2, "0")), ""))
+    e = table(spark, sf_dir, "embeddings").select(F.concat(F.lit("s"), F.col("vec_id") % 8).alias("source"), F.floor(F.col("vec_id") / 8).alias("frame"), pixels.alias("data"))
+    path = new_folder(spark)
+    recordings.write_segments(e, path, 48, 100)
+    return recordings.frames(spark, path, 4, 4, 5.0)
+
+
+@query(f"WITH {_FRAMES_SQL} SELECT source, frame, round(ts, 3) AS ts, pixels FROM v WHERE source IN ('s1', 's4', 's6') AND ts >= 2 AND ts < 9")
+def frame_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _recorded_frames(spark, sf_dir).where("source in ('s1', 's4', 's6') and ts >= 2D and ts < 9D")
+    return f.select("source", "frame", F.round("ts", 3).alias("ts"), F.hex("data").alias("pixels"))
+
+
+@query(f"WITH {_FRAMES_SQL}, w AS (SELECT DISTINCT 's' || (doc_id % 8) AS source, (doc_id % 60) / 7 AS t FROM labels) SELECT v.source, round(t, 6) AS t, frame, substr(pixels, 73, 12) AS clock_pixels FROM w JOIN v ON w.source = v.source AND frame = ceil(round(t * 5, 6))::BIGINT")
+def frame_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = table(spark, sf_dir, "labels").select(F.concat(F.lit("s"), F.col("doc_id") % 8).alias("source"), ((F.col("doc_id") % 60) / 7).alias("t")).distinct()
+    found = recordings.frames_at(_recorded_frames(spark, sf_dir), wanted, 5.0)
+    return found.select("source", F.round("t", 6).alias("t"), "frame", F.hex(recordings.lower_left(F.col("data"), 4, 4)).alias("clock_pixels"))
+
+
+@query("""WITH s AS (SELECT 'mic' || (vec_id % 4) AS key, vec_id // 4 * 64 + j - 1 AS i, greatest(-32768, least(32767, floor(embedding[j]::DOUBLE * 9000))) AS x FROM embeddings, (SELECT unnest(range(1, 65)) AS j)),
+b AS (SELECT key, i // 50 AS idx, ln(1 + sqrt(sum(x * x) / 50 + 1)) AS x FROM s GROUP BY 1, 2 HAVING count(*) = 50),
+d AS (SELECT key, idx, x - sum(x) OVER (PARTITION BY key ORDER BY idx ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING) / 10 AS x FROM b), e AS (SELECT key, stddev_pop(x) AS sd FROM d GROUP BY key)
+SELECT d.key, idx, round(x / sd, 6) AS envelope FROM d JOIN e ON d.key = e.key""")
+def sound_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = lambda x: F.greatest(F.lit(-32768), F.least(F.lit(32767), F.floor(x.cast("double") * 9000)))
+    little = lambda v: F.concat(F.substring(v, 3, 2), F.substring(v, 1, 2))
+    word = lambda x: little(F.lpad(F.hex(F.pmod(sample(x), F.lit(65536)).cast("long")), 4, "0"))
+    e = table(spark, sf_dir, "embeddings").select(F.concat(F.lit("mic"), F.col("vec_id") % 4).alias("source"), (F.floor(F.col("vec_id") / 4) * 64).alias("frame"), F.unhex(F.array_join(F.transform("embedding", word), "")).alias("data"))
+    path = new_folder(spark)
+    recordings.write_segments(e, path, 2)
+    blocks = recordings.sound_blocks(spark, path, 50, least_samples=1000, samples_per_task=777)
+    return signals.normalised(blocks, 10, strict=True).select("key", "idx", F.round("envelope", 6).alias("envelope"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.operators.ranges import after_first
 from wakeline.operators.rollup import status
 
 
@@ -55,3 +56,10 @@ def list_cell(cell: Column) -> Column:
     items = F.filter(F.from_json(cell, "array<string>"), lambda x: x.try_cast("double").isNotNull())
     numbers = F.transform(items, lambda x: x.try_cast("double"))
     return F.when(F.size(numbers) > 0, F.aggregate(numbers, F.lit(0.0), lambda a, x: a + x) / F.size(numbers))
+
+
+def latency(runs: DataFrame, key: str, order: list[str], value: str, warm_up: int) -> DataFrame:
+    """key, n, mean, least, most, per_second of the values after each key's first warm_up ones in the order."""
+    mean = F.avg(value)
+    timed = after_first(runs, [key], order, warm_up).groupBy(key)
+    return timed.agg(F.count("*").alias("n"), F.round(mean, 6).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"), F.round(1 / mean, 6).alias("per_second"))
