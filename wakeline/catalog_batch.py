@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.catalog import query
+from wakeline.operators import attempts
 from wakeline.session import new_folder, table
 from wakeline.sources import keyed
 from wakeline.streaming import replay, watchdog
@@ -45,3 +46,18 @@ def review_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = done.agg(F.unix_micros(F.max("l_shipdate").cast("timestamp")).alias("clip_us"), F.count("*").alias("clips"), F.lit("X").alias("o_orderstatus"))
     known = done.join(reviews.select("o_orderkey"), "o_orderkey", "left_semi")
     return keyed.updated(reviews, known, ["o_orderkey"])
+
+
+_CODES = (1, 130, 124, 0, 2, 1, 65, 130, 1, 124, 1)
+
+
+@query(f"""WITH RECURSIVE a AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS i, ([{', '.join(map(str, _CODES))}])[(o_orderkey % {len(_CODES)} + 1)::INT] AS code FROM orders),
+s AS (SELECT o_custkey, o_orderkey, 0::BIGINT AS i, 0 AS code, false AS partial, 0 AS failures, 'open' AS phase, '' AS action, false AS archived FROM a WHERE i = 1
+ UNION ALL SELECT a.o_custkey, a.o_orderkey, a.i, a.code, CASE WHEN act = 'run' THEN true ELSE s.partial END, CASE WHEN act = 'run' AND a.code IN (1, 2, 124) THEN s.failures + 1 ELSE s.failures END,
+  CASE WHEN s.phase <> 'open' THEN s.phase WHEN act = 'blocked' OR a.code = 65 THEN 'blocked' WHEN a.code = 0 THEN 'validated' ELSE 'open' END, act, act = 'run' AND s.partial
+ FROM s JOIN a ON a.o_custkey = s.o_custkey AND a.i = s.i + 1, LATERAL (SELECT CASE WHEN s.phase = 'validated' THEN 'skip' WHEN s.phase = 'blocked' OR s.failures >= 3 THEN 'blocked' ELSE 'run' END AS act))
+SELECT o_custkey, o_orderkey, action, archived, CASE WHEN action = 'run' THEN CASE code WHEN 0 THEN 'complete' WHEN 2 THEN 'usage' WHEN 65 THEN 'blocked' WHEN 124 THEN 'watchdog' WHEN 130 THEN 'interrupted' ELSE 'failed' END END AS ledger, CASE WHEN phase = 'open' THEN failures END AS failures, phase FROM s WHERE i > 0""")
+def attempt_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.get(F.array(*map(F.lit, _CODES)), (F.col("o_orderkey") % len(_CODES)).cast("int"))
+    a = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", code.alias("code"))
+    return attempts.replayed(a, "o_custkey", ["o_orderdate", "o_orderkey"]).drop("o_orderdate", "code")

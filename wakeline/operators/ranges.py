@@ -6,9 +6,11 @@ crosses ranges is one row for each range that a key touches.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wakeline.operators.groups import whole_groups
 from wakeline.session import settle
 
 
@@ -48,3 +50,50 @@ def neighbours(df: DataFrame, before: int, after: int, block: int, idx: str = "i
     """df with _block: each row in the block of its index, and also in others whose rows look back or ahead to it."""
     first, last = F.floor((F.col(idx) - after) / block), F.floor((F.col(idx) + before) / block)
     return df.withColumn("_block", F.explode(F.sequence(first, last)))
+
+
+def fold(df: DataFrame, keys: list[str], order: list[str], symbol: str, steps: list[list[int]], first: int = 0, name: str = "state") -> DataFrame:
+    """df with the state before each row of a machine that each key runs in the order, which must tell rows apart.
+
+    steps[symbol][state] is the next state; symbols and states count from 0. A range's rows make one map from state
+    to state, so a key that spans ranges is run in all of them at once: only the maps are followed one by one.
+    """
+    rows = settle(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    own, columns = [*keys, "_part"], df.columns
+    touched = rows.select(*own).distinct()
+    spread = touched.withColumn("_parts", F.count("*").over(Window.partitionBy(*keys))).where("_parts > 1").drop("_parts")
+
+    def maps(batches):
+        for g, at in whole_groups(batches, own):
+            symbols, made = g[symbol].tolist(), []
+            for i, j in zip(at[:-1], at[1:], strict=True):
+                state = list(range(len(steps[0])))
+                for s in symbols[i:j]:
+                    state = [steps[s][x] for x in state]
+                made.append(state)
+            yield g.iloc[at[:-1]][own].assign(_map=made)
+
+    def before(batches):
+        for g, at in whole_groups(batches, own):
+            symbols, enters, states = g[symbol].tolist(), g["_entry"].tolist(), []
+            for i, j in zip(at[:-1], at[1:], strict=True):
+                state = first if pd.isna(enters[i]) else int(enters[i])
+                for s in symbols[i:j]:
+                    states.append(state)
+                    state = steps[s][state]
+            yield g[columns].assign(**{name: states})
+
+    def entries(g):
+        g, state, out = g.sort_values("_part"), first, []
+        for m in g["_map"]:
+            out.append(state)
+            state = m[state]
+        return g[own].assign(_entry=out)
+
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in own)
+    sort = lambda x: x.repartition(*own).sortWithinPartitions(*own, *order)
+    long = rows.alias("a").join(spread.alias("b"), _same(rows, spread, own), "left_semi").select(*own, *(c for c in order if c not in own), symbol)
+    entry = sort(long).mapInPandas(maps, f"{kinds}, _map array<int>").groupBy(*keys).applyInPandas(entries, f"{kinds}, _entry int")
+    both = rows.alias("a").join(entry.alias("b"), _same(rows, entry, own), "left").select(*(F.col(f"a.{c}") for c in rows.columns), "b._entry")
+    schema = df.withColumn(name, F.lit(0)).schema
+    return sort(both).mapInPandas(before, schema)
