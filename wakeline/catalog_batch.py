@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wakeline.catalog import query
 from wakeline.operators import attempts
 from wakeline.session import new_folder, table
-from wakeline.sources import keyed
+from wakeline.sources import gate, keyed
 from wakeline.streaming import replay, watchdog
 
 _DAY = 86_400_000_000
@@ -61,3 +61,26 @@ def attempt_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.get(F.array(*map(F.lit, _CODES)), (F.col("o_orderkey") % len(_CODES)).cast("int"))
     a = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", code.alias("code"))
     return attempts.replayed(a, "o_custkey", ["o_orderdate", "o_orderkey"]).drop("o_orderdate", "code")
+
+
+_GATE = """c AS (SELECT l_suppkey % 40 AS date, l_partkey % 83 > 0 AND l_quantity >= 5 AS fine FROM lineitem), h AS (SELECT date, count(*) AS clips, count(*) FILTER (fine) AS fine FROM c GROUP BY date),
+p AS (SELECT date, clips + (date % 3 = 0)::INT AS expected FROM h WHERE date % 2 = 1 AND date % 5 <> 0),
+d AS (SELECT 'good' AS batch, date, fine AS clips, fine AS expected, []::VARCHAR[] AS errors FROM h WHERE date % 2 = 0
+ UNION ALL SELECT 'bad', date, clips, expected, list_filter([CASE WHEN expected IS NULL THEN 'unplanned' END, CASE WHEN clips <> expected THEN 'count' END, CASE WHEN fine < clips THEN 'broken' END], lambda x: x IS NOT NULL) FROM h LEFT JOIN p USING (date) WHERE date % 2 = 1)"""
+
+
+@query(f"WITH {_GATE}, v AS (SELECT batch, bool_and(len(errors) = 0) AS batch_valid FROM d GROUP BY batch) SELECT batch, date, clips, expected, errors, len(errors) = 0 AS valid, batch_valid, CASE WHEN batch_valid THEN clips ELSE 0 END AS promoted FROM d JOIN v USING (batch)")
+def batch_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 40).alias("date"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("name"), (F.col("l_partkey") % 83).alias("bytes"), F.col("l_quantity").alias("seconds"))
+    checks = {"bytes": F.col("bytes") > 0, "short": F.col("seconds") >= 5}
+    odd = li.where("date % 2 = 1")
+    planned = lambda rows: rows.groupBy("date").agg(F.count("*").alias("expected"))
+    good = li.where(F.col("date") % 2 == 0).where(checks["bytes"] & checks["short"])
+    batches = {"good": (good, planned(good)), "bad": (odd, planned(odd).where("date % 5 <> 0").withColumn("expected", F.col("expected") + (F.col("date") % 3 == 0).cast("int")))}
+    final, out = new_folder(spark), []
+    for batch, (clips, plan) in batches.items():
+        judged = gate.stage(clips, plan, new_folder(spark), checks, "date", "name")
+        done = gate.promote(judged, spark, f"{final}/{batch}") if judged.valid else clips.limit(0)
+        rows = judged.dates.join(done.groupBy("date").agg(F.count("*").alias("promoted")), "date", "left")
+        out.append(rows.select(F.lit(batch).alias("batch"), "date", "clips", "expected", "errors", "valid", F.lit(judged.valid).alias("batch_valid"), F.coalesce("promoted", F.lit(0)).alias("promoted")))
+    return out[0].unionByName(out[1])
