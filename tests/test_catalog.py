@@ -46,10 +46,15 @@ def test_nms_keeps_sources_and_moments_apart(spark):
     rows = [(s, t, c, 100 * s + 10 * t + i, 0.9 - i / 10, *sides) for s in (1, 2) for t in (0, 1) for c in (3,) for i in range(3)]
     df = spark.createDataFrame(rows, "source long, frame long, class_id int, box_id long, score double, left double, top double, right double, bottom double")
     assert sorted(r.box_id for r in boxes.nms(df).collect()) == [100, 110, 200, 210]
-    from wakeline.plans import fixtures as fx
+    rows = catalog._frames(spark, SF)
+    stay = catalog.nms(spark, SF).collect()
+    frames = {(r.source, r.frame, r.class_id) for r in rows.collect()}
+    assert frames == {(r.source, r.frame, r.class_id) for r in stay} and len(stay) < rows.count()
+
 
-    frames = {(r.source, r.ts, r.class_id) for r in fx.observations(spark, SF).collect()}
-    assert frames == {(r.source, r.frame, r.class_id) for r in catalog.nms(spark, SF).collect()}
+def test_no_query_is_empty(spark):
+    small = [n for n in sorted(catalog.QUERIES) if catalog.QUERIES[n](spark, SF).isEmpty()]
+    assert small == []
 
 
 def test_groups_across_batches():

@@ -91,10 +91,6 @@ def test_suppression_equals_a_plain_loop(spark):
     assert {r.box_id for r in boxes.nms(df).collect()} == want and len(want) < 300
 
 
-def test_nms_query_keeps_boxes_of_different_moments(spark):
-    assert catalog.QUERIES["nms"](spark, SF).count() == fx.observations(spark, SF).count()
-
-
 def test_unknown_cameras_are_errors(spark):
     obs = fx.observations(spark, SF).withColumn("camera", F.when(F.col("source") == 1, None).otherwise(F.col("camera")))
     with pytest.raises(PySparkException, match="unknown camera"):
@@ -138,6 +134,33 @@ def test_paths_stay_inside_the_root(spark):
     inside = {"/srv/out/a/../b": True, "/srv/out": True, "/srv/out/../x": False, "/srv/outer/x": False, "/srv/out/a/../../out/c": True, "/../srv/out/x": True}
     df = spark.createDataFrame([(p,) for p in inside], "p string").select("p", paths.within(F.col("p"), "/srv/out").alias("ok"))
     assert {r.p: r.ok for r in df.collect()} == inside
+    roots = {"/srv/out/": True, "/": True, "/srv/ou": False}
+    for root, ok in roots.items():
+        assert spark.createDataFrame([("/srv/out/x", "srv/out/x")], "p string, q string").select(paths.within(F.col("p"), root), paths.within(F.col("q"), root)).first()[:] == (ok, False)
+    host = spark.createDataFrame([("/a.b/x",), ("/aXb/x",), ("/a.b",), ("/a.bc",)], "p string").select(paths.host_path(F.col("p"), "/r", "/a.b", strict=True).alias("h"))
+    assert [r.h for r in host.collect()] == ["/r/x", None, "/r", None]
+
+
+def test_names_are_padded_and_never_cut(spark):
+    rows = spark.createDataFrame([("s", 12.3456, 7, "car"), ("s", 1234567.5, 123456, "bus")], "s string, p double, t long, c string")
+    got = [r[0] for r in rows.select(paths.clip_name(F.col("s"), F.col("p"), F.col("t"), F.col("c"))).collect()]
+    assert got == ["s_t000012.346_track00007_car.mp4", "s_t1234567.500_track123456_bus.mp4"]
+
+
+def test_paired_windows_are_offset_later(spark):
+    a, b = paths.paired_window(F.lit(5.0), F.lit(12.0), F.lit(-7.0), F.lit(4.0))
+    assert spark.range(1).select(a, b).first()[:] == (0.0, 4.0)
+    a, b = paths.paired_window(F.lit(5.0), F.lit(12.0), F.lit(7.0), F.lit(100.0))
+    assert spark.range(1).select(a, b).first()[:] == (12.0, 19.0)
+
+
+def test_marks_keep_what_was_a_candidate(spark):
+    row = lambda k, peak, n, candidate=True: (k, "front", "left", peak, peak - 0.5, peak + 0.3, n, 0.8, 0.1, candidate)
+    df = spark.createDataFrame([row(20, 10.0, 5), row(21, 10.6, 9), row(22, 10.61, 99, False), row(23, 11.6004, 9)], "track_id long, camera string, side string, peak_time double, first_seen double, last_seen double, detections int, duration double, peak_area double, candidate boolean")
+    for again in (tracks.marked(df, ("camera",)),):
+        assert {r.track_id: (r.candidate_raw, r.candidate, r.duplicate_of) for r in again.collect()} == {20: (True, False, 21), 21: (True, True, None), 22: (False, False, None), 23: (True, False, 21)}
+    twice = tracks.marked(tracks.marked(df, ("camera",)), ("camera",))
+    assert {r.track_id: (r.candidate_raw, r.duplicate_of) for r in twice.collect()} == {20: (False, None), 21: (True, None), 22: (False, None), 23: (False, None)}
 
 
 def test_slope_of_one_moment_is_zero(spark):

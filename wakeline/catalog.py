@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.operators import boxes, matching, rollup, signals, tracks
+from wakeline.operators import boxes, clocks, matching, rollup, signals, tracks
 from wakeline.plans import fixtures as fx
 from wakeline.session import new_folder, table
 from wakeline.sources import readers, writers
@@ -54,7 +54,7 @@ def track_peak_and_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE {fx.TRACKS_SQL},
-c AS (SELECT source, session, source * 100000 + session AS track_id, camera, source // 10 AS grp, side, peak_time, first_seen, last_seen, detections, duration, peak_area FROM tracks WHERE detections >= 2),
+c AS (SELECT source, session, source * 100000 + session AS track_id, camera, source // 10 AS grp, side, round(peak_time, 3) AS peak_time, round(first_seen, 3) AS first_seen, round(last_seen, 3) AS last_seen, detections, duration, peak_area FROM tracks WHERE detections >= 2),
 n AS (SELECT *, row_number() OVER (PARTITION BY camera, grp ORDER BY peak_time, track_id) AS i FROM c),
 s AS (SELECT camera, grp, i, side, peak_time, last_seen, detections, duration, peak_area, track_id AS alive, NULL::BIGINT AS lost FROM n WHERE i = 1
  UNION ALL SELECT n.camera, n.grp, n.i,
@@ -123,7 +123,7 @@ def clip_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["clip_plan"] = ORACLE_SQL["clip_plan"].replace("round(rs, 3) AS", "CASE WHEN o IS NOT NULL THEN round(rs, 3) END AS").replace("round(fs, 3) AS", "CASE WHEN o IS NOT NULL THEN round(fs, 3) END AS").replace("round(s, 3) AS", "CASE WHEN o IS NOT NULL THEN round(s, 3) END AS")
 
 
-@query(f"""WITH {fx.FILES_SQL}, g AS (SELECT coalesce(camera, 'overall') AS lane, count(*) AS files, count(*) FILTER (status = 'completed') AS completed, sum(media_seconds)::BIGINT AS expected_seconds,
+@query(f"""WITH {fx.FILES_SQL}, g AS (SELECT CASE WHEN grouping(camera) = 1 THEN 'overall' ELSE camera END AS lane, count(*) AS files, count(*) FILTER (status = 'completed') AS completed, sum(media_seconds)::BIGINT AS expected_seconds,
 coalesce(sum(media_seconds) FILTER (status = 'completed'), 0)::BIGINT AS processed_seconds, coalesce(sum(wall_seconds) FILTER (status = 'completed'), 0)::BIGINT AS wall_seconds, coalesce(sum(events) FILTER (status = 'completed'), 0)::BIGINT AS events FROM files GROUP BY GROUPING SETS ((), (camera)))
 SELECT *, round(processed_seconds / nullif(wall_seconds, 0), 6) AS real_time_factor, round((expected_seconds - processed_seconds) / (processed_seconds / nullif(wall_seconds, 0)), 3) AS seconds_left FROM g""")
 def batch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,16 +196,24 @@ def rule_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.validated(table(spark, sf_dir, "lineitem"), rules).select("l_orderkey", "l_linenumber", "valid", "errors")
 
 
-@query(f"""WITH {fx.OBSERVATIONS_SQL}, b AS (SELECT o.obs_id, o.source, o.session, o."left" AS l, o.top AS t, o."right" AS r, o.bottom AS m FROM obs o),
-p AS (SELECT x.obs_id AS a, y.obs_id AS b, greatest(0, least(x.r, y.r) - greatest(x.l, y.l)) * greatest(0, least(x.m, y.m) - greatest(x.t, y.t)) AS i, (x.r - x.l) * (x.m - x.t) AS p, (y.r - y.l) * (y.m - y.t) AS q
-FROM b x JOIN b y ON x.source = y.source AND x.session = y.session AND x.obs_id < y.obs_id) SELECT a, b, round(i / greatest(p + q - i, 1e-9), 6) AS iou FROM p""")
+def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All boxes of ten users of a day as one frame."""
+    o = fx.observations(spark, sf_dir).withColumns({"source": F.floor(F.col("source") / 10), "frame": F.floor("ts")})
+    return o.select("source", "frame", "class_id", F.col("obs_id").alias("box_id"), F.col("confidence").alias("score"), *boxes.SIDES)
+
+
+_FRAMES_SQL = f"""{fx.OBSERVATIONS_SQL}, fr AS (SELECT source // 10 AS source, floor(ts)::BIGINT AS frame, class_id, obs_id AS box_id, confidence AS score, "left" AS l, top AS t, "right" AS r, bottom AS m FROM obs)"""
+
+
+@query(f"""WITH {_FRAMES_SQL}, p AS (SELECT x.box_id AS a, y.box_id AS b, greatest(0, least(x.r, y.r) - greatest(x.l, y.l)) * greatest(0, least(x.m, y.m) - greatest(x.t, y.t)) AS i, (x.r - x.l) * (x.m - x.t) AS p, (y.r - y.l) * (y.m - y.t) AS q
+FROM fr x JOIN fr y ON x.source = y.source AND x.frame = y.frame AND x.class_id = y.class_id AND x.box_id < y.box_id) SELECT a, b, round(i / greatest(p + q - i, 1e-9), 6) AS iou FROM p""")
 def box_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = fx.observations(spark, sf_dir)
-    side = lambda p: o.select("source", "session", F.col("obs_id").alias(p), *(F.col(s).alias(f"{p}_{s}") for s in boxes.SIDES))
-    return side("a").join(side("b"), ["source", "session"]).where("a < b").select("a", "b", F.round(boxes.iou("a_", "b_"), 6).alias("iou"))
+    f = _frames(spark, sf_dir)
+    side = lambda p: f.select("source", "frame", "class_id", F.col("box_id").alias(p), *(F.col(s).alias(f"{p}_{s}") for s in boxes.SIDES))
+    return side("a").join(side("b"), ["source", "frame", "class_id"]).where("a < b").select("a", "b", F.round(boxes.iou("a_", "b_"), 6).alias("iou"))
 
 
-@query(f"""WITH RECURSIVE {fx.OBSERVATIONS_SQL}, n AS (SELECT source, ts AS frame, class_id, obs_id AS box_id, "left" AS l, top AS t, "right" AS r, bottom AS m, row_number() OVER (PARTITION BY source, ts, class_id ORDER BY confidence DESC, obs_id) AS i FROM obs),
+@query(f"""WITH RECURSIVE {_FRAMES_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY source, frame, class_id ORDER BY score DESC, box_id) AS i FROM fr),
 s AS (SELECT source, frame, class_id, i, box_id AS kept, [{{'l': l, 't': t, 'r': r, 'm': m}}] AS ks FROM n WHERE i = 1
  UNION ALL SELECT n.source, n.frame, n.class_id, n.i, CASE WHEN stays THEN n.box_id END, CASE WHEN stays THEN list_append(ks, {{'l': n.l, 't': n.t, 'r': n.r, 'm': n.m}}) ELSE ks END
  FROM s JOIN n ON s.source = n.source AND s.frame = n.frame AND s.class_id = n.class_id AND n.i = s.i + 1,
@@ -213,8 +221,7 @@ s AS (SELECT source, frame, class_id, i, box_id AS kept, [{{'l': l, 't': t, 'r':
  LATERAL (SELECT len(list_filter(os, lambda v: v.o / greatest(v.a - v.o, 1e-9) > 0.45)) = 0 AS stays) y)
 SELECT source, frame, class_id, kept AS box_id FROM s WHERE kept IS NOT NULL""")
 def nms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = fx.observations(spark, sf_dir).select("source", F.col("ts").alias("frame"), "class_id", F.col("obs_id").alias("box_id"), F.col("confidence").alias("score"), *boxes.SIDES)
-    return boxes.nms(o).select("source", "frame", "class_id", "box_id")
+    return boxes.nms(_frames(spark, sf_dir)).select("source", "frame", "class_id", "box_id")
 
 
 @query("""WITH e AS (SELECT vec_id, unnest(range(4)) AS side, embedding FROM embeddings), v AS (SELECT vec_id, side, list_transform(embedding[side * 16 + 1:side * 16 + 16], lambda x: exp(x::DOUBLE)) AS w FROM e)
@@ -250,8 +257,7 @@ def overlay_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     odd = F.get_json_object("props", "$.k").cast("int") % 10 == 0
     text = F.concat(F.lit("CAM "), F.when(odd, F.date_format("ts", "dd/'45'/yyyy HH:mm:ss")).otherwise(F.date_format("ts", "dd/MM/yyyy HH:mm:ss")), F.lit(" 52.0"))
-    clock = F.regexp_extract(text, r"([0-9]{2}/[0-9]{2}/[0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2})", 1)
-    return e.select("event_id", F.unix_timestamp(F.try_to_timestamp(clock, F.lit("dd/MM/yyyy HH:mm:ss"))).alias("clock_seconds"))
+    return e.select("event_id", clocks.written(text).alias("clock_seconds"))
 
 
 @query("""SELECT conv_id, min(turn) AS turn, arg_min(length(text), turn)::BIGINT AS n FROM conversations WHERE role = 'assistant' GROUP BY conv_id""")

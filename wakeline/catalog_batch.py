@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.catalog import query
-from wakeline.operators import attempts
+from wakeline.catalog import ORACLE_SQL, query
+from wakeline.operators import attempts, clocks, tracks
+from wakeline.plans import fixtures as fx
 from wakeline.session import new_folder, table
 from wakeline.sources import gate, keyed
 from wakeline.streaming import replay, watchdog
 
 _DAY = 86_400_000_000
+_K = "(props->>'$.k')::INT"
 
 
 @query(f"""WITH e AS (SELECT user_id AS worker, epoch_us(ts) AS us, event_type = 'view' AS is_beat FROM events WHERE event_type IN ('click', 'view')),
@@ -84,3 +86,50 @@ def batch_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = judged.dates.join(done.groupBy("date").agg(F.count("*").alias("promoted")), "date", "left")
         out.append(rows.select(F.lit(batch).alias("batch"), "date", "clips", "expected", "errors", "valid", F.lit(judged.valid).alias("batch_valid"), F.coalesce("promoted", F.lit(0)).alias("promoted")))
     return out[0].unionByName(out[1])
+
+
+@query(f"""WITH e AS (SELECT event_id, user_id AS recording, {_K} AS k, epoch_us(ts) / 1000000 AS s FROM events WHERE event_type = 'error'),
+q AS (SELECT recording, event_id, 100 + k * 4.0::DOUBLE AS rear_time, 100 + k * 4 - k % 3 / 2 AS rear_sample, 1000 + k * 4 + (k % 3) * 20.0::DOUBLE AS rear_clock, k % 50 - 25.0::DOUBLE AS offset_s, 500.0::DOUBLE AS front_length FROM e),
+f AS (SELECT recording, second, CASE recording % 7 WHEN 0 THEN 880 + 2 * second WHEN 1 THEN 900 + second + second // 40 * 3 WHEN 2 THEN 300 + second ELSE 905 + second + second // 200 * 30 END::DOUBLE AS clock FROM (SELECT DISTINCT recording FROM e), (SELECT unnest(range(500)) AS second) WHERE NOT (recording % 7 = 3 AND second % 90 < 5)),
+r0 AS (SELECT *, least(greatest(0, rear_time - offset_s), front_length - 0.001) AS pos, NULL::VARCHAR AS status, NULL::DOUBLE AS delta, 0 AS rounds FROM q),
+{', '.join(f'''t{k} AS (SELECT r.* EXCLUDE (pos, status, delta, rounds), second + rear_clock - clock AS pos, rear_clock - clock AS delta, {k} AS rounds, clock FROM r{k - 1} r LEFT JOIN f ON f.recording = r.recording AND f.second = floor(r.pos)::BIGINT WHERE r.status IS NULL),
+r{k} AS (SELECT * EXCLUDE clock, CASE WHEN clock IS NULL THEN 'no_clock' WHEN pos < 0 OR pos >= front_length THEN 'out_of_range' WHEN abs(delta) <= 1 THEN 'converged' {"ELSE 'not_converged'" if k == 4 else ''} END AS status FROM t{k})''' for k in (1, 2, 3, 4))},
+u AS ({' UNION ALL BY NAME '.join(f'SELECT * FROM r{k} WHERE status IS NOT NULL' for k in (1, 2, 3, 4))}), v AS (SELECT *, pos + rear_time - rear_sample AS ft FROM u)
+SELECT recording, event_id, status, CASE WHEN status = 'converged' THEN round(ft, 3) END AS front_time, CASE WHEN status = 'converged' THEN round(rear_time - ft, 3) END AS offset_seconds, CASE WHEN status = 'converged' THEN delta END AS residual, rounds FROM v""")
+def clock_fixed_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").where("event_type = 'error'").select("event_id", F.col("user_id").alias("recording"), F.get_json_object("props", "$.k").cast("int").alias("k"))
+    k, odd, s = F.col("k"), F.col("recording") % 7, F.col("second")
+    requests = e.select("recording", "event_id", (100 + k * 4.0).alias("rear_time"), (100 + k * 4 - k % 3 / 2).alias("rear_sample"), (1000 + k * 4 + (k % 3) * 20.0).alias("rear_clock"), (k % 50 - 25.0).alias("offset"), F.lit(500.0).alias("front_length"))
+    clock = F.when(odd == 0, 880 + 2 * s).when(odd == 1, 900 + s + F.floor(s / 40) * 3).when(odd == 2, 300 + s).otherwise(905 + s + F.floor(s / 200) * 30)
+    seconds = e.select("recording").distinct().select("recording", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(499).cast("long"))).alias("second"))
+    readings = seconds.select("recording", "second", clock.cast("double").alias("clock")).where(~((odd == 3) & (s % 90 < 5)))
+    return clocks.synchronized(requests, readings, ["recording", "event_id"])
+
+
+@query(f"""WITH e AS (SELECT event_id, {_K} AS k, value AS pos, ts FROM events), a AS (SELECT * FROM (SELECT unnest(range(18)) AS ord), (SELECT [{', '.join(f'{x}::DOUBLE' for x in clocks.ADJUSTMENTS)}] AS adj, [210, 180] AS con)),
+t AS (SELECT event_id, ord, adj[ord // 2 + 1] AS adjustment, con[ord % 2 + 1] AS contrast, pos, ts, k FROM e, a WHERE pos + adj[ord // 2 + 1] >= 0 AND pos + adj[ord // 2 + 1] < 60),
+r AS (SELECT *, CASE WHEN (k + ord) % 9 = 0 THEN epoch(date_trunc('second', ts))::BIGINT + round(adjustment)::BIGINT END AS clock_seconds FROM t)
+SELECT e.event_id, arg_min(clock_seconds, ord) FILTER (clock_seconds IS NOT NULL) AS clock_seconds, arg_min(adjustment, ord) FILTER (clock_seconds IS NOT NULL) AS adjustment, arg_min(contrast, ord) FILTER (clock_seconds IS NOT NULL) AS contrast FROM e LEFT JOIN r ON e.event_id = r.event_id GROUP BY e.event_id""")
+def clock_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"), F.col("value").alias("at"), F.date_trunc("second", F.col("ts").cast("timestamp")).alias("ts"))
+    places = {a: k for k, a in enumerate(clocks.ADJUSTMENTS)}
+
+    def text(adjustment, contrast):
+        """What a reader would give: every ninth attempt has the clock among other fields, the others have a bad month."""
+        place = F.lit(0)
+        for a, k in places.items():
+            place = F.when(adjustment == a, 2 * k).otherwise(place)
+        works = (F.col("k") + place + (contrast == 180).cast("int")) % 9 == 0
+        moment = F.timestamp_seconds(F.unix_timestamp("ts") + F.round(adjustment).cast("long"))
+        return F.when(works, F.concat(F.lit("N 52.1 "), F.date_format(moment, "dd/MM/yyyy HH:mm:ss"), F.lit(" 88 km/h"))).otherwise("N 52.1 01/45/2024 10:00:00")
+
+    return clocks.first_reading(e, ["event_id"], text, F.lit(60.0))
+
+
+@query(f"""WITH c AS ({ORACLE_SQL["candidate_dedup"].replace("WITH RECURSIVE", "WITH RECURSIVE", 1)}), {fx.TRACKS_SQL.strip()}
+SELECT t.source, t.session, t.detections >= 2 AS candidate_raw, coalesce(c.survivor, false) AS candidate, c.duplicate_of FROM tracks t LEFT JOIN c ON t.source = c.source AND t.session = c.session""")
+def candidate_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tracks.summarize(fx.observations(spark, sf_dir))
+    t = t.withColumns({"track_id": F.col("source") * 100000 + F.col("session"), "grp": F.floor(F.col("source") / 10), "candidate": F.col("detections") >= 2})
+    t = t.select("source", "session", "track_id", "camera", "grp", "side", "peak_time", "first_seen", "last_seen", "detections", "duration", "peak_area", "candidate")
+    return tracks.marked(t, ("camera", "grp")).select("source", "session", "candidate_raw", "candidate", "duplicate_of")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.catalog import CHECKS, query
-from wakeline.operators import boxes, matching, paths, review, rollup, rules, signals, summary, tracks
+from wakeline.operators import boxes, clocks, matching, paths, review, rollup, rules, signals, summary, tracks
 from wakeline.plans import fixtures as fx
 from wakeline.session import table
 
@@ -23,14 +23,16 @@ SELECT event_id, dh AS height, round(k * 9.6::DOUBLE / 960, 6) AS x, round(value
 def unit_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events(spark, sf_dir).withColumns({"w": 1280 + F.col("k") * 10, "h": 720 + F.floor("value")})
     e = e.withColumn("height", paths.detection_height(F.col("w"), F.col("h"), 960))
-    return e.select("event_id", "height", F.round(F.col("k") * 9.6 / 960, 6).alias("x"), F.round(F.col("value") * 4 / F.col("height"), 6).alias("y"))
+    x, y = F.col("k") * 9.6, F.col("value") * 4
+    left, top, _, _ = boxes.to_unit((x, y, x, y), F.lit(960), F.col("height"))
+    return e.select("event_id", "height", F.round(left, 6).alias("x"), F.round(top, 6).alias("y"))
 
 
 _TRACK_FILES = f"""WITH {fx.TRACKS_SQL}, p AS (SELECT source, session, source * 1000 + session AS track_id, class_id, (peak_time - 19723) * 100 AS peak FROM tracks),
 q AS (SELECT *, round(peak * 1000)::BIGINT AS ms, greatest(0.0::DOUBLE, peak - 3) AS a, least(2500.0::DOUBLE, peak + 4) AS b FROM p)
-SELECT source, session, round(a, 3) AS clip_start, round(b, 3) AS clip_end, round(greatest(0.0::DOUBLE, least(2400.0::DOUBLE, a - 12.5)), 3) AS paired_start,
- round(greatest(greatest(0.0::DOUBLE, least(2400.0::DOUBLE, a - 12.5)), least(2400.0::DOUBLE, b - 12.5)), 3) AS paired_end, 'r:' || track_id || ':' || ms AS event_key,
- source || '_t' || lpad((ms // 1000) || '.' || lpad((ms % 1000)::VARCHAR, 3, '0'), 10, '0') || '_track' || lpad(track_id::VARCHAR, 5, '0') || '_' || CASE class_id WHEN 2 THEN 'car' WHEN 3 THEN 'motorcycle' WHEN 5 THEN 'bus' ELSE 'truck' END || '.mp4' AS name FROM q"""
+SELECT source, session, round(a, 3) AS clip_start, round(b, 3) AS clip_end, round(greatest(0.0::DOUBLE, a + 12.5), 3) AS paired_start,
+ round(least(2400.0::DOUBLE, b + 12.5), 3) AS paired_end, 'r:' || track_id || ':' || ms AS event_key,
+ printf('%s_t%010.3f_track%05d_%s.mp4', source::VARCHAR, ms / 1000, track_id, CASE class_id WHEN 2 THEN 'car' WHEN 3 THEN 'motorcycle' WHEN 5 THEN 'bus' ELSE 'truck' END) AS name FROM q"""
 
 
 @query(_TRACK_FILES)
@@ -57,7 +59,7 @@ def host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT event_id, epoch_us(ts) + {_K} * 100000 AS clock_us, round(epoch_us(ts) / 1e6 - 1704067200 - value, 3) AS physical_offset FROM events")
 def clock_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events(spark, sf_dir)
-    shifted = F.col("ts") + F.make_dt_interval(secs=F.col("k").cast("decimal(18,6)") / 10)
+    shifted = clocks.shifted(F.col("ts"), F.col("k") / 10, F.lit(0.0))
     us = lambda c: F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), c)
     return e.select("event_id", us(shifted).alias("clock_us"), F.round(us(F.col("ts")) / 1e6 - 1704067200 - F.col("value"), 3).alias("physical_offset"))
 
@@ -136,15 +138,12 @@ def review_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.counters(review_tiers(spark, sf_dir))
 
 
-_ADJUST = (0.0, -0.4, 0.4, -0.8, 0.8, -2.0, 2.0, -5.0, 5.0)
-
-
-@query(f"""WITH a AS (SELECT unnest(range(18)) AS ord), t AS (SELECT event_id, ord, ([{', '.join(f'{x}::DOUBLE' for x in _ADJUST)}])[ord // 2 + 1] AS adjust, ({_K} + ord * 7) % 23 = 0 AS works FROM events, a)
+@query(f"""WITH a AS (SELECT unnest(range(18)) AS ord), t AS (SELECT event_id, ord, ([{', '.join(f'{x}::DOUBLE' for x in clocks.ADJUSTMENTS)}])[ord // 2 + 1] AS adjust, ({_K} + ord * 7) % 23 = 0 AS works FROM events, a)
 SELECT event_id, min(ord) FILTER (works) AS attempt, arg_min(adjust, ord) FILTER (works) AS value FROM t GROUP BY event_id""")
 def first_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    attempts = spark.range(1).select(F.posexplode(F.array(*(F.lit(x) for x in _ADJUST for _ in range(2)))).alias("ord", "adjust"))
+    attempts = [x for x in clocks.ADJUSTMENTS for _ in range(2)]
     e = _events(spark, sf_dir).select("event_id", "k")
-    return review.first_success(e, ["event_id"], attempts, (F.col("k") + F.col("ord") * 7) % 23 == 0, F.col("adjust"))
+    return review.first_success(e, ["event_id"], attempts, lambda k, _: (F.col("k") + k * 7) % 23 == 0)
 
 
 @query(f"""WITH e AS (SELECT user_id AS key, event_id AS ord, ({_K} % 40)::DOUBLE / 8 AS t, event_id % 17 = 0 AS works FROM events), o AS (SELECT key, arg_min(ord, ord) AS ord, arg_min(t, ord) AS t, arg_min(works, ord) AS works FROM e GROUP BY key, round(t * 1000)),
@@ -259,12 +258,12 @@ def correlation_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH e AS (SELECT vec_id, unnest(range(4)) AS side, embedding FROM embeddings), v AS (SELECT vec_id, side, list_transform(embedding[side * 16 + 1:side * 16 + 16], lambda x: exp(x::DOUBLE)) AS w FROM e),
 d AS (SELECT vec_id, side, list_sum(list_transform(w, lambda x, i: x * (i - 1))) / list_sum(w) AS d FROM v), p AS (SELECT vec_id, max(d) FILTER (side = 0) AS l, max(d) FILTER (side = 1) AS t, max(d) FILTER (side = 2) AS r, max(d) FILTER (side = 3) AS b FROM d GROUP BY vec_id),
-a AS (SELECT *, (vec_id % 80 + 0.5::DOUBLE) AS ax, (vec_id // 80 % 80 + 0.5::DOUBLE) AS ay FROM p), q AS (SELECT vec_id, greatest(0::DOUBLE, least(1280::DOUBLE, ((ax - l) * 8 - 0) / 0.5::DOUBLE)) AS x1, greatest(0::DOUBLE, least(720::DOUBLE, ((ay - t) * 8 - 140) / 0.5::DOUBLE)) AS y1, greatest(0::DOUBLE, least(1280::DOUBLE, ((ax + r) * 8 - 0) / 0.5::DOUBLE)) AS x2, greatest(0::DOUBLE, least(720::DOUBLE, ((ay + b) * 8 - 140) / 0.5::DOUBLE)) AS y2 FROM a),
+a AS (SELECT *, (vec_id % 80 + 0.5::DOUBLE) AS ax, (vec_id * 7 % 80 + 0.5::DOUBLE) AS ay FROM p), q AS (SELECT vec_id, greatest(0::DOUBLE, least(1280::DOUBLE, ((ax - l) * 8 - 0) / 0.5::DOUBLE)) AS x1, greatest(0::DOUBLE, least(720::DOUBLE, ((ay - t) * 8 - 140) / 0.5::DOUBLE)) AS y1, greatest(0::DOUBLE, least(1280::DOUBLE, ((ax + r) * 8 - 0) / 0.5::DOUBLE)) AS x2, greatest(0::DOUBLE, least(720::DOUBLE, ((ay + b) * 8 - 140) / 0.5::DOUBLE)) AS y2 FROM a),
 c AS (SELECT vec_id, list_transform(embedding[1:10], lambda x: x::DOUBLE) AS s FROM embeddings)
 SELECT q.vec_id, round(x1, 3) AS x1, round(y1, 3) AS y1, round(x2, 3) AS x2, round(y2, 3) AS y2, round(1 / (1 + exp(-list_max(s))), 6) AS score, list_position(s, list_max(s))::INT - 1 AS class_id FROM q JOIN c ON q.vec_id = c.vec_id WHERE x2 > x1 AND y2 > y1""")
 def box_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    e = e.withColumns({"ax": F.col("vec_id") % 80 + 0.5, "ay": F.floor(F.col("vec_id") / 80) % 80 + 0.5})
+    e = e.withColumns({"ax": F.col("vec_id") % 80 + 0.5, "ay": F.col("vec_id") * 7 % 80 + 0.5})
     b = boxes.decoded(e, F.col("v"), 16, 8, F.col("ax"), F.col("ay"))
     b = boxes.unpadded(b, 0.5, 0.0, 140.0, 1280.0, 720.0)
     score, best = boxes.class_score(F.slice("v", 1, 10))

@@ -20,6 +20,11 @@ def iou(a: str, b: str) -> Column:
     return inter / F.greatest(area(0) + area(1) - inter, F.lit(1e-9))
 
 
+def to_unit(box: tuple[Column, Column, Column, Column], width: Column, height: Column) -> tuple[Column, ...]:
+    """Left, top, right and bottom in pixels of a picture as shares of its sides."""
+    return tuple(v / side for v, side in zip(box, (width, height) * 2, strict=True))
+
+
 def suppress(left, top, right, bottom, order, threshold: float) -> np.ndarray:
     """Mask of the boxes that stay when, in this order, each removes later ones that overlap it more than the threshold."""
     keep = np.zeros(len(order), bool)

@@ -19,14 +19,15 @@ def normalized(path: Column) -> Column:
 
 def host_path(path: Column, root: str, mount: str = "/output", strict: bool = False) -> Column:
     """A path under the mount as it is called under root; other paths stay or, if strict, are null."""
-    inside = path.rlike(f"^{mount}(/.*)?$")
+    inside = (path == mount) | path.startswith(mount + "/")
     return F.when(inside, F.concat(F.lit(root), F.substring(path, len(mount) + 1, 1 << 20))).otherwise(F.lit(None) if strict else path)
 
 
 def within(path: Column, root: str) -> Column:
-    """Whether the normalized path is root or lies below it."""
-    p = normalized(path)
-    return (p == root) | p.startswith(root + "/")
+    """Whether the absolute path, normalized, is root or lies below it; a relative path never is."""
+    p, root = normalized(path), "/" + root.strip("/")
+    below = F.lit(True) if root == "/" else (p == root) | p.startswith(root + "/")
+    return path.startswith("/") & below
 
 
 def event_key(track_id: Column, peak: Column, prefix: str = "") -> Column:
@@ -34,10 +35,8 @@ def event_key(track_id: Column, peak: Column, prefix: str = "") -> Column:
 
 
 def clip_name(source: Column, peak: Column, track_id: Column, class_name: Column) -> Column:
-    """<source>_t<seconds, ten places with three decimals>_track<five places>_<class>.mp4"""
-    ms = F.round(peak * 1000).cast("long")
-    seconds = F.lpad(F.concat_ws(".", F.floor(ms / 1000).cast("string"), F.lpad((ms % 1000).cast("string"), 3, "0")), 10, "0")
-    return F.concat(source.cast("string"), F.lit("_t"), seconds, F.lit("_track"), F.lpad(track_id.cast("string"), 5, "0"), F.lit("_"), class_name, F.lit(".mp4"))
+    """<source>_t<seconds, ten places or more with three decimals>_track<five places or more>_<class>.mp4"""
+    return F.format_string("%s_t%010.3f_track%05d_%s.mp4", source.cast("string"), F.round(peak * 1000) / 1000, track_id.cast("long"), class_name)
 
 
 def detection_height(width: Column, height: Column, target: int) -> Column:
@@ -47,6 +46,5 @@ def detection_height(width: Column, height: Column, target: int) -> Column:
 
 
 def paired_window(start: Column, end: Column, offset: Column, length: Column) -> tuple[Column, Column]:
-    """A window of one medium, shifted by the offset and held within the other."""
-    a = F.greatest(F.lit(0.0), F.least(length, start - offset))
-    return a, F.greatest(a, F.least(length, end - offset))
+    """A window of one medium in the time of the other, which is offset later: not before its start, nor after its end."""
+    return F.greatest(F.lit(0.0), start + offset), F.least(length, end + offset)

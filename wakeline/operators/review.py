@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,14 +53,11 @@ def counters(reviews: DataFrame) -> DataFrame:
     )
 
 
-def first_success(rows: DataFrame, keys: list[str], attempts: DataFrame, works: Column, value: Column) -> DataFrame:
-    """keys, attempt, value of the first of the (few, ordered) attempts that works; nulls where none does.
-
-    attempts: ord and what works and value refer to. Its size is that of a literal list, so it is broadcast.
-    """
-    tried = rows.crossJoin(F.broadcast(attempts))
-    hit = F.when(works, F.col("ord"))
-    return tried.groupBy(*keys).agg(F.min(hit).cast("long").alias("attempt"), F.min_by(F.when(works, value), F.coalesce(hit, F.lit(1 << 30))).alias("value"))
+def first_success(rows: DataFrame, keys: list[str], attempts: Sequence[float], works: Callable[[Column, Column], Column]) -> DataFrame:
+    """keys, attempt, value of the first of the (few, ordered) attempts that works(place, value); nulls where none does."""
+    tried = F.array(*(F.struct(F.lit(k).cast("long").alias("attempt"), F.lit(v).alias("value")) for k, v in enumerate(attempts)))
+    hit = F.get(F.filter(tried, lambda a: works(a["attempt"], a["value"])), 0)
+    return rows.select(*keys, hit.alias("hit")).select(*keys, "hit.attempt", "hit.value")
 
 
 def anchor_search(candidates: DataFrame, key: str, limit: int = 20) -> DataFrame:

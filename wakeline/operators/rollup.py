@@ -23,7 +23,7 @@ def batch_rollup(files: DataFrame, group: str = "camera") -> DataFrame:
     done = F.col("status") == "completed"
     seconds = lambda c, only=True: F.coalesce(F.sum(F.when(done, F.col(c)) if only else F.col(c)), F.lit(0).cast("long"))
     total = files.groupingSets([[], [group]], group).agg(
-        F.coalesce(F.col(group), F.lit("overall")).alias("lane"), F.count("*").alias("files"), F.count_if(done).alias("completed"),
+        F.when(F.grouping(group) == 1, "overall").otherwise(F.col(group)).alias("lane"), F.count("*").alias("files"), F.count_if(done).alias("completed"),
         seconds("media_seconds", False).alias("expected_seconds"), seconds("media_seconds").alias("processed_seconds"), seconds("wall_seconds").alias("wall_seconds"), seconds("events").alias("events"),
     )
     factor = F.try_divide("processed_seconds", "wall_seconds")

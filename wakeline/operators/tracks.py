@@ -109,18 +109,20 @@ def deduplicate(tracks: DataFrame, lane: tuple[str, ...], peak_window: float = 1
 
     Tracks of one side, near in time, are one object; the one with more detections, then the longer one, then
     the larger stays, and the earlier one of equals. duplicate_of is the track that won the comparison, which may
-    lose a later one. A chain can only run through steps of at most peak_window, so a lane falls at larger steps
+    lose a later one. Times are compared as they are reported, in thousandths. A chain can only run through steps of at most peak_window, so a lane falls at larger steps
     into groups, and tasks take whole groups from sorted rows.
     """
-    w = Window.partitionBy(*lane).orderBy("peak_time", "track_id")
-    far = F.coalesce((F.col("peak_time") - F.lag("peak_time").over(w) > peak_window).cast("int"), F.lit(0))
+    shown = {f"_{c}": F.round(c, 3) for c in ("peak_time", "first_seen", "last_seen")}
+    tracks = tracks.withColumns(shown)
+    w = Window.partitionBy(*lane).orderBy("_peak_time", "track_id")
+    far = F.coalesce((F.col("_peak_time") - F.lag("_peak_time").over(w) > peak_window).cast("int"), F.lit(0))
     cut = tracks.withColumn("_far", far).withColumn("_group", F.sum("_far").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_far")
     own = [*lane, "_group"]
 
     def scan(batches):
         for g, at in whole_groups(batches, own):
             stays, winner = np.ones(len(g), bool), np.full(len(g), None, object)
-            side, peak, first, last_seen = (g[c].tolist() for c in ("side", "peak_time", "first_seen", "last_seen"))
+            side, peak, first, last_seen = (g[c].tolist() for c in ("side", "_peak_time", "_first_seen", "_last_seen"))
             worth = list(zip(g["detections"].tolist(), g["duration"].tolist(), g["peak_area"].tolist(), strict=True))
             ids = g["track_id"].tolist()
             for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -135,7 +137,19 @@ def deduplicate(tracks: DataFrame, lane: tuple[str, ...], peak_window: float = 1
             yield g.assign(survivor=stays, duplicate_of=pd.array(winner, "Int64"))
 
     schema = cut.withColumns({"survivor": F.lit(True), "duplicate_of": F.lit(None).cast("long")}).schema
-    return cut.repartition(*own).sortWithinPartitions(*own, "peak_time", "track_id").mapInPandas(scan, schema).drop("_group")
+    return cut.repartition(*own).sortWithinPartitions(*own, "_peak_time", "track_id").mapInPandas(scan, schema).drop("_group", *shown)
+
+
+def marked(tracks: DataFrame, lane: tuple[str, ...], peak_window: float = 1.0, track_gap: float = 0.25) -> DataFrame:
+    """All tracks with candidate_raw (candidate as it was), duplicate_of, and candidate, which duplicates lose.
+
+    Only candidates are compared. Done again it starts from what is a candidate by then, and sets duplicate_of anew.
+    """
+    tracks = tracks.drop("candidate_raw", "duplicate_of")
+    compared = deduplicate(tracks.where("candidate"), lane, peak_window, track_gap)
+    compared = compared.withColumns({"candidate_raw": F.lit(True), "candidate": F.col("survivor")}).drop("survivor")
+    others = tracks.where(~F.coalesce(F.col("candidate"), F.lit(False)))
+    return compared.unionByName(others.withColumns({"candidate_raw": F.lit(False), "candidate": F.lit(False), "duplicate_of": F.lit(None).cast("long")}))
 
 
 def clip_window(df: DataFrame, before: float = 3.0, after: float = 4.0, length: str = "media_seconds") -> DataFrame:

@@ -100,9 +100,10 @@ def hourly(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 
 def hourly_sql(name: str, kind: str) -> str:
+    hour = "floor((epoch_us(ts) - 1704067200000000) / 3600e6)::BIGINT"
     return f"""
-{name} AS (SELECT g.i AS idx, coalesce(n, 0)::DOUBLE AS x FROM (SELECT unnest(range(720)) AS i) g LEFT JOIN
-  (SELECT floor((epoch_us(ts) - 1704067200000000) / 3600e6)::BIGINT AS i, count(*) AS n FROM events WHERE event_type = '{kind}' GROUP BY 1) c ON g.i = c.i)"""
+{name} AS (SELECT g.i AS idx, coalesce(n, 0)::DOUBLE AS x FROM (SELECT unnest(range(least(0, min({hour})), greatest(719, max({hour})) + 1)) AS i FROM events) g LEFT JOIN
+  (SELECT {hour} AS i, count(*) AS n FROM events WHERE event_type = '{kind}' GROUP BY 1) c ON g.i = c.i)"""
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
