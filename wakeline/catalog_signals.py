@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.catalog import query
-from wakeline.operators import correlation, signals
+from wakeline.operators import boxes, correlation, signals
 from wakeline.plans import fixtures as fx
 from wakeline.session import new_folder, table
 from wakeline.sources import recordings
@@ -91,3 +91,41 @@ def sound_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     recordings.write_segments(e, path, 2)
     blocks = recordings.sound_blocks(spark, path, 50, least_samples=1000, samples_per_task=777)
     return signals.normalised(blocks, 10, strict=True).select("key", "idx", F.round("envelope", 6).alias("envelope"))
+
+
+@query(f"WITH {_FRAMES_SQL} SELECT source, frame, repeat('72', 72) || pixels || repeat('72', 72) AS square FROM v")
+def letterbox_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _recorded_frames(spark, sf_dir)  # 48 bytes are 8 x 2 pixels as well
+    return f.select("source", "frame", F.hex(boxes.letterboxed(F.col("data"), 8, 2, 8)).alias("square"))
+
+
+_CLASSES, _CHANNELS = 10, 74
+
+
+@query(f"""WITH RECURSIVE g AS (SELECT unnest([8, 16, 32]) AS stride), c AS (SELECT stride, 64 // stride AS side, unnest(range((64 // stride) * (64 // stride))) AS cell FROM g),
+e AS (SELECT vec_id, stride, side, cell, list_transform(range({_CHANNELS}), lambda j: embedding[(cell * 31 + j * 7 + stride) % 64 + 1]::DOUBLE * CASE WHEN j < 64 THEN 40 ELSE 12 END) AS v FROM embeddings, c),
+s AS (SELECT * EXCLUDE v, v[65:] AS k, v FROM e), t AS (SELECT *, 1 / (1 + exp(-list_max(k))) AS score, list_position(k, list_max(k))::INT - 1 AS class_id FROM s),
+w AS (SELECT *, list_transform(range(4), lambda q: list_transform(v[q * 16 + 1:q * 16 + 16], lambda x: exp(x - list_max(v[q * 16 + 1:q * 16 + 16])))) AS ws FROM t WHERE score >= 0.6 AND class_id IN (2, 3, 5, 7)),
+d AS (SELECT *, list_transform(ws, lambda a: list_sum(list_transform(a, lambda x, i: x * (i - 1))) / list_sum(a)) AS d, cell % side + 0.5::DOUBLE AS ax, cell // side + 0.5::DOUBLE AS ay FROM w),
+b AS (SELECT vec_id, class_id, score, stride * 4294967296 + cell AS box_id, (ax - d[1]) * stride AS l, (ay - d[2]) * stride AS t, (ax + d[3]) * stride AS r, (ay + d[4]) * stride AS m FROM d),
+n AS (SELECT *, row_number() OVER (PARTITION BY vec_id, class_id ORDER BY score DESC, box_id) AS i FROM b),
+z AS (SELECT vec_id, class_id, i, box_id AS kept, [{{'l': l, 't': t, 'r': r, 'm': m}}] AS ks FROM n WHERE i = 1
+ UNION ALL SELECT n.vec_id, n.class_id, n.i, CASE WHEN stays THEN n.box_id END, CASE WHEN stays THEN list_append(ks, {{'l': n.l, 't': n.t, 'r': n.r, 'm': n.m}}) ELSE ks END
+ FROM z JOIN n ON z.vec_id = n.vec_id AND z.class_id = n.class_id AND n.i = z.i + 1,
+ LATERAL (SELECT list_transform(ks, lambda k: {{'o': greatest(0, least(k.r, n.r) - greatest(k.l, n.l)) * greatest(0, least(k.m, n.m) - greatest(k.t, n.t)), 'a': (k.r - k.l) * (k.m - k.t) + (n.r - n.l) * (n.m - n.t)}}) AS os) x,
+ LATERAL (SELECT len(list_filter(os, lambda v: v.o / greatest(v.a - v.o, 1e-9) > 0.45)) = 0 AS stays) y),
+o AS (SELECT b.vec_id, b.class_id, score, box_id, least(1280::DOUBLE, greatest(0, l / 0.05::DOUBLE)) AS x1, least(720::DOUBLE, greatest(0, (t - 14) / 0.05::DOUBLE)) AS y1, least(1280::DOUBLE, greatest(0, r / 0.05::DOUBLE)) AS x2, least(720::DOUBLE, greatest(0, (m - 14) / 0.05::DOUBLE)) AS y2 FROM b JOIN z ON z.vec_id = b.vec_id AND z.class_id = b.class_id AND z.kept = b.box_id)
+SELECT vec_id, class_id, CASE class_id WHEN 2 THEN 'car' WHEN 3 THEN 'motorcycle' WHEN 5 THEN 'bus' ELSE 'truck' END AS class_name, round(score, 5) AS confidence, round(x1, 2) AS x1, round(y1, 2) AS y1, round(x2, 2) AS x2, round(y2, 2) AS y2,
+ round(x1 / 1280, 5) AS u1, round(y1 / 720, 5) AS v1, round(x2 / 1280, 5) AS u2, round(y2 / 720, 5) AS v2, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, class_id, box_id) AS place FROM o WHERE x2 > x1 AND y2 > y1""")
+def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+
+    def features(stride: int) -> Column:
+        def value(i: Column) -> Column:
+            place = (F.floor(i / _CHANNELS) * 31 + i % _CHANNELS * 7 + stride).cast("int") % 64 + 1
+            return F.element_at("embedding", place).cast("double") * F.when(i % _CHANNELS < 64, 40).otherwise(12)
+
+        return F.transform(F.sequence(F.lit(0), F.lit((64 // stride) ** 2 * _CHANNELS - 1)), value)
+
+    maps = [e.select("vec_id", F.lit(s).alias("stride"), features(s).alias("features")) for s in (8, 16, 32)]
+    return boxes.detections(maps[0].unionByName(maps[1]).unionByName(maps[2]), ["vec_id"], (1280, 720), 0.05, 0.0, 14.0, 64, 16, _CLASSES, confidence=0.6)
