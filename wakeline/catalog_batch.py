@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.catalog import ORACLE_SQL, query
-from wakeline.operators import attempts, clocks, tracks
+from wakeline.operators import attempts, clocks, patches, tracks
 from wakeline.plans import fixtures as fx
 from wakeline.session import new_folder, table
-from wakeline.sources import gate, keyed
+from wakeline.sources import gate, keyed, readers, writers
 from wakeline.streaming import replay, watchdog
 
 _DAY = 86_400_000_000
@@ -133,3 +133,71 @@ def candidate_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = t.withColumns({"track_id": F.col("source") * 100000 + F.col("session"), "grp": F.floor(F.col("source") / 10), "candidate": F.col("detections") >= 2})
     t = t.select("source", "session", "track_id", "camera", "grp", "side", "peak_time", "first_seen", "last_seen", "detections", "duration", "peak_area", "candidate")
     return tracks.marked(t, ("camera", "grp")).select("source", "session", "candidate_raw", "candidate", "duplicate_of")
+
+
+@query("""WITH e AS (SELECT user_id AS date, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos, event_id, value FROM events)
+SELECT date, 'left_right' AS layout, 2 AS layout_schema_version, pos, '/output/combined/' || date || '/clips/' || event_id || '.mp4' AS clip, event_id % 7 AS residual, 2560 AS width, round(value / 4 + 5, 6) AS seconds FROM e""")
+def patched_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").withColumn("date", F.col("user_id"))
+    name = F.concat(F.col("event_id").cast("string"), F.lit(".mp4"))
+    clip = F.concat(F.lit("/output/combined/"), F.col("date").cast("string"), F.lit("/clips/"), name)
+    media = F.struct(F.lit(1280).alias("width"), F.lit(0.0).alias("seconds"))
+    event = F.struct("ts", "event_id", F.struct(clip.alias("clip"), (F.col("event_id") % 7).alias("residual"), media.alias("media")).alias("event"))
+    docs = e.groupBy("date").agg(F.transform(F.sort_array(F.collect_list(event)), lambda x: x["event"]).alias("events"), F.lit("right_left").alias("layout"))
+    path = new_folder(spark)
+    docs.write.json(path)
+    docs = readers.json_lines(spark, path, docs.schema)
+    report = e.select("date", name.alias("filename"), F.struct(F.lit(2560).alias("width"), F.round(F.col("value") / 4 + 5, 6).alias("seconds")).alias("media"))
+    done = patches.patched(docs, report, "date", "media", {"layout": F.lit("left_right"), "layout_schema_version": F.lit(2)})
+    rows = done.select("date", "layout", "layout_schema_version", F.posexplode("events").alias("pos", "event"))
+    return rows.select("date", "layout", "layout_schema_version", F.col("pos").cast("long").alias("pos"), "event.clip", "event.residual", "event.media.width", "event.media.seconds")
+
+
+@query("""WITH d AS (SELECT *, row_number() OVER (ORDER BY lang, source, doc_id) - 1 AS i FROM (SELECT DISTINCT coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source, min(doc_id) AS doc_id FROM documents GROUP BY 1, 2))
+SELECT i AS place, lang AS camera, source AS date, 'v' || doc_id AS stem, doc_id FROM d""")
+def documents_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").groupBy(F.coalesce("lang", F.lit("none")).alias("lang"), F.coalesce("source", F.lit("none")).alias("source")).agg(F.min("doc_id").alias("doc_id"))
+    d = d.withColumn("stem", F.concat(F.lit("v"), F.col("doc_id").cast("string")))
+    path = new_folder(spark)
+    # one document in each camera/date/stem folder
+    d.withColumns({"c": F.col("lang"), "d": F.col("source"), "s": F.col("stem")}).repartition("c", "d").write.partitionBy("c", "d", "s").json(path)
+    docs = readers.run_documents(spark, f"{path}/*/*/*/*.json", "doc_id long")
+    place = patches.place_in_batch(F.col("path"))
+    docs = patches.in_path_order(docs.select("path", "doc_id")).select("place", place.alias("p"), "doc_id")
+    folder = lambda c: F.regexp_replace(F.col(f"p.{c}"), "^[cds]=", "").alias(c)
+    return docs.select("place", folder("camera"), folder("date"), folder("stem"), "doc_id")
+
+
+@query(f"""WITH e AS (SELECT event_id, {_K} AS k, value FROM events)
+SELECT event_id, CASE WHEN k % 9 <> 0 THEN 1280 + k END::INT AS width, CASE WHEN k % 9 <> 0 THEN 720 END::INT AS height, CASE WHEN k % 9 = 0 OR k % 5 = 0 THEN NULL ELSE round(30000 / (1000 + k), 6) END AS rate, round(value, 2) AS duration, event_id * 10 AS size FROM e""")
+def probe_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.get_json_object("props", "$.k").cast("int")
+    rate = F.concat(F.lit("30000/"), F.when(k % 5 == 0, 0).otherwise(1000 + k).cast("string"))
+    video = F.struct(F.lit("video").alias("codec_type"), (1280 + k).alias("width"), F.lit(720).alias("height"), rate.alias("avg_frame_rate"))
+    sound = F.struct(F.lit("audio").alias("codec_type"), F.lit(None).cast("int").alias("width"), F.lit(None).cast("int").alias("height"), F.lit("0/0").alias("avg_frame_rate"))
+    streams = F.when(k % 9 == 0, F.array(sound)).otherwise(F.array(sound, video))
+    probe = F.to_json(F.struct(streams.alias("streams"), F.struct(F.round("value", 2).cast("string").alias("duration"), (F.col("event_id") * 10).cast("string").alias("size")).alias("format")))
+    m = table(spark, sf_dir, "events").select("event_id", readers.media_facts(probe).alias("m"))
+    return m.select("event_id", "m.width", "m.height", F.round("m.rate", 6).alias("rate"), "m.duration", "m.size")
+
+
+@query("SELECT event_id, event_type, value FROM events WHERE epoch_us(ts) // 1000000 BETWEEN 1704500000 AND 1705500000")
+def telemetry_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark)
+    e = table(spark, sf_dir, "events").select(F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"), "event_id", "event_type", "value")
+    writers.delimited(e, path, e.columns)
+    return readers.telemetry(spark, path, "timestamp long, event_id long, event_type string, value double", "timestamp", 1_704_500_000, 1_705_500_000).drop("timestamp")
+
+
+@query("""WITH d AS (SELECT coalesce(lang, 'none') AS lang, count(*) AS n FROM documents GROUP BY 1), l AS (SELECT coalesce(lang, 'none') AS lang, count(*) AS labelled FROM documents JOIN labels USING (doc_id) GROUP BY 1)
+SELECT lang, n AS csv_rows, coalesce(labelled, 0) AS lines, n = coalesce(labelled, 0) AS same FROM d LEFT JOIN l USING (lang)""")
+def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a language as rows of a CSV file, labelled ones as lines of a JSON file with blank lines between."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("none")).alias("lang"))
+    tables, lines = new_folder(spark), new_folder(spark)
+    d.repartition("lang").write.partitionBy("lang").option("header", True).csv(tables)
+    labelled = d.join(table(spark, sf_dir, "labels"), "doc_id").select("lang", F.explode(F.array(F.to_json(F.struct("doc_id", "quality")), F.lit(""))).alias("value"))
+    labelled.repartition("lang").write.partitionBy("lang").text(lines)
+    lang = F.regexp_extract("path", "lang=([^/]*)", 1).alias("lang")
+    counted = readers.compared(readers.csv_counts(spark, f"{tables}/*/*.csv").select(lang, "n_rows"), readers.line_counts(spark, f"{lines}/*/*.txt").select(lang, "n_lines"), "lang")
+    return counted.select("lang", F.col("n_rows").alias("csv_rows"), F.col("n_lines").alias("lines"), "same")

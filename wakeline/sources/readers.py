@@ -71,3 +71,15 @@ def media_facts(probe: Column) -> Column:
 def events_of(documents: DataFrame, keys: list[str], events: str = "events") -> DataFrame:
     """A row for each event in the documents; documents without events give none."""
     return documents.select(*keys, F.explode(events).alias("_event")).select(*keys, "_event.*")
+
+
+def csv_counts(spark: SparkSession, path: str) -> DataFrame:
+    """path and n_rows (without the header) of each CSV file that has rows."""
+    rows = spark.read.csv(path, header=True).select(F.col("_metadata.file_path").alias("path"))
+    return rows.groupBy("path").agg(F.count("*").alias("n_rows"))
+
+
+def compared(rows: DataFrame, lines: DataFrame, key: str) -> DataFrame:
+    """key, n_rows, n_lines (0 where there are none) and whether they are the same."""
+    both = rows.groupBy(key).agg(F.sum("n_rows").alias("n_rows")).join(lines.groupBy(key).agg(F.sum("n_lines").alias("n_lines")), key, "full")
+    return both.na.fill({"n_rows": 0, "n_lines": 0}).withColumn("same", F.col("n_rows") == F.col("n_lines"))
