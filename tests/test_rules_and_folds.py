@@ -197,3 +197,47 @@ def test_timeouts_and_ready_days_state_their_rows(spark):
     stream = replay.staged(replay.with_last_row(beats, "ts", "2 days"))
     out = replay.replay(spark, replay.timeouts(stream, "worker", "ts", "3 hours", "1 hour"))
     assert sorted((r.worker, r.beats, r.last_seen.hour, r.stale_at.hour) for r in out.collect()) == [("a", 1, 9, 12), ("a", 2, 1, 4), ("b", 1, 0, 3)]
+
+
+def both_lanes(spark, rear, front):
+    """(id, media, clock) of each event, of one key."""
+    side = lambda rows, name: spark.createDataFrame([("k", i, float(c), float(m)) for i, m, c in rows], f"key string, {name}_id long, t double, media double")
+    return side(rear, "rear"), side(front, "front")
+
+
+def test_alignment_over_media_with_missing_sections(spark):
+    # an event of equal clock is no match: two others agree on another bias, though their media are apart by different times
+    rear, front = both_lanes(spark, [(21, 111, 1000), (22, 500, 2000)], [(10, 50, 1000), (11, 101, 1014), (12, 300, 2014)])
+    pairs, heads = matching.alignment(rear, front, 1.5, 120.0)
+    assert sorted((r.rear_id, r.front_id, r.physical) for r in pairs.collect()) == [(21, 11, 10.0), (22, 12, 200.0)]
+    assert heads.collect() == [("k", -14.0, 2, 0.0, 10.0, 200.0, 21, 11)]
+
+
+def test_alignment_without_matches(spark):
+    rear, front = both_lanes(spark, [(1, 5, 10)], [(2, 5, 9000)])
+    pairs, heads = matching.alignment(rear, front, 1.5, 120.0)
+    assert pairs.collect() == [] and heads.collect() == [("k", 0.0, 0, 0.0, 0.0, 0.0, None, None)]
+
+
+def test_an_unstable_match_is_not_accepted_at_the_median(spark):
+    rear, front = both_lanes(spark, [(21, 0, 104), (22, 0, 204), (23, 0, 304)], [(11, 0, 94), (12, 0, 194.2), (13, 0, 250)])
+    _, heads = matching.alignment(rear, front, 1.5, 100.0)
+    r = heads.first()
+    assert (r.accepted, r.anchor_rear) == (2, 22) and r.bias == pytest.approx(9.9) and r.max_residual == pytest.approx(0.1)
+
+
+def test_biases_that_cannot_win_are_not_missed(spark):
+    rnd = random.Random(12)
+    sides = []
+    for name in ("rear", "front"):
+        rows = [(k, i, round(rnd.random() * 60, 2)) for k in range(12) for i in range(rnd.randrange(0, 14))]
+        sides.append((rows, spark.createDataFrame(rows, f"key long, {name}_id long, t double")))
+    got = {r.key: (r.bias, r.matches) for r in matching.best_bias(sides[0][1], sides[1][1], 1.5, 20.0).collect()}
+    want = {}
+    for key, bias in map(tuple, matching.candidates(sides[0][1], sides[1][1], 20.0).collect()):
+        rear, front = ([(t, i) for k, i, t in s[0] if k == key] for s in sides)
+        if front:
+            pairs = plain_pairs(rear, front, bias, 1.5)
+            rank = (-len(pairs), round(sum(abs(o - bias) for *_, o in pairs), 6), abs(bias), bias)
+            want[key] = min(want.get(key, rank), rank)
+    assert got == {k: (w[3], -w[0]) for k, w in want.items()} and len(got) > 5

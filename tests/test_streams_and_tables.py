@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wakeline.session import new_folder
 from wakeline.sources import keyed
-from wakeline.streaming import replay, watchdog
+from wakeline.streaming import replay, tail, watchdog
 
 T0 = datetime(2024, 1, 1)
 
@@ -78,3 +78,23 @@ def test_updates_by_key_must_hit_once(spark):
         keyed.updated(base, change((3, "x", "c")), ["k"]).collect()
     with pytest.raises(Exception, match="more than once"):
         keyed.updated(base, change((2, "x", "c"), (2, "y", "d")), ["k"]).select(F.col("k")).collect()
+
+
+def test_samples_are_cut_to_their_runs(spark):
+    rows = spark.createDataFrame([(at(s), s, float(s)) for s in range(0, 100, 10)], "at timestamp, second long, value double")
+    runs = spark.createDataFrame([("one", 20, 40), ("edge", 90, 90), ("late", 91, 99), ("over", 35, 62), ("wrong", 50, 20)], "run string, start long, end long")
+    for bucket in (1, 25, 1000):
+        found = replay.in_slices(rows, "at", 2, lambda s, b=bucket: tail.in_runs(s, runs, "second", b), mode="append", csv=True)
+        got = {}
+        for r in found.collect():
+            got.setdefault(r.run, []).append(r.second)
+        assert {k: sorted(v) for k, v in got.items()} == {"one": [20, 30, 40], "edge": [90], "over": [40, 50, 60]}
+
+
+def test_feeds_are_ready_after_two_samples(spark, tmp_path):
+    states = []
+    rows = spark.createDataFrame([("a", at(0)), ("b", at(1)), ("a", at(50)), ("c", at(60))], "feed string, at timestamp")
+    replay.in_slices(rows, "at", 2, lambda s: tail.readiness(s, "feed"), lambda b, k: states.append({r.feed: (r.samples, r.ready) for r in b.collect()}))
+    assert [s for s in states if s] == [{"a": (1, False), "b": (1, False)}, {"a": (2, True), "c": (1, False)}]
+    (tmp_path / "x.csv").write_text("second,value\n1,2.5\n")
+    assert tail.samples(spark, str(tmp_path), "second long, value double").isStreaming

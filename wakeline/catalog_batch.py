@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.catalog import ORACLE_SQL, query
-from wakeline.operators import attempts, clocks, patches, tracks
+from wakeline.operators import attempts, clocks, matching, patches, tracks
 from wakeline.plans import fixtures as fx
-from wakeline.session import new_folder, table
+from wakeline.session import new_folder, settle, table
 from wakeline.sources import gate, keyed, readers, writers
-from wakeline.streaming import replay, watchdog
+from wakeline.streaming import replay, tail, watchdog
 
 _DAY = 86_400_000_000
 _K = "(props->>'$.k')::INT"
@@ -201,3 +201,32 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lang = F.regexp_extract("path", "lang=([^/]*)", 1).alias("lang")
     counted = readers.compared(readers.csv_counts(spark, f"{tables}/*/*.csv").select(lang, "n_rows"), readers.line_counts(spark, f"{lines}/*/*.txt").select(lang, "n_lines"), "lang")
     return counted.select("lang", F.col("n_rows").alias("csv_rows"), F.col("n_lines").alias("lines"), "same")
+
+
+@query(f"""WITH RECURSIVE {fx.RANKED_SQL}, tasks AS (SELECT DISTINCT r.key, round(r.t - f.t, 1) AS bias FROM r JOIN f ON r.key = f.key AND abs(r.t - f.t) <= 48 UNION SELECT key, 0.0::DOUBLE FROM r),{fx.greedy_sql('g', 'tasks', 1.5)},
+s AS (SELECT key, bias, count(front_id) AS matches, coalesce(round(sum(abs(o - bias)), 6), 0) AS residue, median(o) AS refined FROM g GROUP BY key, bias),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY matches DESC, residue, abs(bias), bias) AS k FROM s) WHERE k = 1 AND matches > 0),
+anchor AS (SELECT key, arg_min((rear_id, front_id), (round(abs(o - bias), 6), t, rear_id)) AS a FROM g JOIN best USING (key, bias) JOIN r USING (key, rear_id) WHERE front_id IS NOT NULL GROUP BY key),
+twos AS (SELECT key, refined AS bias FROM best),{fx.greedy_sql('h', 'twos', 1.5)},
+p AS (SELECT h.key, h.o, h.bias, h.o + h.key % 7 AS physical FROM h WHERE front_id IS NOT NULL),
+e AS (SELECT key, count(*) AS accepted, max(abs(o - bias)) AS res, min(physical) AS lo, max(physical) AS hi FROM p GROUP BY key)
+SELECT k.key, round(coalesce(bias, 0), 6) AS bias, coalesce(accepted, 0) AS accepted, round(coalesce(res, 0), 6) AS max_residual, round(coalesce(lo, 0), 6) AS min_physical, round(coalesce(hi, 0), 6) AS max_physical, a[1] AS anchor_rear, a[2] AS anchor_front
+FROM (SELECT DISTINCT key FROM r) k LEFT JOIN twos ON twos.key = k.key LEFT JOIN e ON e.key = k.key LEFT JOIN anchor ON anchor.key = k.key""")
+def handoff_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rear, front = fx.lanes(spark, sf_dir)
+    rear, front = rear.withColumn("media", F.col("t") - 473352), front.withColumn("media", F.col("t") - 473352 - F.col("key") % 7)
+    _, heads = matching.alignment(rear, front, 1.5, 48.0)
+    return heads.select("key", F.round("bias", 6).alias("bias"), "accepted", *(F.round(c, 6).alias(c) for c in ("max_residual", "min_physical", "max_physical")), "anchor_rear", "anchor_front")
+
+
+_RUNS = "SELECT user_id AS run, floor(epoch_us(min(ts)) / 1e6)::BIGINT AS start, floor(epoch_us(min(ts)) / 1e6)::BIGINT + 7200 + user_id % 5 * 3600 AS stop FROM events GROUP BY user_id"
+
+
+@query(f"WITH r AS ({_RUNS}) SELECT run, count(*) AS samples, round(avg(value), 6) AS mean, min(value) AS least, max(value) AS most, count(*) >= 2 AS ready FROM r JOIN events ON floor(epoch_us(ts) / 1e6)::BIGINT BETWEEN start AND stop GROUP BY run")
+def telemetry_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("at"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("second"), "user_id", "value")
+    runs = e.groupBy(F.col("user_id").alias("run")).agg(F.min("second").alias("start"))
+    runs = settle(runs.select("run", "start", (F.col("start") + 7200 + F.col("run") % 5 * 3600).alias("end")))
+    found = replay.in_slices(e.drop("user_id"), "at", 3, lambda s: tail.in_runs(s, runs, "second", 7200), mode="append", csv=True)
+    stats = [F.count("*").alias("samples"), F.round(F.avg("value"), 6).alias("mean"), F.min("value").alias("least"), F.max("value").alias("most")]
+    return found.groupBy("run").agg(*stats).withColumn("ready", F.col("samples") >= tail.READY)

@@ -102,18 +102,78 @@ def candidates(rear: DataFrame, front: DataFrame, bound: float, key: str = "key"
     return found.unionByName(rear.select(key, F.lit(0.0).alias("bias"))).distinct()
 
 
-def best_bias(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, key: str = "key") -> DataFrame:
-    """key, bias, matches, refined: the bias with most greedy matches, then least residue, then least size.
+def _reach(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, key: str) -> DataFrame:
+    """key, cell, most: how many rear rows a matching at a bias in a cell, one tolerance wide, can have at most.
 
-    Candidates are matched as rows of their key and bias, which fall apart at gaps: no list of a key's events is made.
+    A match at a bias needs a pair within the tolerance of it; a pair is that near to biases of four cells or fewer.
+    """
+    wide = bound + tolerance
+    bucket = F.floor(F.col("t") / wide)
+    r = rear.select(key, "rear_id", F.col("t").alias("rt"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
+    f = front.select(key, F.col("t").alias("ft"), bucket.alias("b"))
+    o = F.col("rt") - F.col("ft")
+    # a little to spare on each side, as the bias itself is rounded
+    cells = F.sequence(F.floor((o - tolerance) / tolerance - 1e-6), F.floor((o + tolerance) / tolerance + 1e-6))
+    near = r.join(f, [key, "b"]).where(F.abs(o) <= wide).select(key, "rear_id", F.explode(cells).alias("cell")).distinct()
+    return near.groupBy(key, "cell").agg(F.count("*").alias("most"))
+
+
+def _searched(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, key: str) -> tuple[DataFrame, DataFrame]:
+    """The best bias of each key (key, bias, matches, refined), and the pairs at all biases tried (key, bias, rear_id, front_id, offset).
+
+    The bias that can reach most is matched first; of the others only those that can still reach as many.
     """
-    tasks = settle(candidates(rear, front, bound, key).join(front.select(key).distinct(), key, "left_semi"))
-    pairs = _matched(_both(rear.join(tasks, key), front.join(tasks, key), [key, "bias"]), [key, "bias"], tolerance)
+    tasks = candidates(rear, front, bound, key).join(front.select(key).distinct(), key, "left_semi").withColumn("cell", F.floor(F.col("bias") / tolerance))
+    tasks = settle(tasks.join(_reach(rear, front, tolerance, bound, key), [key, "cell"], "left").na.fill({"most": 0}).drop("cell"))
+
+    def matched(own: DataFrame) -> DataFrame:
+        own = own.select(key, "bias")
+        return settle(_matched(_both(rear.join(own, key), front.join(own, key), [key, "bias"]), [key, "bias"], tolerance))
+
+    first = tasks.groupBy(key).agg(F.max_by("bias", F.struct("most", -F.abs("bias"), -F.col("bias"))).alias("bias"))
+    pairs = matched(first)
+    least = first.join(pairs.groupBy(key).agg(F.count("*").alias("least")), key, "left").na.fill({"least": 0}).withColumnRenamed("bias", "_first")
+    others = tasks.join(least, key).where((F.col("bias") != F.col("_first")) & (F.col("most") >= F.col("least")))
+    tried = first.select(key, "bias").unionByName(others.select(key, "bias"))
+    pairs = pairs.unionByName(matched(others))
     size = F.round(F.sum(F.abs(F.col("offset") - F.col("bias"))), 6)
     scored = pairs.groupBy(key, "bias").agg(F.count("*").alias("matches"), size.alias("residue"), F.median("offset").alias("refined"))
-    done = tasks.join(scored, [key, "bias"], "left").na.fill({"matches": 0, "residue": 0.0, "refined": 0.0})
+    done = tried.join(scored, [key, "bias"], "left").na.fill({"matches": 0, "residue": 0.0, "refined": 0.0})
     rank = F.struct(-F.col("matches"), F.col("residue"), F.abs("bias"), F.col("bias"))
-    return done.groupBy(key).agg(F.min_by(F.struct("bias", "matches", "refined"), rank).alias("m")).select(key, "m.*")
+    return done.groupBy(key).agg(F.min_by(F.struct("bias", "matches", "refined"), rank).alias("m")).select(key, "m.*"), pairs
+
+
+def best_bias(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, key: str = "key") -> DataFrame:
+    """key, bias, matches, refined: the bias with most greedy matches, then least residue, then least size.
+
+    Candidates are matched as rows of their key and bias, which fall apart at gaps: no list of a key's events is made.
+    """
+    return _searched(rear, front, tolerance, bound, key)[0]
+
+
+def alignment(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, key: str = "key") -> tuple[DataFrame, DataFrame]:
+    """The whole way from two event lists to their handoffs: best bias, its anchor, matches at the median, offsets of the media.
+
+    rear, front: key, rear_id or front_id, t (the clock), media (the moment in the medium). Returns pairs (key, rear_id,
+    front_id, offset, residual, physical) and, for each key of rear, bias, accepted, max_residual, min_physical,
+    max_physical, anchor_rear, anchor_front. The anchor is the pair at the best bias nearest to it, the earlier of equals.
+    Keys without matches have bias 0, zeros and no anchor.
+    """
+    best, tried = _searched(rear, front, tolerance, bound, key)
+    best = settle(best)
+    kept = tried.join(best.select(key, "bias"), [key, "bias"], "left_semi")
+    off = F.round(F.abs(F.col("offset") - F.col("bias")), 6)
+    kept = kept.join(rear.select(key, "rear_id", "t"), [key, "rear_id"])
+    anchors = kept.groupBy(key).agg(F.min_by(F.struct("rear_id", "front_id"), F.struct(off, "t", "rear_id")).alias("a"))
+    refined = settle(best.where("matches > 0").select(key, F.col("refined").alias("bias")))
+    pairs = _matched(_both(rear.join(refined, key), front.join(refined, key), [key]), [key], tolerance)
+    media = lambda side, name: side.select(key, f"{name}_id", F.col("media").alias(f"_{name}"))
+    pairs = pairs.join(media(rear, "rear"), [key, "rear_id"]).join(media(front, "front"), [key, "front_id"]).join(refined, key)
+    pairs = settle(pairs.select(key, "rear_id", "front_id", "offset", (F.col("offset") - F.col("bias")).alias("residual"), (F.col("_rear") - F.col("_front")).alias("physical")))
+    ends = pairs.groupBy(key).agg(F.count("*").alias("accepted"), F.max(F.abs("residual")).alias("max_residual"), F.min("physical").alias("min_physical"), F.max("physical").alias("max_physical"))
+    heads = rear.select(key).distinct().join(refined, key, "left").join(ends, key, "left").join(anchors, key, "left")
+    heads = heads.na.fill({"bias": 0.0, "accepted": 0, "max_residual": 0.0, "min_physical": 0.0, "max_physical": 0.0})
+    return pairs, heads.select(key, "bias", "accepted", "max_residual", "min_physical", "max_physical", F.col("a.rear_id").alias("anchor_rear"), F.col("a.front_id").alias("anchor_front"))
 
 
 def modal_offset(offsets: DataFrame, tolerance: float, key: str = "key", preferred: float = 0.0) -> DataFrame:

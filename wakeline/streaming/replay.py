@@ -80,21 +80,22 @@ def replay(spark: SparkSession, stream: DataFrame, place: str | None = None) ->
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def in_slices(df: DataFrame, time_col: str, slices: int, run: Callable[[DataFrame], DataFrame], each: Callable[[DataFrame, int], None] | None = None, mode: str = "update") -> DataFrame | None:
+def in_slices(df: DataFrame, time_col: str, slices: int, run: Callable[[DataFrame], DataFrame], each: Callable[[DataFrame, int], None] | None = None, mode: str = "update", csv: bool = False) -> DataFrame | None:
     """Feed df to a stream in slices of time, one after another; the stream stops after each and goes on from its checkpoint.
 
     run makes the stream's result of its source. Each batch is written under its number, so that one that is given
-    again replaces itself; or it goes to each(batch, number), and there is no result.
+    again replaces itself; or it goes to each(batch, number), and there is no result. The source is Parquet or CSV.
     """
     spark = df.sparkSession
     source, log, out = new_folder(spark), new_folder(spark), new_folder(spark)
     shares = [(k + 1) / slices for k in range(slices - 1)]
     bounds = df.agg(F.percentile_approx(F.unix_micros(time_col), shares).alias("at")).first()["at"] if shares else []
     at = F.unix_micros(time_col)
+    kind, read = ("csv", spark.readStream.schema(df.schema).option("header", True)) if csv else ("parquet", spark.readStream.schema(df.schema))
     for low, high in zip([None, *(bounds or [])], [*(bounds or []), None], strict=True):
         own = df if low is None else df.where(at > low)
-        (own if high is None else own.where(at <= high)).write.mode("append").parquet(source)
-        result = run(spark.readStream.schema(df.schema).parquet(source))
+        (own if high is None else own.where(at <= high)).write.mode("append").format(kind).option("header", csv).save(source)
+        result = run(read.format(kind).load(source))
         write = each or (lambda batch, k: batch.write.mode("overwrite").parquet(f"{out}/batch={k}"))
         result.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()
     return None if each else spark.read.schema(result.schema).option("recursiveFileLookup", True).parquet(out)
