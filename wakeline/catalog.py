@@ -369,4 +369,4 @@ def heartbeat_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.watchdog(starts, beats, "key", F.lit(474000.0), 300.0).withColumn("last_beat", F.round("last_beat", 6))
 
 
-from wakeline import catalog_batch, catalog_more, catalog_signals  # noqa: E402, F401  register the rest
+from wakeline import catalog_batch, catalog_more, catalog_rules, catalog_signals  # noqa: E402, F401  register the rest
