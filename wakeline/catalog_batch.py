@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wakeline.catalog import ORACLE_SQL, query
-from wakeline.operators import attempts, clocks, matching, patches, tracks
+from wakeline.operators import attempts, clocks, matching, patches, rules, summary, tracks
 from wakeline.plans import fixtures as fx
 from wakeline.session import new_folder, settle, table
 from wakeline.sources import gate, keyed, readers, writers
@@ -230,3 +230,41 @@ def telemetry_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = replay.in_slices(e.drop("user_id"), "at", 3, lambda s: tail.in_runs(s, runs, "second", 7200), mode="append", csv=True)
     stats = [F.count("*").alias("samples"), F.round(F.avg("value"), 6).alias("mean"), F.min("value").alias("least"), F.max("value").alias("most")]
     return found.groupBy("run").agg(*stats).withColumn("ready", F.col("samples") >= tail.READY)
+
+
+@query(f"""WITH RECURSIVE {fx.RANKED_SQL.replace("epoch_us(ts) / 3600e6 AS t FROM events WHERE event_type = 'click'", "epoch_us(ts) / 3600e6 + 2.5 AS t FROM events WHERE event_type = 'click'")},
+tasks AS (SELECT DISTINCT r.key, round(r.t - f.t, 1) AS bias FROM r JOIN f ON r.key = f.key AND abs(r.t - f.t) <= 30 UNION SELECT key, unnest([0.0::DOUBLE, 4.0, 10.0]) FROM r),{fx.greedy_sql('g', 'tasks', 1.5)},
+s AS (SELECT key, bias, count(front_id) AS matches, coalesce(round(sum(abs(o - bias)), 6), 0) AS residue FROM g GROUP BY key, bias),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY matches DESC, residue, round(abs(bias - 4), 6), abs(bias), bias) AS k FROM s) WHERE k = 1),
+anchor AS (SELECT key, arg_min((rear_id, front_id), (round(abs(o - bias), 6), t, rear_id)) AS a FROM g JOIN best USING (key, bias) JOIN r USING (key, rear_id) WHERE front_id IS NOT NULL GROUP BY key)
+SELECT k.key, coalesce(bias, 4) AS "offset", coalesce(matches, 0) AS matches, a[1] AS anchor_rear, a[2] AS anchor_front, CASE WHEN bias IS NULL THEN 'duration_fallback' ELSE 'event_sequence' END AS method
+FROM (SELECT DISTINCT key FROM r) k LEFT JOIN best ON best.key = k.key LEFT JOIN anchor ON anchor.key = k.key""")
+def event_sequence_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.event_offset(*fx.lanes(spark, sf_dir), 2.5, 1.5, 30.0, 4.0)
+
+
+@query(f"""WITH RECURSIVE {fx.RANKED_SQL}, tasks AS (SELECT key, 0.0::DOUBLE AS bias FROM fl),{fx.greedy_sql('g', 'tasks', 6.0)},
+p AS (SELECT g.key, g.rear_id, front_id, r.t - 473352 AS rt, o FROM g JOIN r ON r.key = g.key AND r.rear_id = g.rear_id WHERE front_id IS NOT NULL),
+a AS (SELECT *, greatest(0, rt - 3) AS rs FROM p), c AS (SELECT *, rs + greatest(0, -(rs - o)) AS rs2, greatest(0, rs - o) AS fs FROM a), d AS (SELECT *, least(least(700, rt + 4) - rs2, 700 - fs) AS s FROM c)
+SELECT key, rear_id, front_id, round(rs2, 3) AS rear_start, round(fs, 3) AS front_start, round(o, 6) AS physical_offset, 2560 AS width, round(s, 3) AS duration FROM d WHERE NOT s < 5""")
+def composed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rear, front = fx.lanes(spark, sf_dir)
+    pairs = matching.greedy_pairs(rear, front, 6.0).join(rear, ["key", "rear_id"]).withColumns({"rear_time": F.col("t") - 473352, "residual": F.col("offset")}).drop("t")
+    rows = matching.composed(matching.clip_plan(pairs, 700.0, 700.0))
+    r3 = lambda c, name: F.round(c, 3).alias(name)
+    return rows.select("key", F.col("rear.track_id").alias("rear_id"), F.col("front.track_id").alias("front_id"), r3("rear.start", "rear_start"), r3("front.start", "front_start"), F.round("synchronization.physical_offset", 6).alias("physical_offset"), "media.width", r3("media.duration", "duration"))
+
+
+@query(f"""WITH {fx.TRACKS_SQL}, s AS (SELECT * FROM tracks WHERE candidate) SELECT source, session, round(peak_time * 1000)::BIGINT AS peak_ms, detections, round(max_confidence, 6) AS max_confidence FROM s""")
+def authoritative_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = tracks.summarize(fx.observations(spark, sf_dir)).withColumn("peak_ms", F.round(F.col("peak_time") * 1000).cast("long"))
+    skipped = t.where("candidate").select("source", "session", "peak_ms")
+    found = rules.looked_up(skipped, t.select("source", "session", "peak_ms", "detections", "max_confidence"), ["source", "session", "peak_ms"], "event")
+    return found.withColumn("max_confidence", F.round("max_confidence", 6))
+
+
+@query("""SELECT CASE lane WHEN 'click' THEN 0 ELSE 1 END AS place, lane AS camera, printf('%s: %.1fs source in %.2fs wall', lane, s, w) AS line FROM (SELECT event_type AS lane, sum(event_id % 600 / 2) AS s, sum(event_id % 90 / 4) AS w FROM events WHERE event_type IN ('click', 'view') GROUP BY 1)""")
+def lane_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id")
+    runs = table(spark, sf_dir, "events").select(F.col("event_type").alias("camera"), (k % 600 / 2).alias("processed_source_seconds"), (k % 90 / 4).alias("wall_seconds"))
+    return summary.lane_lines(runs, ("click", "view"))

@@ -89,8 +89,8 @@ def greedy_pairs(rear: DataFrame, front: DataFrame, tolerance: float, bias: floa
     return _matched(_both(*sides, [key]), [key], tolerance)
 
 
-def candidates(rear: DataFrame, front: DataFrame, bound: float, key: str = "key") -> DataFrame:
-    """Distinct biases (to a tenth) of each key's pairs within the bound, and zero.
+def candidates(rear: DataFrame, front: DataFrame, bound: float, key: str = "key", seeds: tuple[float, ...] = (0.0,)) -> DataFrame:
+    """Distinct biases (to a tenth) of each key's pairs within the bound, and the seeds, which may lie beyond it.
 
     Pairs come from buckets one bound wide.
     """
@@ -99,7 +99,7 @@ def candidates(rear: DataFrame, front: DataFrame, bound: float, key: str = "key"
     f = front.select(key, F.col("t").alias("ft"), bucket.alias("b"))
     bias = F.col("rt") - F.col("ft")
     found = r.join(f, [key, "b"]).where(F.abs(bias) <= bound).select(key, F.round(bias, 1).alias("bias"))
-    return found.unionByName(rear.select(key, F.lit(0.0).alias("bias"))).distinct()
+    return found.unionByName(rear.select(key, F.explode(F.array(*map(F.lit, seeds))).alias("bias"))).distinct()
 
 
 def _reach(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, key: str) -> DataFrame:
@@ -118,19 +118,20 @@ def _reach(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, ke
     return near.groupBy(key, "cell").agg(F.count("*").alias("most"))
 
 
-def _searched(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, key: str) -> tuple[DataFrame, DataFrame]:
+def _searched(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, key: str, preferred: float = 0.0, seeds: tuple[float, ...] = (0.0,)) -> tuple[DataFrame, DataFrame]:
     """The best bias of each key (key, bias, matches, refined), and the pairs at all biases tried (key, bias, rear_id, front_id, offset).
 
     The bias that can reach most is matched first; of the others only those that can still reach as many.
     """
-    tasks = candidates(rear, front, bound, key).join(front.select(key).distinct(), key, "left_semi").withColumn("cell", F.floor(F.col("bias") / tolerance))
+    limit, bound = bound, max(bound, *map(abs, seeds))
+    tasks = candidates(rear, front, limit, key, seeds).join(front.select(key).distinct(), key, "left_semi").withColumn("cell", F.floor(F.col("bias") / tolerance))
     tasks = settle(tasks.join(_reach(rear, front, tolerance, bound, key), [key, "cell"], "left").na.fill({"most": 0}).drop("cell"))
 
     def matched(own: DataFrame) -> DataFrame:
         own = own.select(key, "bias")
         return settle(_matched(_both(rear.join(own, key), front.join(own, key), [key, "bias"]), [key, "bias"], tolerance))
 
-    first = tasks.groupBy(key).agg(F.max_by("bias", F.struct("most", -F.abs("bias"), -F.col("bias"))).alias("bias"))
+    first = tasks.groupBy(key).agg(F.max_by("bias", F.struct("most", -F.abs(F.col("bias") - preferred), -F.col("bias"))).alias("bias"))
     pairs = matched(first)
     least = first.join(pairs.groupBy(key).agg(F.count("*").alias("least")), key, "left").na.fill({"least": 0}).withColumnRenamed("bias", "_first")
     others = tasks.join(least, key).where((F.col("bias") != F.col("_first")) & (F.col("most") >= F.col("least")))
@@ -139,7 +140,7 @@ def _searched(rear: DataFrame, front: DataFrame, tolerance: float, bound: float,
     size = F.round(F.sum(F.abs(F.col("offset") - F.col("bias"))), 6)
     scored = pairs.groupBy(key, "bias").agg(F.count("*").alias("matches"), size.alias("residue"), F.median("offset").alias("refined"))
     done = tried.join(scored, [key, "bias"], "left").na.fill({"matches": 0, "residue": 0.0, "refined": 0.0})
-    rank = F.struct(-F.col("matches"), F.col("residue"), F.abs("bias"), F.col("bias"))
+    rank = F.struct(-F.col("matches"), F.col("residue"), F.round(F.abs(F.col("bias") - preferred), 6), F.abs("bias"), F.col("bias"))
     return done.groupBy(key).agg(F.min_by(F.struct("bias", "matches", "refined"), rank).alias("m")).select(key, "m.*"), pairs
 
 
@@ -151,6 +152,34 @@ def best_bias(rear: DataFrame, front: DataFrame, tolerance: float, bound: float,
     return _searched(rear, front, tolerance, bound, key)[0]
 
 
+def event_offset(rear: DataFrame, front: DataFrame, transition: float, tolerance: float, bound: float, fallback: float, key: str = "key") -> DataFrame:
+    """key, offset, matches, anchor_rear, anchor_front, method of each key of rear, where an event takes `transition` from front to rear.
+
+    Candidates are the pairs' offsets within the bound, the fallback, 10 and 0; the one nearest to the fallback wins among
+    equals. A key without events on one side has the fallback, by method duration_fallback.
+    """
+    moved = rear.withColumn("t", F.col("t") + transition)
+    best, tried = _searched(moved, front, tolerance, bound, key, fallback, tuple(sorted({round(fallback, 1), 10.0, 0.0})))
+    best = settle(best)
+    kept = tried.join(best.select(key, "bias"), [key, "bias"], "left_semi").join(moved.select(key, "rear_id", "t"), [key, "rear_id"])
+    off = F.round(F.abs(F.col("offset") - F.col("bias")), 6)
+    anchors = kept.groupBy(key).agg(F.min_by(F.struct("rear_id", "front_id"), F.struct(off, "t", "rear_id")).alias("a"))
+    out = rear.select(key).distinct().join(best, key, "left").join(anchors, key, "left")
+    method = F.when(F.col("bias").isNull(), "duration_fallback").otherwise("event_sequence")
+    return out.select(key, F.coalesce("bias", F.lit(float(fallback))).alias("offset"), F.coalesce("matches", F.lit(0)).alias("matches"), F.col("a.rear_id").alias("anchor_rear"), F.col("a.front_id").alias("anchor_front"), method.alias("method"))
+
+
+def composed(plan: DataFrame, size: tuple[int, int] = (2560, 720)) -> DataFrame:
+    """plan (of clip_plan, with key, rear_id, front_id, offset, residual) as nested rows: what a composer is to make, and why.
+
+    media are the facts that a dry run states in place of a clip's own. Rows with a reason are not composed.
+    """
+    sync = F.struct(F.lit("clock").alias("method"), F.col("offset").alias("physical_offset"), F.col("residual").alias("clock_residual"))
+    media = F.struct(F.lit(size[0]).alias("width"), F.lit(size[1]).alias("height"), F.col("seconds").alias("duration"), F.lit(True).alias("planned"))
+    cut = lambda side: F.struct(F.col(f"{side}_id").alias("track_id"), F.col(f"{side}_start").alias("start")).alias(side)
+    return plan.where("reason is null").select("key", cut("rear"), cut("front"), "seconds", sync.alias("synchronization"), media.alias("media"))
+
+
 def alignment(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, key: str = "key") -> tuple[DataFrame, DataFrame]:
     """The whole way from two event lists to their handoffs: best bias, its anchor, matches at the median, offsets of the media.
 

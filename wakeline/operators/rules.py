@@ -107,3 +107,12 @@ def unique(rows: DataFrame, key: str, what: str) -> DataFrame:
     n = F.count("*").over(Window.partitionBy(key))
     checked = rows.withColumn("_n", n)
     return checked.where(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit(f"more than one {what} for "), F.col(key).cast("string"))).cast("boolean"))).drop("_n")
+
+
+def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """rows with the columns of table, which must have each row's keys exactly once; else an error when the rows are read."""
+    n = table.groupBy(*keys).agg(F.count("*").alias("_n"), F.any_value(F.struct(*(c for c in table.columns if c not in keys))).alias("_new"))
+    both = rows.join(n, keys, "left")
+    text = F.concat(F.when(F.col("_n").isNull(), f"no {what} for ").otherwise(f"more than one {what} for "), F.to_json(F.struct(*keys)))
+    checked = both.where(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(text).cast("boolean")))
+    return checked.select(*rows.columns, "_new.*")

@@ -63,3 +63,12 @@ def latency(runs: DataFrame, key: str, order: list[str], value: str, warm_up: in
     mean = F.avg(value)
     timed = after_first(runs, [key], order, warm_up).groupBy(key)
     return timed.agg(F.count("*").alias("n"), F.round(mean, 6).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"), F.round(1 / mean, 6).alias("per_second"))
+
+
+def lane_lines(runs: DataFrame, lanes: tuple[str, ...] = ("front", "rear"), camera: str = "camera") -> DataFrame:
+    """camera and line for each lane in turn: the seconds of its medium and how long they took; a lane without a run is an error."""
+    one = runs.where(F.col(camera).isin(*lanes)).groupBy(camera).agg(F.sum("processed_source_seconds").alias("s"), F.sum("wall_seconds").alias("w"))
+    wanted = runs.sparkSession.createDataFrame([(k, c) for k, c in enumerate(lanes)], f"place int, `{camera}` string")
+    both = wanted.join(one, camera, "left")
+    there = F.when(F.col("s").isNotNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("no run of "), F.col(camera))).cast("boolean"))
+    return both.where(there).select("place", camera, F.format_string("%s: %.1fs source in %.2fs wall", F.col(camera), F.col("s"), F.col("w")).alias("line"))
