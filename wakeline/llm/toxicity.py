@@ -46,6 +46,7 @@ AROUND = 2
 WINDOW = 32
 PAIR = 2
 HELD = 100_000
+PAIRS = 3 << 20  # pairs of a task, 8 bytes each, of which equal ones fall together before they are passed on
 
 _WORD = re.compile(r"\w+")
 START = "\x02"  # stands before the first word; no word contains it
@@ -155,7 +156,7 @@ def company(texts: DataFrame, words: list[str]) -> np.ndarray:
                 known = now >= 0
                 pairs.append((now[known] << 32) | before[known])
                 size += len(pairs[-1])
-                if size > 1 << 20:
+                if size > PAIRS:
                     yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(pairs)))], names=["pair"])
                     pairs, size = [], 0
         if pairs:
