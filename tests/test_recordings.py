@@ -122,3 +122,24 @@ def test_places_over_ranges(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     for skip in (0, 1, 5, 400):
         assert {r.id for r in ranges.after_first(df, ["key"], ["t"], skip).collect()} == {i for i, p in place.items() if p >= skip and (skip == 0 or sum(1 for r in rows if r[0] == rows[i][0]) >= skip)}
+
+
+def test_groups_at_gaps_over_ranges_equal_windows(spark):
+    from wakeline.operators import matching, tracks
+
+    rng = random.Random(8)
+    rows = [(rng.choice([1, 1, 1, 2, None]), round(rng.random() * 400, 1), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "source int, ts double, obs_id long").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for frame in (0.0, 0.2):
+            one, other = ({(r.obs_id, r.session) for r in tracks.sessionize(df, 1.0, frame=frame, spread=s).collect()} for s in (False, True))
+            assert one == other and len({s for _, s in one}) > 20
+        t = df.selectExpr("obs_id track_id", "source", "'left' side", "ts peak_time", "ts - 0.2 first_seen", "ts + 0.3 last_seen", "cast(obs_id % 5 as int) detections", "1.0D duration", "0.1D peak_area")
+        one, other = ({(r.track_id, r.survivor, r.duplicate_of) for r in tracks.deduplicate(t, ("source",), spread=s).collect()} for s in (False, True))
+        assert one == other and 100 < sum(x[1] for x in one) < 700
+        sides = [df.where(f"obs_id % 2 = {k}").selectExpr("coalesce(source, 9) key", f"obs_id {name}_id", "ts t") for k, name in enumerate(("rear", "front"))]
+        one, other = ({tuple(r) for r in matching.greedy_pairs(*sides, 0.4, spread=s).collect()} for s in (False, True))
+        assert one == other and len(one) > 50
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

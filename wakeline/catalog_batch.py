@@ -268,3 +268,23 @@ def lane_smoke(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("event_id")
     runs = table(spark, sf_dir, "events").select(F.col("event_type").alias("camera"), (k % 600 / 2).alias("processed_source_seconds"), (k % 90 / 4).alias("wall_seconds"))
     return summary.lane_lines(runs, ("click", "view"))
+
+
+@query("SELECT event_type AS lane, event_id, CASE WHEN event_id % 2 = 0 THEN 'started' ELSE 'failed' END AS state FROM events")
+def attempt_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts that two writers append in turn to one ledger."""
+    path = new_folder(spark)
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("lane"), "event_id")
+    for odd, state in ((0, "started"), (1, "failed")):
+        writers.append_attempts(e.where(F.col("event_id") % 2 == odd).withColumn("state", F.lit(state)), path)
+    return spark.read.schema("event_id long, state string, lane string").parquet(path).select("lane", "event_id", "state")
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_suppkey % 10 AS date FROM lineitem WHERE l_linenumber = CASE WHEN l_suppkey % 10 < 7 THEN 2 ELSE 1 END""")
+def staged_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates of a table replaced by staged ones, but for those with rows that fail a rule."""
+    path = new_folder(spark)
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 10).alias("date"))
+    for line, right in ((1, F.lit(True)), (2, F.col("date") < 7), (2, F.col("date") < 7)):
+        writers.promote(li.where(F.col("l_linenumber") == line), path, {"right": right})
+    return spark.read.schema(li.schema).parquet(path)

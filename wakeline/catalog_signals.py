@@ -9,7 +9,7 @@ from wakeline.catalog import query
 from wakeline.operators import boxes, correlation, signals
 from wakeline.plans import fixtures as fx
 from wakeline.session import new_folder, table
-from wakeline.sources import recordings
+from wakeline.sources import readers, recordings
 
 _LAGS = 4000
 
@@ -55,13 +55,17 @@ _BYTES = "list_transform(embedding[1:48], lambda x: greatest(0, least(255, floor
 _FRAMES_SQL = f"v AS (SELECT 's' || (vec_id % 8) AS source, vec_id // 8 AS frame, vec_id // 8 / 5 AS ts, upper(list_aggregate(list_transform({_BYTES}, lambda b: printf('%02x', b)), 'string_agg', '')) AS pixels FROM embeddings)"
 
 
-def _recorded_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as frames of 4 x 4 pixels of eight sources, five a second, written as raw files and read back."""
+def _pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as frames of 4 x 4 pixels of eight sources."""
     level = lambda x: F.greatest(F.lit(0), F.least(F.lit(255), F.floor((x.cast("double") + 1) * 128))).cast("long")
     pixels = F.unhex(F.array_join(F.transform(F.slice("embedding", 1, 48), lambda x: F.lpad(F.hex(level(x)), 2, "0")), ""))
-    e = table(spark, sf_dir, "embeddings").select(F.concat(F.lit("s"), F.col("vec_id") % 8).alias("source"), F.floor(F.col("vec_id") / 8).alias("frame"), pixels.alias("data"))
+    return table(spark, sf_dir, "embeddings").select(F.concat(F.lit("s"), F.col("vec_id") % 8).alias("source"), F.floor(F.col("vec_id") / 8).alias("frame"), pixels.alias("data"))
+
+
+def _recorded_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frames, five a second, written as raw files and read back."""
     path = new_folder(spark)
-    recordings.write_segments(e, path, 48, 100)
+    recordings.write_segments(_pixels(spark, sf_dir), path, 48, 100)
     return recordings.frames(spark, path, 4, 4, 5.0)
 
 
@@ -129,3 +133,11 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     maps = [e.select("vec_id", F.lit(s).alias("stride"), features(s).alias("features")) for s in (8, 16, 32)]
     return boxes.detections(maps[0].unionByName(maps[1]).unionByName(maps[2]), ["vec_id"], (1280, 720), 0.05, 0.0, 14.0, 64, 16, _CLASSES, confidence=0.6)
+
+
+@query("SELECT 's' || (vec_id % 8) AS date, count(*) * 48 AS size_bytes FROM embeddings GROUP BY 1")
+def recording_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of recordings that were written, found by walking their folders."""
+    path = new_folder(spark)
+    recordings.write_segments(_pixels(spark, sf_dir), path, 48, 100)
+    return readers.recordings(spark, path, ".raw").groupBy("date").agg(F.sum("size_bytes").alias("size_bytes"))

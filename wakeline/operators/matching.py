@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.operators.groups import whole_groups
+from wakeline.operators.ranges import gap_groups
 from wakeline.session import settle
 
 
@@ -55,15 +56,14 @@ def _both(rear: DataFrame, front: DataFrame, keys: list[str]) -> DataFrame:
     return r.unionByName(front.select(*keys, F.col("front_id").alias("id"), F.lit(False).alias("is_rear"), "t", F.col("bias").alias("_bias"), F.col("t").alias("target")))
 
 
-def _matched(rows: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
+def _matched(rows: DataFrame, keys: list[str], tolerance: float, spread: bool = False) -> DataFrame:
     """keys, rear_id, front_id, offset of the greedy matching in each group of keys.
 
     Rows further apart than the tolerance cannot compete, so keys fall at such gaps into groups, and keys
-    with very many rows are matched by many tasks. Rows between two gaps are matched in one task.
+    with very many rows are matched by many tasks. Rows between two gaps are matched in one task. With spread the
+    gaps are found in ranges of a key.
     """
-    w = Window.partitionBy(*keys).orderBy("target", "is_rear", "id")
-    rows = rows.withColumn("_gap", F.coalesce((F.col("target") - F.lag("target").over(w) > tolerance).cast("int"), F.lit(0)))
-    rows = rows.withColumn("_group", F.sum("_gap").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_gap", "target")
+    rows = gap_groups(rows, keys, ["target", "is_rear", "id"], "target", tolerance, "_group", spread=spread).drop("target")
     own = [*keys, "_group"]
     sides = [F.count_if(s).over(Window.partitionBy(*own)) for s in (F.col("is_rear"), ~F.col("is_rear"))]
     rows = rows.withColumns({"_rear": sides[0], "_front": sides[1]}).where("_rear > 0 and _front > 0").drop("_rear", "_front")
@@ -83,10 +83,10 @@ def _matched(rows: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
     return rows.repartition(*own).sortWithinPartitions(*own).mapInPandas(match, f"{kinds}, rear_id long, front_id long, offset double")
 
 
-def greedy_pairs(rear: DataFrame, front: DataFrame, tolerance: float, bias: float = 0.0, key: str = "key") -> DataFrame:
+def greedy_pairs(rear: DataFrame, front: DataFrame, tolerance: float, bias: float = 0.0, key: str = "key", spread: bool = False) -> DataFrame:
     """key, rear_id, front_id, offset of the greedy one-to-one matching in each key."""
     sides = [x.withColumn("bias", F.lit(float(bias))) for x in (rear, front)]
-    return _matched(_both(*sides, [key]), [key], tolerance)
+    return _matched(_both(*sides, [key]), [key], tolerance, spread)
 
 
 def candidates(rear: DataFrame, front: DataFrame, bound: float, key: str = "key", seeds: tuple[float, ...] = (0.0,)) -> DataFrame:

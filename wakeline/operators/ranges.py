@@ -97,3 +97,32 @@ def fold(df: DataFrame, keys: list[str], order: list[str], symbol: str, steps: l
     both = rows.alias("a").join(entry.alias("b"), _same(rows, entry, own), "left").select(*(F.col(f"a.{c}") for c in rows.columns), "b._entry")
     schema = df.withColumn(name, F.lit(0)).schema
     return sort(both).mapInPandas(before, schema)
+
+
+def gap_groups(df: DataFrame, keys: list[str], order: list[str], at: str, gap: float, name: str, shift: float = 0.0, spread: bool = True) -> DataFrame:
+    """df with the number (from 0) of each row's group: a new one starts where at - shift is more than gap after the row before.
+
+    order must tell a key's rows apart, and at must not fall in it. With spread a key's rows lie in ranges, of which the
+    last row and the number of starts are carried on; without, a window sorts each key in one task and nothing is written.
+    """
+
+    def starts(w, before=None):
+        was = F.lag(at).over(w) if before is None else F.coalesce(F.lag(at).over(w), before)
+        return F.coalesce((F.col(at) - shift - was > gap).cast("int"), F.lit(0))
+
+    if not spread:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        rows = df.withColumn("_new", starts(w))
+        return rows.withColumn(name, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("_new")
+    own = [*keys, "_part"]
+    rows = settle(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    parts = Window.partitionBy(*keys).orderBy("_part")
+    last = rows.groupBy(*own).agg(F.max(at).alias("_last"))
+    last = last.withColumn("_before", F.lag("_last").over(parts)).drop("_last")
+    rows = rows.alias("a").join(last.alias("b"), _same(rows, last, own)).select(*(F.col(f"a.{c}") for c in rows.columns), "b._before")
+    w = Window.partitionBy(*own).orderBy(*order)
+    rows = settle(rows.withColumn("_new", starts(w, F.col("_before"))).withColumn("_so_far", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_before"))
+    count = rows.groupBy(*own).agg(F.sum("_new").alias("_n"))
+    count = count.withColumn("_base", F.coalesce(F.sum("_n").over(parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    both = rows.alias("a").join(count.alias("b"), _same(rows, count, own))
+    return both.select(*(F.col(f"a.{c}") for c in df.columns), (F.col("a._so_far") + F.col("b._base")).cast("long").alias(name))

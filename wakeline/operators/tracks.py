@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.operators.groups import whole_groups
+from wakeline.operators.ranges import gap_groups
 
 CLASS_NAMES = {2: "car", 3: "motorcycle", 5: "bus", 7: "truck"}
 
@@ -35,15 +36,14 @@ def with_box(df: DataFrame) -> DataFrame:
     return df.withColumns({"cx": (F.col("left") + F.col("right")) / 2, "cy": (F.col("top") + F.col("bottom")) / 2, "area": side("left", "right") * side("top", "bottom")})
 
 
-def sessionize(df: DataFrame, gap: float, keys: tuple[str, ...] = ("source",), ts: str = "ts", tie: str = "obs_id", frame: float = 0.0) -> DataFrame:
+def sessionize(df: DataFrame, gap: float, keys: tuple[str, ...] = ("source",), ts: str = "ts", tie: str = "obs_id", frame: float = 0.0, spread: bool = False) -> DataFrame:
     """df with session: a new one starts where the step from the key's row before exceeds gap.
 
     With the length of a frame given, sessions end at frames: a row still joins if the frame before its own is within
-    gap of the last row, as a session is closed only after a frame's own rows are added.
+    gap of the last row, as a session is closed only after a frame's own rows are added. With spread the rows of one
+    key are shared by tasks (see ranges.gap_groups).
     """
-    w = Window.partitionBy(*keys).orderBy(ts, tie)
-    new = F.coalesce((F.col(ts) - frame - F.lag(ts).over(w) > gap).cast("int"), F.lit(0))
-    return df.withColumn("_new", new).withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("_new")
+    return gap_groups(df, list(keys), [ts, tie], ts, gap, "session", frame, spread)
 
 
 def summarize(obs: DataFrame, limits: Thresholds = Thresholds(), keys: tuple[str, ...] = ("source", "session")) -> DataFrame:
@@ -104,19 +104,17 @@ def _class_name(class_id: Column) -> Column:
     return name
 
 
-def deduplicate(tracks: DataFrame, lane: tuple[str, ...], peak_window: float = 1.0, track_gap: float = 0.25) -> DataFrame:
+def deduplicate(tracks: DataFrame, lane: tuple[str, ...], peak_window: float = 1.0, track_gap: float = 0.25, spread: bool = False) -> DataFrame:
     """tracks with survivor and duplicate_of: a scan in the order of peak times compares each with the last survivor.
 
     Tracks of one side, near in time, are one object; the one with more detections, then the longer one, then
     the larger stays, and the earlier one of equals. duplicate_of is the track that won the comparison, which may
     lose a later one. Times are compared as they are reported, in thousandths. A chain can only run through steps of at most peak_window, so a lane falls at larger steps
-    into groups, and tasks take whole groups from sorted rows.
+    into groups, and tasks take whole groups from sorted rows. With spread these are found in ranges of a lane.
     """
     shown = {f"_{c}": F.round(c, 3) for c in ("peak_time", "first_seen", "last_seen")}
     tracks = tracks.withColumns(shown)
-    w = Window.partitionBy(*lane).orderBy("_peak_time", "track_id")
-    far = F.coalesce((F.col("_peak_time") - F.lag("_peak_time").over(w) > peak_window).cast("int"), F.lit(0))
-    cut = tracks.withColumn("_far", far).withColumn("_group", F.sum("_far").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_far")
+    cut = gap_groups(tracks, list(lane), ["_peak_time", "track_id"], "_peak_time", peak_window, "_group", spread=spread)
     own = [*lane, "_group"]
 
     def scan(batches):
