@@ -97,3 +97,28 @@ def test_bigrams_are_held_in_parts(monkeypatch):
         met.append(bits)
     assert met[0] == met[1] == met[2] and len(met[0]) > 8
     assert not list(toxicity._bigrams(iter([])))
+
+
+def test_numbers_that_rise_are_packed_and_read_again():
+
+    rng = np.random.default_rng(1)
+    for top in (1, 127, 128, 1 << 14, 1 << 35, 1 << 56):
+        x = np.unique(rng.integers(0, top, 500))
+        assert (toxicity._unpacked(toxicity._packed(x)) == x).all()
+    assert (toxicity._unpacked(toxicity._packed(np.array([0]))) == [0]).all()
+
+
+@pytest.mark.parametrize("most", [7, 3 << 20])
+def test_company_counts_different_words_before(spark, monkeypatch, most):
+    monkeypatch.setattr(toxicity, "PAIRS", most)
+    texts = ["a b a c a b", "c a b b", "", None, "x a", "a " * 50] + [f"w{k} b w{k % 3} a" for k in range(40)]
+    words = ["a", "b", "c", "never"]
+    before = {w: set() for w in words}
+    for t in texts:
+        row = toxicity.words_of(t)
+        for v, w in zip([toxicity.START, *row], row):
+            if w in before:
+                before[w].add(v)
+    df = spark.createDataFrame([(t,) for t in texts], "_text string").repartition(3)
+    assert toxicity.company(df, words).tolist() == [len(before[w]) for w in words]
+    assert toxicity.company(df.limit(0), words).tolist() == [0, 0, 0, 0]

@@ -132,19 +132,55 @@ def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emitted(found)
 
 
+def _packed(rising: np.ndarray) -> bytes:
+    """Whole numbers that rise, as the steps between them, seven bits a byte; a step's last byte has no high bit."""
+    step = np.diff(rising, prepend=0).astype(np.uint64)
+    size = np.ones(len(step), np.int64)
+    for k in range(1, 9):
+        size += step >= (1 << 7 * k)
+    at = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint8)
+    for k in range(int(size.max(initial=0))):
+        own = size > k
+        more = np.where(size[own] > k + 1, 128, 0)
+        out[at[own] + k] = ((step[own] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | more.astype(np.uint8)
+    return out.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    x = np.frombuffer(data, np.uint8)
+    last = np.flatnonzero(x < 128)
+    first = np.concatenate([[0], last[:-1] + 1])
+    place = np.arange(len(x)) - np.repeat(first, last - first + 1)
+    return np.cumsum(np.add.reduceat((x & 127).astype(np.int64) << (7 * place), first))
+
+
 def company(texts: DataFrame, words: list[str]) -> np.ndarray:
     """In how many different words' company (right after them) each of these words stands in all texts.
 
     texts: column _text. A pair is one number: the word's place in words and 32 bits of a digest of the word before it,
-    so two companions of a word count as one with a chance of their number in 2^32.
+    so two companions of a word count as one with a chance of their number in 2^32. Pairs are dealt by the digest's
+    first bits, so that no word's pairs meet in one task, and travel as packed steps of sorted numbers.
     """
-    shipped = texts.sparkSession.sparkContext.broadcast({w: k for k, w in enumerate(words)})
+    session = texts.sparkSession
+    shipped = session.sparkContext.broadcast({w: k for k, w in enumerate(words)})
+    top = min(14, max(8, (4 * int(session.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
+    rest, n_words = 32 - top, len(words)
+    shift = rest + max(1, n_words.bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         ids, digest = shipped.value, {}
         pairs, size = [], 0
+
+        def dealt() -> pa.RecordBatch:
+            key = np.unique(np.concatenate(pairs))
+            lots = np.unique(key >> shift)
+            at = np.append(np.searchsorted(key, lots << shift), len(key))
+            blobs = [_packed(key[i:j] - (lot << shift)) for lot, i, j in zip(lots, at[:-1], at[1:], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(lots.astype(np.int32)), pa.array(blobs, pa.binary())], names=["lot", "pairs"])
+
         for b in batches:
             for text in b.column("_text"):
                 w = words_of(text.as_py())
@@ -154,17 +190,39 @@ def company(texts: DataFrame, words: list[str]) -> np.ndarray:
                 digest.update((x, xxhash.xxh32_intdigest(x)) for x in {START, *w} if x not in digest)
                 before = np.fromiter((digest[x] for x in [START, *w[:-1]][: len(w)]), np.int64, len(w))
                 known = now >= 0
-                pairs.append((now[known] << 32) | before[known])
+                now, before = now[known], before[known]
+                pairs.append((before >> rest) << shift | now << rest | before & ((1 << rest) - 1))
                 size += len(pairs[-1])
                 if size > PAIRS:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(pairs)))], names=["pair"])
+                    yield dealt()
                     pairs, size = [], 0
-        if pairs:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(pairs)))], names=["pair"])
+        if size:
+            yield dealt()
 
-    out = np.zeros(len(words), np.int64)
-    met = texts.select("_text").mapInArrow(run, "pair long").distinct()
-    found = met.groupBy(F.shiftright("pair", 32).alias("w")).agg(F.count("*").alias("n")).toArrow().to_pandas()
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, lot, held, size = np.zeros(n_words, np.int64), None, [], 0
+
+        def done() -> None:
+            if held:
+                counts[:] += np.bincount(np.unique(np.concatenate(held)) >> rest, minlength=n_words)
+
+        for b in batches:
+            for own, blob in zip(b.column("lot").to_pylist(), b.column("pairs"), strict=True):
+                if own != lot:
+                    done()
+                    lot, held, size = own, [], 0
+                held.append(_unpacked(blob.as_buffer()))
+                size += len(held[-1])
+                if size > PAIRS:
+                    held = [np.unique(np.concatenate(held))]
+                    size = 0
+        done()
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(counts[found])], names=["w", "n"])
+
+    out = np.zeros(n_words, np.int64)
+    lots = texts.select("_text").mapInArrow(run, "lot int, pairs binary").repartition("lot").sortWithinPartitions("lot")
+    found = lots.mapInArrow(counted, "w int, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     out[found["w"].to_numpy(np.int64)] = found["n"]
     return out
 
