@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wakeline.session import new_folder
 from wakeline.sources import keyed
-from wakeline.streaming import replay, tail, watchdog
+from wakeline.streaming import replay, sessions, tail, watchdog
 
 T0 = datetime(2024, 1, 1)
 
@@ -98,3 +98,18 @@ def test_feeds_are_ready_after_two_samples(spark, tmp_path):
     assert [s for s in states if s] == [{"a": (1, False), "b": (1, False)}, {"a": (2, True), "c": (1, False)}]
     (tmp_path / "x.csv").write_text("second,value\n1,2.5\n")
     assert tail.samples(spark, str(tmp_path), "second long, value double").isStreaming
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_sessions_of_a_frame_stream_and_those_still_open(spark, slices):
+    # five frames a second: seen again after 1.2 s a track goes on, after 1.4 s it is a new one
+    times = {"on": [0.0, 1.2, 2.0], "cut": [0.0, 1.4], "late": [30.0, 30.4], "gone": [3.0, 9.0]}
+    rows = [(k, at(0) + timedelta(seconds=t), t, i) for k, ts in times.items() for i, t in enumerate(ts)]
+    df = spark.createDataFrame(rows, "k string, moment timestamp, t double, obs long")
+    df = df.withColumn("t", F.unix_micros("moment") / 1e6)  # seconds since 1970
+    log = new_folder(spark)
+    with watchdog.timers(spark):
+        closed = replay.in_slices(df, "moment", slices, lambda s: sessions.frame_sessions(s, "k", "moment", "t", "obs", 1.0, 0.2, 1000.0, "0 seconds"), mode="append", log=log).collect()
+        still = sessions.still_open(spark, log).collect()
+    assert {tuple(r) for r in closed} == {("on", 0, 3, 0, 2), ("cut", 0, 1, 0, 0), ("cut", 1, 1, 1, 1), ("gone", 0, 1, 0, 0), ("gone", 1, 1, 1, 1)}
+    assert {tuple(r) for r in still} == {("late", 0, 2, 0, 1)}

@@ -10,7 +10,7 @@ from wakeline.operators import attempts, clocks, matching, patches, rules, summa
 from wakeline.plans import fixtures as fx
 from wakeline.session import new_folder, settle, table
 from wakeline.sources import gate, keyed, readers, writers
-from wakeline.streaming import replay, tail, watchdog
+from wakeline.streaming import replay, sessions, tail, watchdog
 
 _DAY = 86_400_000_000
 _K = "(props->>'$.k')::INT"
@@ -288,3 +288,13 @@ def staged_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     for line, right in ((1, F.lit(True)), (2, F.col("date") < 7), (2, F.col("date") < 7)):
         writers.promote(li.where(F.col("l_linenumber") == line), path, {"right": right})
     return spark.read.schema(li.schema).parquet(path)
+
+
+@query(ORACLE_SQL["sessionize_frames"])
+def stream_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed sessions of the stream and those still open when it ends."""
+    obs = fx.observations(spark, sf_dir).select("source", "ts", "obs_id", F.timestamp_micros(F.round(F.col("ts") * _DAY).cast("long")).alias("moment"))
+    log = new_folder(spark)
+    with watchdog.timers(spark):
+        closed = replay.in_slices(obs, "moment", 2, lambda s: sessions.frame_sessions(s, "source", "moment", "ts", "obs_id", 1.0, 0.2, _DAY / 1000, "1 hour"), mode="append", log=log)
+        return closed.unionByName(sessions.still_open(spark, log))

@@ -222,6 +222,7 @@ class RawSegments(DataSource):
 
 
 def _known(spark: SparkSession) -> SparkSession:
+    """The session with the sources registered, and with filters passed to readers in Python, which it doesn't do unasked."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     for s in (RawFrames, RawSound, RawSegments):
         spark.dataSource.register(s)

@@ -80,14 +80,15 @@ def replay(spark: SparkSession, stream: DataFrame, place: str | None = None) ->
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def in_slices(df: DataFrame, time_col: str, slices: int, run: Callable[[DataFrame], DataFrame], each: Callable[[DataFrame, int], None] | None = None, mode: str = "update", csv: bool = False) -> DataFrame | None:
+def in_slices(df: DataFrame, time_col: str, slices: int, run: Callable[[DataFrame], DataFrame], each: Callable[[DataFrame, int], None] | None = None, mode: str = "update", csv: bool = False, log: str | None = None) -> DataFrame | None:
     """Feed df to a stream in slices of time, one after another; the stream stops after each and goes on from its checkpoint.
 
     run makes the stream's result of its source. Each batch is written under its number, so that one that is given
     again replaces itself; or it goes to each(batch, number), and there is no result. The source is Parquet or CSV.
+    log is the checkpoint's folder.
     """
     spark = df.sparkSession
-    source, log, out = new_folder(spark), new_folder(spark), new_folder(spark)
+    source, log, out = new_folder(spark), log or new_folder(spark), new_folder(spark)
     shares = [(k + 1) / slices for k in range(slices - 1)]
     bounds = df.agg(F.percentile_approx(F.unix_micros(time_col), shares).alias("at")).first()["at"] if shares else []
     at = F.unix_micros(time_col)
