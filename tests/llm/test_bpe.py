@@ -8,8 +8,6 @@ import tiktoken
 from wakeline.llm import bpe
 from wakeline.llm.registry import op4_bpe, vocabulary
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="module")
 def reference_encoding():
@@ -18,9 +16,10 @@ def reference_encoding():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def test_query_equals_the_rank_based_encoder(spark, reference_encoding):
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    got = {r.doc_id: r for r in op4_bpe(spark, SF).collect()}
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_query_equals_the_rank_based_encoder(spark, reference_encoding, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in op4_bpe(spark, f"/root/testdata/sf{sf}").collect()}
     assert got.keys() == texts.keys()
     for k, text in texts.items():
         ids = reference_encoding.encode_ordinary(text or "")

@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.llm.keys import number
 from wakeline.session import settle
 
 KINDS = ("email", "ip", "card", "phone")
@@ -202,7 +203,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds:
 
     keep_key adds _key_id and _key_h, the id and the digest of the text.
     """
-    keyed = df.select(F.col(id_col).alias("_own"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_h"), F.col(text_col).alias("_text"))
+    keyed = df.select(F.col(id_col).alias("_own"), number(df, id_col).alias("_id"), F.xxhash64(text_col).alias("_h"), F.col(text_col).alias("_text"))
     base = settle(base_spans(keyed, "_text").drop("_text"))
     tokens = settle(_token_rows(base))
     sure = learn(tokens, rounds, min_seeds).where(F.col("confidence") >= min_confidence).withColumnRenamed("kind", "as")
@@ -241,7 +242,7 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     Spans belong to an id and a text, so rows of one id and different texts keep their own.
     """
     names = df.columns
-    rows = df.select(F.struct(*names).alias("row"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_g"), F.col(text_col).alias("_text"))
+    rows = df.select(F.struct(*names).alias("row"), number(df, id_col).alias("_id"), F.xxhash64(text_col).alias("_g"), F.col(text_col).alias("_text"))
     spans = find(df.select(*dict.fromkeys([id_col, text_col])), id_col, text_col, keep_key=True)
     one = lambda k: F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(k).alias("kind")))
     more = F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wakeline.llm.keys import number
 from wakeline.llm.suffix_array import repeated_starts
 from wakeline.session import settle
 
@@ -134,7 +135,7 @@ _KEY = ["_id", "_h"]
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """_id, _h, _text: rows with equal keys have equal texts, so what holds for one holds for all."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return df.select(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text)).alias("_id"), F.hash(text).alias("_h"), text.alias("_text"), F.col(id_col).alias("_own"))
+    return df.select(F.coalesce(number(df, id_col), F.xxhash64(text)).alias("_id"), F.hash(text).alias("_h"), text.alias("_text"), F.col(id_col).alias("_own"))
 
 
 def _pieces(keyed: DataFrame, length: int, gram: int) -> DataFrame:
