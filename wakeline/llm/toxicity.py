@@ -46,7 +46,7 @@ AROUND = 2
 WINDOW = 32
 PAIR = 2
 HELD = 100_000
-PAIRS = 3 << 20  # pairs of a task, 8 bytes each, of which equal ones fall together before they are passed on
+PAIRS = 1 << 20  # pairs of a task, 8 bytes each, of which equal ones fall together before they are passed on
 
 _WORD = re.compile(r"\w+")
 START = "\x02"  # stands before the first word; no word contains it
@@ -223,6 +223,7 @@ def company(texts: DataFrame, words: list[str]) -> np.ndarray:
     out = np.zeros(n_words, np.int64)
     lots = texts.select("_text").mapInArrow(run, "lot int, pairs binary").repartition("lot").sortWithinPartitions("lot")
     found = lots.mapInArrow(counted, "w int, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    shipped.destroy()
     out[found["w"].to_numpy(np.int64)] = found["n"]
     return out
 
