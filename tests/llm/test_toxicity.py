@@ -122,3 +122,30 @@ def test_company_counts_different_words_before(spark, monkeypatch, most):
     df = spark.createDataFrame([(t,) for t in texts], "_text string").repartition(3)
     assert toxicity.company(df, words).tolist() == [len(before[w]) for w in words]
     assert toxicity.company(df.limit(0), words).tolist() == [0, 0, 0, 0]
+
+
+def test_a_passage_of_both_classes_tells_little(spark):
+    """Twelve toxic and eight ordinary texts have one passage, at the discount's edge; slurs come without it."""
+    some = [f"w{k}" for k in range(30)]
+    rnd = np.random.default_rng(2)
+    texts, labels = [], []
+    fold = {r.id: r.f for r in spark.range(3000).select("id", toxicity.fold("id").alias("f")).collect()}
+    left = {0: 8, 1: 12}
+    for k in range(3000):
+        w, toxic = list(rnd.choice(some, 12)), int(k % 10 == 0)
+        if 0 < fold[k] < toxicity.FOLDS - 1 and left[toxic]:
+            left[toxic] -= 1
+            w[6:6] = ["passage", "of", "both"]
+        elif fold[k] == toxicity.FOLDS - 1 and k % 7 == 1 and not toxic:
+            w[6:6] = ["passage", "of", "both"]
+        if toxic:
+            w[3:3] = ["slur"]
+        texts.append((k, " ".join(w)))
+        labels.append((k, toxic))
+    model = toxicity.fit(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    words = "w1 passage of both w2 slur w3".split()
+    assert model.ratios(words)[2] > 3 > 1 > model.evidence(words)[2] > 0
+    assert model.evidence(words)[5] == pytest.approx(model.ratios(words)[5]) and model.evidence(words)[5] > 1
+    got = [(labels[k][1], model.score(t)) for k, t in texts if fold[k] == 0]
+    assert all((s >= 0.5) == y for y, s in got)
+    assert model.score("w1 w2 w3 passage of both w4 w5") < 0.5 < model.score("w1 w2 w3 slur w4 w5")

@@ -8,7 +8,9 @@ company a word stands anywhere in the corpus, labelled or not. Backoff weights a
 expression that is rare or unknown tells nothing either way.
 
 A text is compared by its toxic and ordinary log-likelihoods per word: over the whole text, over its most
-toxic window of WINDOW words, and over its PAIR most telling words. A logistic curve over these numbers,
+toxic window of WINDOW words, and over its PAIR most telling words. Discounts take almost all from a count that is just above them
+and leave a class without any just below, so a passage that both classes have could tell everything; therefore no word tells more
+than the odds of its own counts, one added to each, of which the stronger of word and bigram holds. A logistic curve over these numbers,
 fitted on labelled documents that the models have not seen, gives a score from 0 to 1.
 
 Only labelled rows whose crc32(id as text) modulo FOLDS is not 0 are used: the last fold for the curve, the
@@ -70,26 +72,44 @@ class Model:
     keys: np.ndarray
     seen: np.ndarray  # 2 x bigrams: discounted relative counts
     curve: np.ndarray
+    word_odds: np.ndarray  # log of the toxic over the ordinary count; the last is for unknown words
+    pair_odds: np.ndarray  # the same of bigrams
 
-    def ratios(self, words: list[str]) -> np.ndarray:
-        """Log of the toxic over the ordinary probability of each word after the one before it."""
+    def _met(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of each word and of the one before it; which words end a bigram of the model, and its place there."""
         none = self.uni.shape[1] - 1
         get = self.ids.get
         now = np.fromiter((get(w, none) for w in words), np.int64, len(words))
         before = np.concatenate([[get(START, none)], now[:-1]])
+        if not len(self.keys):
+            return now, before, np.empty(0, np.int64), np.empty(0, np.int64)
+        key = before * (none + 1) + now
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[at] == key)
+        return now, before, hit, at[hit]
+
+    def ratios(self, words: list[str]) -> np.ndarray:
+        """Log of the toxic over the ordinary probability of each word after the one before it."""
+        return self._ratios(*self._met(words))
+
+    def _ratios(self, now: np.ndarray, before: np.ndarray, hit: np.ndarray, at: np.ndarray) -> np.ndarray:
         p = self.back[before] * self.uni[:, now]
-        if len(self.keys):
-            key = before * (none + 1) + now
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = np.flatnonzero(self.keys[at] == key)
-            p[:, hit] += self.seen[:, at[hit]]
+        p[:, hit] += self.seen[:, at]
         return np.log(p[0] / p[1])
 
+    def evidence(self, words: list[str]) -> np.ndarray:
+        """ratios(), each within the odds of the word's and the bigram's own counts."""
+        met = now, _, hit, at = self._met(words)
+        odds = self.word_odds[now]
+        low, high = np.minimum(odds, 0), np.maximum(odds, 0)
+        low[hit], high[hit] = np.minimum(low[hit], self.pair_odds[at]), np.maximum(high[hit], self.pair_odds[at])
+        return np.clip(self._ratios(*met), low, high)
+
     def features(self, text: str | None) -> tuple[float, float, float]:
         words = words_of(text)
         if not words:
             return 0.0, 0.0, 0.0
-        r = self.ratios(words)
+        r = self.evidence(words)
         total = np.concatenate([[0.0], np.cumsum(r)])
         n = min(WINDOW, len(r))
         pair = np.partition(r, len(r) - PAIR)[-PAIR:].sum() if len(r) > PAIR else r.sum()
@@ -268,7 +288,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     keys = v * (none + 1) + w
     order = np.argsort(keys)
     seen = np.stack([np.maximum(often[x].to_numpy(float) - TOP_DISCOUNT, 0) / np.maximum(top[f"c_{x}"].to_numpy(float)[v], 1) for x in classes])
-    model = Model(ids, uni, back, keys[order], seen[:, order], np.zeros(4))
+    word_odds = np.append(np.log((k["toxic"] + 1) / (k["plain"] + 1)), 0)
+    pair_odds = np.log((often["toxic"].to_numpy(float) + 1) / (often["plain"].to_numpy(float) + 1))
+    model = Model(ids, uni, back, keys[order], seen[:, order], np.zeros(4), word_odds, pair_odds[order])
 
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
