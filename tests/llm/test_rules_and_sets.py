@@ -176,3 +176,24 @@ def test_shards_are_written_apart(spark):
     back = spark.read.parquet(path)
     assert back.count() == 1000 and back.select("shard").distinct().count() == 3
     assert back.select("doc_id", "shard").exceptAll(sharding.place(df, "doc_id", shards=("a", "b", "c")).select("doc_id", "shard")).count() == 0
+
+
+def test_taken_rows_keep_their_other_columns_and_texts_are_not_written(spark, monkeypatch):
+    rows = [(k // 3, f"words of text {k // 3} " * (1 + k // 3 % 4), f"s{k // 3 % 2}", None if k % 3 == 2 else {"a": k % 2}) for k in range(90)]
+    rows += [(None, None, None, None)] * 2 + [(1000, "one text that stands here often", "s1", {"a": 1})] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, tags map<string,int>")
+    written = []
+    monkeypatch.setattr(mixing, "settle", lambda x, f=mixing.settle: written.append(x.columns) or f(x))
+    out = mixing.take(df)
+    assert out.schema == df.schema
+    assert written and not any({"row", "text"} & set(c) for c in written)
+    want = {}
+    for r in mixing.mix(df).collect():
+        want[r.doc_id] = want.get(r.doc_id, 0) + r.copies
+    got = out.collect()
+    count = {}
+    for r in got:
+        count[r.doc_id] = count.get(r.doc_id, 0) + 1
+    assert count == {k: n for k, n in want.items() if n}
+    known = {(a, b, c, str(d)) for a, b, c, d in rows}
+    assert {(r[0], r[1], r[2], str(r[3])) for r in got} <= known

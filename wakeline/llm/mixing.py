@@ -190,9 +190,23 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_
     return out.select(F.col("_key.id").alias(id_col), "size", "source_size", "target", "copies")
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    """The columns of row as what a digest takes; maps and variants as JSON."""
+    of = lambda c: F.col(f"row.`{c}`")
+    return [F.to_json(F.struct(of(c).alias("c"))) if "map<" in kind or "variant" in kind else of(c) for c, kind in df.dtypes]
+
+
 def take(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", cap: int = CAP, seed: int = 0) -> DataFrame:
-    """The rows of df, each as many times as the mix takes it."""
+    """The rows of df, each as many times as the mix takes it.
+
+    Copies are shared out among equal rows without their texts. Rows that are equal in all columns then go as one, as
+    often as they are taken together, so that each different row is shuffled once.
+    """
     rows = _numbered(df, id_col, source_col, text_col)
-    planned = plan(settle(rows.drop("row")), cap, seed)
-    out = _with_copies(rows, planned.where("total > 0"), seed).where("copies > 0")
+    rows = rows.withColumns({"_t": F.col("_key.t"), "_kind": F.xxhash64(F.lit(seed), *_hashable(df))})
+    light = settle(rows.drop("row"))
+    given = _with_copies(light, plan(light.drop("_t", "_kind"), cap, seed).where("total > 0"), seed)
+    given = given.groupBy("_t", "_kind").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    different = rows.groupBy("_t", "_kind").agg(F.first("row").alias("row"))
+    out = different.join(given, ["_t", "_kind"])
     return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_i")).select("row.*")

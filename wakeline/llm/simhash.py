@@ -172,8 +172,9 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     """
     names = df.columns
     # _n tells rows apart: it is written with them, so that it stays the same whenever they are read
-    rows = settle(df.select(F.struct(*names).alias("row"), F.monotonically_increasing_id().alias("_n")).select("row", "_n", F.col(f"row.`{id_col}`").alias("_id"), F.col(f"row.`{text_col}`").alias("_text")))
-    marked = settle(fingerprints(rows, "_n", "_text").join(rows.select("_n", "_id", F.xxhash64("_text").alias("_h")), "_n"))
+    rows = settle(df.select(F.struct(*names).alias("row"), F.monotonically_increasing_id().alias("_n")))
+    seen = rows.select("_n", F.col(f"row.`{id_col}`").alias("_id"), F.col(f"row.`{text_col}`").alias("_text"))
+    marked = settle(fingerprints(seen, "_n", "_text").join(seen.select("_n", "_id", F.xxhash64("_text").alias("_h")), "_n"))
     of_print = components(marked, "_id", max_bits).select(F.col("fp").alias("_fp"), "component")
     order = F.struct(F.col("_id").isNull().alias("last"), "_id", "fp", "_h", "_n")
     first = marked.join(of_print, F.col("fp") == F.col("_fp")).groupBy("component").agg(F.min(order).alias("m")).select(F.col("m._n").alias("_n"))
