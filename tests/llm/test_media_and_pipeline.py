@@ -87,6 +87,23 @@ def test_many_near_copies_give_few_candidates(spark):
     assert pairs < 60 * len(rows) < 200 * 199 / 2
 
 
+@pytest.mark.parametrize("block_rows", [media.BLOCK_ROWS, 20])
+def test_no_pair_of_a_large_bucket_is_left_out(spark, block_rows):
+    """Sixty images with two corners in two shared buckets: every two of different classes within the bits are found."""
+    rnd = np.random.default_rng(5)
+    d = [[[int(sum(1 << int(b) for b in rnd.choice(60, 3, replace=False))), 0] for _ in range(2)] for _ in range(60)]
+    rows = [(c, k, c, *d[k][c]) for k in range(60) for c in range(2)]
+    of = {k: 0 for k in range(0, 60, 3)}
+    bits = lambda a, b: sum((x ^ y).bit_count() for x, y in zip(a, b, strict=True))
+    want = {(i, j) for j in range(60) for i in range(j) if of.get(i, i) != of.get(j, j) and all(bits(d[i][c], d[j][c]) <= media.LINK_BITS for c in range(2))}
+    df = spark.createDataFrame(rows, "key long, node long, at int, d0 long, d1 long")
+    labels = spark.createDataFrame(list(of.items()), "node long, component long")
+    got = media.across(df, labels, block_rows=block_rows).collect()
+    assert {(r.a, r.b) for r in got} == want and len(got) == len(want) > 0
+    rooted = {(r.a, r.b) for r in media.candidates(df).where("b is not null").collect()}
+    assert not want <= rooted
+
+
 def test_large_images_have_more_corners(spark):
     grey = grey_of(media.drawn(spark.read.parquet(f"{SF}/embeddings.parquet").where("vec_id < 36 and vec_id % 10 < 9")).collect())
     tiles = [g for _, g in sorted(grey.items())][:25]

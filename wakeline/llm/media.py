@@ -14,10 +14,12 @@ Images are grey pixels in a binary column with width and height. Equal pixels co
    with one scale, rotation and shift (geometric consensus) link the images.
 5. Linked images form classes. What is left of each bucket is then one row for each class, in another order, and steps
    3 and 4 go on until a round brings no new link, ROUNDS times at most. So classes of n copies cost n, not n squared.
+6. At last every bucket's rows of different classes are compared, all pairs of them, whatever the bucket's size, and step 4
+   settles what is new. Pairs within a class need no look, as they are one class already.
 
-Steps 3 to 5 are an index of candidates: a link can be missed if no two corners share a word and lie within LINK_BITS, or if
-in all rounds the shared words stand in buckets of more than SMALL classes whose first rows are others. Every image is
-indexed, and tests measure the classes against brute force.
+So no pair of images with two corners that share a word and lie within LINK_BITS is left out. The words are an index all the
+same: images whose corners share no word, or only one, are no candidates. Every image is indexed, and tests measure the
+classes against brute force.
 
 Result: one row for each input row with class_id (the smallest id of its class) and n_links (the other rows of its class).
 
@@ -347,6 +349,93 @@ def candidates(rows: DataFrame, round_no: int = 0, link_bits: int = LINK_BITS, b
     return found.groupBy("a", "b").agg(F.bit_or("mask").alias("mask")).where(F.bit_count("mask") >= 2).select("a", "b")
 
 
+def _pairs_across(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (key, sub): a, b, mask of all near descriptors of different classes (of) in each bucket."""
+
+    def close(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(rows)
+        key, sub, node, of, at, d0, d1 = (t.column(c).to_numpy() for c in ("key", "sub", "node", "of", "at", "d0", "d1"))
+        d = np.stack([d0, d1], 1).view(np.uint64)
+        start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])]))
+        size = np.diff(np.append(start, len(key)))
+        mixed = np.minimum.reduceat(of, start) != np.maximum.reduceat(of, start)
+
+        def found(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
+            ok = (of[i] != of[j]) & (np.bitwise_count(d[i] ^ d[j]).sum(-1, dtype=np.int64) <= max_bits)
+            i, j = (np.broadcast_to(x, ok.shape)[ok] for x in (i, j))
+            low, high = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
+            return node[low], node[high], np.left_shift(np.uint64(1), (at[high] % 64).astype(np.uint64)).view(np.int64)
+
+        out, held = [], 0
+        for n in range(2, SMALL + 1):
+            first = start[mixed & (size == n)]
+            out += [found(first + p, first + q) for p, q in zip(*np.triu_indices(n, 1), strict=True)]
+        for s, n in zip(start[mixed & (size > SMALL)].tolist(), size[mixed & (size > SMALL)].tolist(), strict=True):
+            # all but the bucket's largest class, each against the whole bucket
+            names, which, many = np.unique(of[s : s + n], return_inverse=True, return_counts=True)
+            rest = s + np.flatnonzero(which != many.argmax())
+            step = max(1, (1 << 20) // n)
+            for k in range(0, len(rest), step):
+                out.append(found(rest[k : k + step, None], s + np.arange(n)[None]))
+                held += len(out[-1][0])
+                if held > 1 << 18:
+                    yield _once(out)
+                    out, held = [], 0
+        if out:
+            yield _once(out)
+
+    return _by_buckets(batches, close)
+
+
+def _once(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    a, b, mask = (np.concatenate(x) for x in zip(*found, strict=True))
+    by = np.lexsort((b, a))
+    a, b, mask = a[by], b[by], mask[by]
+    if len(a):
+        new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        a, b, mask = a[new], b[new], np.bitwise_or.reduceat(mask, new)
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(mask)], names=["a", "b", "mask"])
+
+
+def _by_buckets(batches: Iterator[pa.RecordBatch], close) -> Iterator[pa.RecordBatch]:
+    """close() of runs of whole buckets."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k, s = (batch.column(c).to_numpy() for c in ("key", "sub"))
+        last = held[-1].slice(held[-1].num_rows - 1) if held else None
+        ends = np.flatnonzero((k[1:] != k[:-1]) | (s[1:] != s[:-1])) + 1
+        if last is not None and (last.column("key")[0].as_py() != k[0] or last.column("sub")[0].as_py() != s[0]):
+            yield from close(held)
+            held = []
+        if len(ends):
+            yield from close([*held, batch.slice(0, int(ends[-1]))])
+            held = [batch.slice(int(ends[-1]))]
+        else:
+            held.append(batch)
+    if held:
+        yield from close(held)
+
+
+def across(rows: DataFrame, labels: DataFrame, link_bits: int = LINK_BITS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """a, b of every two images of different classes with two linked corners, from rows of tables() and labels (node,
+    component). Parts of a bucket of more than block_rows rows meet in pairs."""
+    of = rows.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("of"), "at", "d0", "d1")
+    large = settle(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block_rows).select("key", F.ceil(2 * F.col("n") / block_rows).cast("int").alias("parts")))
+    if large.isEmpty():
+        dealt = of.withColumn("sub", F.lit(0))
+    else:
+        mine = F.pmod(F.xxhash64("node", "at"), F.col("parts")).cast("int")
+        other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
+        dealt = of.join(large, "key", "left").select("*", mine.alias("mine"), other.alias("other"))
+        pair = F.greatest("mine", "other") * (1 << 15) + F.least("mine", "other") + 1
+        dealt = dealt.withColumn("sub", F.when(F.col("parts").isNull(), 0).otherwise(pair).cast("int"))
+    dealt = dealt.select("key", "sub", "node", "of", "at", "d0", "d1").repartition("key", "sub").sortWithinPartitions("key", "sub")
+    found = dealt.mapInArrow(lambda b: _pairs_across(b, link_bits), "a long, b long, mask long")
+    return found.groupBy("a", "b").agg(F.bit_or("mask").alias("mask")).where(F.bit_count("mask") >= 2).select("a", "b")
+
+
 def confirmed(pairs: DataFrame, images: DataFrame, min_votes: int = MIN_VOTES) -> DataFrame:
     """The pairs (a, b) with a geometric consensus; images: node, corners."""
     of = lambda p: images.select(F.col("node").alias(p), F.col("corners").alias(f"{p}_corners"))
@@ -380,7 +469,13 @@ def classes(images: DataFrame, rounds: int = ROUNDS, block_rows: int = BLOCK_ROW
         if k == 0:  # buckets of few rows are done
             rows = rows.join(found.where("b is null").select(F.col("a").alias("key")).distinct(), "key", "left_semi")
         now = one_of_each_class(rows, labels, k + 1)
-    return labels if labels is not None else connected_components(new)
+    labels = labels if labels is not None else connected_components(new)
+    rest = across(tables(images), labels, block_rows=block_rows)
+    rest = settle(rest.join(tested, ["a", "b"], "left_anti") if tested is not None else rest)
+    new = settle(confirmed(rest, images))
+    if new.isEmpty():
+        return labels
+    return connected_components(new if edges is None else edges.unionByName(new))
 
 
 def copies(df: DataFrame, id_col: str = "image_id", width: str = "width", height: str = "height", pixels: str = "pixels", block_rows: int = BLOCK_ROWS) -> DataFrame:
