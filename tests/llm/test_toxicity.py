@@ -149,3 +149,46 @@ def test_a_passage_of_both_classes_tells_little(spark):
     got = [(labels[k][1], model.score(t)) for k, t in texts if fold[k] == 0]
     assert all((s >= 0.5) == y for y, s in got)
     assert model.score("w1 w2 w3 passage of both w4 w5") < 0.5 < model.score("w1 w2 w3 slur w4 w5")
+
+
+def made_model(words):
+    """A model of sorted digests with random evidence; every tenth pair of neighbours is a bigram."""
+    rnd = np.random.default_rng(7)
+    digests = np.unique(np.array([toxicity._digest(w) for w in [toxicity.START, *words]], np.uint64))
+    n = len(digests)
+    keys = np.unique(rnd.integers(0, n, n) * (n + 1) + rnd.integers(0, n, n))
+    odds = lambda k: rnd.normal(0, 3, k)
+    uni, seen = rnd.uniform(0.01, 1, (2, n + 1)), rnd.uniform(0, 0.5, (2, len(keys)))
+    return toxicity.Model(digests, uni, rnd.uniform(0.1, 1, n + 1), keys, seen, np.array([0.1, 1, -1, 0.5]), np.append(odds(n), 0), odds(len(keys)))
+
+
+@pytest.mark.parametrize("run", [1, 40, 1 << 16])
+def test_texts_of_a_run_are_scored_as_each_by_itself(monkeypatch, run):
+    """Whole, window and pair as plain forms over each text's evidence, whatever texts stand beside it, and few words held."""
+    monkeypatch.setattr(toxicity, "RUN", run)
+    monkeypatch.setattr(toxicity, "HELD", 10)
+    rnd = np.random.default_rng(8)
+    some = [f"w{k}" for k in range(40)]
+    model = made_model(some[:30])
+    texts = [" ".join(rnd.choice(some, n)) for n in (1, 2, 3, 31, 32, 33, 90)] + [None, "", " .", "w1", "w1 w1", "never seen", *[" ".join(rnd.choice(some, 50)) for _ in range(20)], None]
+    got = model.features_of(texts)
+    for text, f in zip(texts, got, strict=True):
+        r = model.evidence(toxicity.words_of(text))
+        windows = [r[k : k + toxicity.WINDOW].sum() for k in range(max(1, len(r) - toxicity.WINDOW + 1))]
+        want = (r.mean(), max(windows) / toxicity.WINDOW, np.sort(r)[-toxicity.PAIR :].sum() / toxicity.PAIR) if len(r) else (0, 0, 0)
+        assert f == pytest.approx(want, abs=1e-8) and model.features(text) == tuple(f)
+    assert model.scores(texts).tolist() == [model.score(t) for t in texts] and model.features_of([]).shape == (0, 3)
+    words = some[:30]
+    r = np.array([model.ratios([v, w])[1] for v in words for w in words])
+    assert len(np.unique(r.round(9))) > len(words)
+
+
+def test_what_is_sent_to_workers_does_not_grow_with_the_length_of_words():
+    import pickle
+
+    short, long = (made_model([f"{k}" + "x" * size for k in range(500)]) for size in (1, 1000))
+    assert abs(len(pickle.dumps(short)) - len(pickle.dumps(long))) < 2000
+    numbers = toxicity._Numbers(long.words)
+    for k in range(3 * toxicity.HELD // 1000):
+        numbers.of([f"{k} {j}" for j in range(1000)])
+        assert len(numbers) <= toxicity.HELD + 1000 == 101_000

@@ -27,8 +27,7 @@ several labels of one id the highest counts. Extra columns are kept; columns sco
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,6 +47,9 @@ AROUND = 2
 WINDOW = 32
 PAIR = 2
 HELD = 100_000
+RUN = 1 << 16  # words that are looked up at a time
+UNIT = 2.0**32  # evidence is held in whole parts of 1 / UNIT
+NOTHING = np.iinfo(np.int64).min
 PAIRS = 1 << 20  # pairs of a task, 8 bytes each, of which equal ones fall together before they are passed on
 
 _WORD = re.compile(r"\w+")
@@ -62,11 +64,73 @@ def fold(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % FOLDS
 
 
+class _Numbers(dict):
+    """Running numbers of words, and each word's place among sorted digests (their count, if it is not there).
+
+    At most HELD words are kept: a worker's memory is that of these and of the digests, whatever the vocabulary.
+    """
+
+    def __init__(self, known: np.ndarray):
+        super().__init__()
+        self.known = known
+        self._empty()
+
+    def _empty(self) -> None:
+        self.clear()
+        self.new: list[int] = []
+        self.digest, self.place = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        k = self[word] = len(self)
+        self.new.append(_digest(word))
+        return k
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Place and digest of each word."""
+        if len(self) > HELD:
+            self._empty()
+        k = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            new = np.array(self.new, np.uint64)
+            self.digest, self.place = np.append(self.digest, new), np.append(self.place, _places(self.known, new))
+            self.new = []
+        return self.place[k], self.digest[k]
+
+
+def _digest(word: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(word)
+
+
+def _places(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each of wanted stands in known, which rises; the length of known if it does not."""
+    if not len(known):
+        return np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return np.where(known[at] == wanted, at, len(known))
+
+
+def _runs(texts: Iterable[str | None]) -> Iterator[tuple[list[str], np.ndarray]]:
+    """The words of many texts, START before each text's, and their numbers of words; about RUN words at a time."""
+    held, n = [], []
+    for text in texts:
+        w = words_of(text)
+        held.append(START)
+        held += w
+        n.append(len(w))
+        if len(held) > RUN:
+            yield held, np.array(n, np.int64)
+            held, n = [], []
+    if n:
+        yield held, np.array(n, np.int64)
+
+
 @dataclass
 class Model:
-    """Word ids with each class's unigram probability and backoff weight; bigrams by key, sorted."""
+    """Sorted digests of the words, with each class's unigram probability and backoff weight; bigrams by key, sorted."""
 
-    ids: dict[str, int]
+    words: np.ndarray
     uni: np.ndarray  # 2 x words; the last column is for unknown words
     back: np.ndarray  # weight of the unigram after that word
     keys: np.ndarray
@@ -75,48 +139,84 @@ class Model:
     word_odds: np.ndarray  # log of the toxic over the ordinary count; the last is for unknown words
     pair_odds: np.ndarray  # the same of bigrams
 
-    def _met(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers of each word and of the one before it; which words end a bigram of the model, and its place there."""
-        none = self.uni.shape[1] - 1
-        get = self.ids.get
-        now = np.fromiter((get(w, none) for w in words), np.int64, len(words))
-        before = np.concatenate([[get(START, none)], now[:-1]])
-        if not len(self.keys):
-            return now, before, np.empty(0, np.int64), np.empty(0, np.int64)
-        key = before * (none + 1) + now
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = np.flatnonzero(self.keys[at] == key)
-        return now, before, hit, at[hit]
+    def __post_init__(self) -> None:
+        # evidence of a word that ends no bigram of the model, and of one that ends that bigram; the backoff weight is common
+        # to both classes. In whole UNITs, so that sums do not depend on their order
+        low, high = np.minimum(self.word_odds, 0), np.maximum(self.word_odds, 0)
+        before, now = np.divmod(self.keys, len(self.words) + 1)
+        p = self.back[before] * self.uni[:, now] + self.seen
+        low_of, high_of = np.minimum(low[now], self.pair_odds), np.maximum(high[now], self.pair_odds)
+        units = lambda x: np.rint(x * UNIT).astype(np.int64)
+        self.told = units(np.clip(np.log(self.uni[0] / self.uni[1]), low, high))
+        self.pair_told = units(np.clip(np.log(p[0] / p[1]), low_of, high_of))
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        return _Numbers(self.words).of([START, *words])[0]
 
     def ratios(self, words: list[str]) -> np.ndarray:
         """Log of the toxic over the ordinary probability of each word after the one before it."""
-        return self._ratios(*self._met(words))
-
-    def _ratios(self, now: np.ndarray, before: np.ndarray, hit: np.ndarray, at: np.ndarray) -> np.ndarray:
-        p = self.back[before] * self.uni[:, now]
-        p[:, hit] += self.seen[:, at]
+        k = self._places(words)
+        p = self.back[k[:-1]] * self.uni[:, k[1:]]
+        at = _places(self.keys, k[:-1] * (len(self.words) + 1) + k[1:])
+        hit = at < len(self.keys)
+        p[:, hit] += self.seen[:, at[hit]]
         return np.log(p[0] / p[1])
 
+    def _told(self, k: np.ndarray) -> np.ndarray:
+        """Evidence of all but the first of these places."""
+        out = self.told[k[1:]]
+        at = _places(self.keys, k[:-1] * (len(self.words) + 1) + k[1:])
+        hit = at < len(self.keys)
+        out[hit] = self.pair_told[at[hit]]
+        return out
+
     def evidence(self, words: list[str]) -> np.ndarray:
         """ratios(), each within the odds of the word's and the bigram's own counts."""
-        met = now, _, hit, at = self._met(words)
-        odds = self.word_odds[now]
-        low, high = np.minimum(odds, 0), np.maximum(odds, 0)
-        low[hit], high[hit] = np.minimum(low[hit], self.pair_odds[at]), np.maximum(high[hit], self.pair_odds[at])
-        return np.clip(self._ratios(*met), low, high)
+        return self._told(self._places(words)) / UNIT
+
+    def features_of(self, texts: Iterable[str | None]) -> np.ndarray:
+        """Three columns for each text: evidence per word in whole, in its most toxic window, and of its PAIR words."""
+        numbers, out = _Numbers(self.words), [np.empty((0, 3))]
+        for words, n in _runs(texts):
+            x = np.zeros((len(n), 3))
+            out.append(x)
+            some = np.flatnonzero(n)
+            if not len(some):
+                continue
+            r = np.append(self._told(numbers.of(words)[0]), 0)  # r[k] is of words[k + 1]; it ends with a place to spare
+            first = (np.cumsum(n + 1) - n - 1)[some]
+            n = n[some]
+            total = np.concatenate([[0], np.cumsum(r)])
+            whole = total[first + n] - total[first]
+            x[some, 0] = whole / n
+            x[some, 1] = whole
+            long = n >= WINDOW
+            if long.any():
+                # windows that start in [first, last) of each text
+                sums = np.append(total[WINDOW:] - total[:-WINDOW], 0)
+                spans = np.stack([first[long], (first + n)[long] - WINDOW + 1], 1).ravel()
+                x[some[long], 1] = np.maximum.reduceat(sums, spans)[::2]
+            x[some, 1] /= WINDOW
+            # the largest of each text, taken away, and so on
+            spans = np.stack([first, first + n], 1).ravel()
+            own = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            for k in range(PAIR):
+                most = np.maximum.reduceat(r, spans)[::2]
+                x[some, 2] += np.where(n > k, most, 0)
+                at = own[r[own] == np.repeat(most, n)]
+                r[at[np.unique(np.searchsorted(first, at, "right"), return_index=True)[1]]] = NOTHING
+            x[some, 2] /= PAIR
+        return np.concatenate(out) / UNIT
 
     def features(self, text: str | None) -> tuple[float, float, float]:
-        words = words_of(text)
-        if not words:
-            return 0.0, 0.0, 0.0
-        r = self.evidence(words)
-        total = np.concatenate([[0.0], np.cumsum(r)])
-        n = min(WINDOW, len(r))
-        pair = np.partition(r, len(r) - PAIR)[-PAIR:].sum() if len(r) > PAIR else r.sum()
-        return float(r.mean()), float((total[n:] - total[:-n]).max() / WINDOW), float(pair / PAIR)
+        return tuple(self.features_of([text])[0].tolist())
+
+    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
+        c, x = self.curve, self.features_of(texts)
+        return 1 / (1 + np.exp(-np.clip(c[0] + c[1] * x[:, 0] + c[2] * x[:, 1] + c[3] * x[:, 2], -30, 30)))
 
     def score(self, text: str | None) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.curve @ [1.0, *self.features(text)], -30, 30))))
+        return float(self.scores([text])[0])
 
 
 def _sampled(labels: DataFrame, id_col: str, label_col: str, folds: list[int], rows: int) -> DataFrame:
@@ -183,15 +283,16 @@ def company(texts: DataFrame, words: list[str]) -> np.ndarray:
     first bits, so that no word's pairs meet in one task, and travel as packed steps of sorted numbers.
     """
     session = texts.sparkSession
-    shipped = session.sparkContext.broadcast({w: k for k, w in enumerate(words)})
+    digests = np.array([_digest(w) for w in words], np.uint64)
+    order = np.argsort(digests)
+    shipped = session.sparkContext.broadcast(digests[order])
     top = min(14, max(8, (4 * int(session.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
     rest, n_words = 32 - top, len(words)
     shift = rest + max(1, n_words.bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        ids, digest = shipped.value, {}
+        numbers = _Numbers(shipped.value)
+        start = np.uint64(_digest(START))
         pairs, size = [], 0
 
         def dealt() -> pa.RecordBatch:
@@ -201,21 +302,16 @@ def company(texts: DataFrame, words: list[str]) -> np.ndarray:
             blobs = [_packed(key[i:j] - (lot << shift)) for lot, i, j in zip(lots, at[:-1], at[1:], strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(lots.astype(np.int32)), pa.array(blobs, pa.binary())], names=["lot", "pairs"])
 
-        for b in batches:
-            for text in b.column("_text"):
-                w = words_of(text.as_py())
-                if len(digest) > HELD:
-                    digest.clear()
-                now = np.fromiter((ids.get(x, -1) for x in w), np.int64, len(w))
-                digest.update((x, xxhash.xxh32_intdigest(x)) for x in {START, *w} if x not in digest)
-                before = np.fromiter((digest[x] for x in [START, *w[:-1]][: len(w)]), np.int64, len(w))
-                known = now >= 0
-                now, before = now[known], before[known]
-                pairs.append((before >> rest) << shift | now << rest | before & ((1 << rest) - 1))
-                size += len(pairs[-1])
-                if size > PAIRS:
-                    yield dealt()
-                    pairs, size = [], 0
+        for w, _ in _runs(x.as_py() for b in batches for x in b.column("_text")):
+            place, digest = numbers.of(w)
+            # the first word of a text comes after START, which itself is in nobody's company
+            known = (place[1:] < n_words) & (digest[1:] != start)
+            now, before = place[1:][known], (digest[:-1][known] >> np.uint64(32)).astype(np.int64)
+            pairs.append((before >> rest) << shift | now << rest | before & ((1 << rest) - 1))
+            size += len(now)
+            if size > PAIRS:
+                yield dealt()
+                pairs, size = [], 0
         if size:
             yield dealt()
 
@@ -244,7 +340,7 @@ def company(texts: DataFrame, words: list[str]) -> np.ndarray:
     lots = texts.select("_text").mapInArrow(run, "lot int, pairs binary").repartition("lot").sortWithinPartitions("lot")
     found = lots.mapInArrow(counted, "w int, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     shipped.destroy()
-    out[found["w"].to_numpy(np.int64)] = found["n"]
+    out[order[found["w"].to_numpy(np.int64)]] = found["n"]
     return out
 
 
@@ -267,11 +363,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     after = big.groupBy(F.col("w").alias("word")).agg(*map(one, classes))
     cut = sum((F.least(c, F.lit(TOP_DISCOUNT)) for c in classes), F.lit(0))
     before = big.groupBy(F.col("v").alias("word")).agg(F.sum("toxic").alias("c_toxic"), F.sum("plain").alias("c_plain"), F.sum(cut).alias("cut"))
-    top = after.join(before, "word", "full").na.fill(0).toArrow().to_pandas().sort_values("word").reset_index(drop=True)
+    top = after.join(before, "word", "full").na.fill(0).toArrow().to_pandas()
     if not len(top) or not top["c_toxic"].sum() or not top["c_plain"].sum():
         share = labels.where(fold("_id") != 0).agg(F.avg("_label")).first()[0]
         return float(share or 0.0)
 
+    # words stand by their digests
+    top["digest"] = np.array([_digest(w) for w in top["word"]], np.uint64)
+    top = top.sort_values("digest").reset_index(drop=True)
     words = top["word"].tolist()
     none = len(words)
     # one more for each word and for what no labelled text has
@@ -290,15 +389,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     seen = np.stack([np.maximum(often[x].to_numpy(float) - TOP_DISCOUNT, 0) / np.maximum(top[f"c_{x}"].to_numpy(float)[v], 1) for x in classes])
     word_odds = np.append(np.log((k["toxic"] + 1) / (k["plain"] + 1)), 0)
     pair_odds = np.log((often["toxic"].to_numpy(float) + 1) / (often["plain"].to_numpy(float) + 1))
-    model = Model(ids, uni, back, keys[order], seen[:, order], np.zeros(4), word_odds, pair_odds[order])
+    model = Model(top["digest"].to_numpy(), uni, back, keys[order], seen[:, order], np.zeros(4), word_odds, pair_odds[order])
 
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            f = [shipped.value.features(x.as_py()) for x in b.column("_text")]
-            cols = [pa.array([x[k] for x in f], pa.float64()) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([b.column("_label"), *cols], names=["label", "whole", "window", "pair"])
+            f = shipped.value.features_of(x.as_py() for x in b.column("_text"))
+            yield pa.RecordBatch.from_arrays([b.column("_label"), *map(pa.array, np.ascontiguousarray(f.T))], names=["label", "whole", "window", "pair"])
 
     seen_rows = sample([FOLDS - 1], CURVE_ROWS).mapInArrow(measured, "label int, whole double, window double, pair double").toArrow().to_pandas()
     weight = labels.where(fold("_id") != 0).agg(F.avg("_label")).first()[0]
@@ -342,7 +440,7 @@ def score(df: DataFrame, model: Model | float, text_col: str = "text") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = np.array([shipped.value.score(x.as_py()) for x in b.column(text_col)], float)
+            s = shipped.value.scores(x.as_py() for x in b.column(text_col))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*b.schema.names, "score", "predicted"])
 
     return df.mapInArrow(run, schema)
