@@ -192,3 +192,15 @@ def test_what_is_sent_to_workers_does_not_grow_with_the_length_of_words():
     for k in range(3 * toxicity.HELD // 1000):
         numbers.of([f"{k} {j}" for j in range(1000)])
         assert len(numbers) <= toxicity.HELD + 1000 == 101_000
+
+
+def test_scored_rows_are_passed_on_in_parts(spark):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"k": list(range(2 * toxicity.PART + 3))})
+    parts = list(toxicity._in_parts(batch))
+    assert [p.num_rows for p in parts] == [toxicity.PART, toxicity.PART, 3] and pa.Table.from_batches(parts) == pa.Table.from_batches([batch])
+    assert not list(toxicity._in_parts(batch.slice(0, 0)))
+    df = spark.range(5 * toxicity.PART + 1).selectExpr("id as doc_id", "concat('w', id) as text").coalesce(1)
+    rows = toxicity.score(df, made_model(["w1", "w2"])).collect()
+    assert [(r.doc_id, r.text) for r in rows] == [(k, f"w{k}") for k in range(5 * toxicity.PART + 1)]

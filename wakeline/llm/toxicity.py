@@ -49,6 +49,7 @@ PAIR = 2
 HELD = 100_000
 RUN = 1 << 16  # words that are looked up at a time
 UNIT = 2.0**32  # evidence is held in whole parts of 1 / UNIT
+PART = 1_000  # rows that a task passes on at a time
 NOTHING = np.iinfo(np.int64).min
 PAIRS = 1 << 20  # pairs of a task, 8 bytes each, of which equal ones fall together before they are passed on
 
@@ -430,6 +431,11 @@ def _logistic(rows, share: float) -> np.ndarray:
     return np.round(beta, 6)
 
 
+def _in_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Its rows, PART at a time: the executor holds what it is passed in memory once more, texts included."""
+    yield from (batch.slice(k, PART) for k in range(0, batch.num_rows, PART))
+
+
 def score(df: DataFrame, model: Model | float, text_col: str = "text") -> DataFrame:
     """df with score and predicted (1 from a score of 0.5 on)."""
     df = df.drop("score", "predicted")
@@ -441,6 +447,6 @@ def score(df: DataFrame, model: Model | float, text_col: str = "text") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = shipped.value.scores(x.as_py() for x in b.column(text_col))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*b.schema.names, "score", "predicted"])
+            yield from _in_parts(pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*b.schema.names, "score", "predicted"]))
 
     return df.mapInArrow(run, schema)
