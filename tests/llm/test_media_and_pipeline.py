@@ -104,6 +104,22 @@ def test_no_pair_of_a_large_bucket_is_left_out(spark, block_rows):
     assert not want <= rooted
 
 
+@pytest.mark.parametrize(("listed", "block_rows"), [(media.LISTED, media.BLOCK_ROWS), (media.LISTED, 40), (1, media.BLOCK_ROWS)])
+def test_single_links_are_no_rows(spark, monkeypatch, listed, block_rows):
+    """Eighty images share a corner; every two of them are linked by it, but few by a second one, whatever is listed."""
+    monkeypatch.setattr(media, "LISTED", listed)
+    both = [(k, k + 1) for k in range(0, 12, 2)]
+    rows = [(1, k, 0, 5, 5) for k in range(80)] + [(100 + a, k, 1 + k % 2, a, 9) for a, b in both for k in (a, b)]
+    # the same corner again by another word, and a word without a link, are no second link
+    rows += [(2, k, 0, 5, 5) for k in range(40, 80)] + [(3, k, 3, (1 << 40) - 1 << k % 20, k * k * 977) for k in range(60, 80)]
+    df = spark.createDataFrame(rows, "key long, node long, at int, d0 long, d1 long")
+    labels = spark.createDataFrame([], "node long, component long")
+    made = media.links_across(df, labels, block_rows=block_rows).collect()
+    if listed > 1:
+        assert {(r.a, r.b) for r in made} == set(both) and len(made) < 80
+    assert {(r.a, r.b) for r in media.across(df, labels, block_rows=block_rows).collect()} == set(both)
+
+
 def test_large_images_have_more_corners(spark):
     grey = grey_of(media.drawn(spark.read.parquet(f"{SF}/embeddings.parquet").where("vec_id < 36 and vec_id % 10 < 9")).collect())
     tiles = [g for _, g in sorted(grey.items())][:25]

@@ -15,7 +15,8 @@ Images are grey pixels in a binary column with width and height. Equal pixels co
 5. Linked images form classes. What is left of each bucket is then one row for each class, in another order, and steps
    3 and 4 go on until a round brings no new link, ROUNDS times at most. So classes of n copies cost n, not n squared.
 6. At last every bucket's rows of different classes are compared, all pairs of them, whatever the bucket's size, and step 4
-   settles what is new. Pairs within a class need no look, as they are one class already.
+   settles what is new. Pairs within a class need no look, as they are one class already. Two images that one corner
+   alone links are no rows on the way; see links_across().
 
 So no pair of images with two corners that share a word and lie within LINK_BITS is left out. The words are an index all the
 same: images whose corners share no word, or only one, are no candidates. Every image is indexed, and tests measure the
@@ -56,6 +57,7 @@ MIN_VOTES = 3
 SMALL = 4
 BLOCK_ROWS = 1 << 16
 SAMPLED = 64
+LISTED = 256
 SIDE = 80
 
 #: A corner: its place in pixels of the whole image, its level, its orientation in turns and its descriptor.
@@ -349,40 +351,89 @@ def candidates(rows: DataFrame, round_no: int = 0, link_bits: int = LINK_BITS, b
     return found.groupBy("a", "b").agg(F.bit_or("mask").alias("mask")).where(F.bit_count("mask") >= 2).select("a", "b")
 
 
-def _pairs_across(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (key, sub): a, b, mask of all near descriptors of different classes (of) in each bucket."""
+def _links_across(t: pa.Table, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all two near descriptors of different classes (of) in each bucket of t, which has whole buckets."""
+    key, sub, of, d0, d1 = (t.column(c).to_numpy() for c in ("key", "sub", "of", "d0", "d1"))
+    d = np.stack([d0, d1], 1).view(np.uint64)
+    start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])]))
+    size = np.diff(np.append(start, len(key)))
+    mixed = np.minimum.reduceat(of, start) != np.maximum.reduceat(of, start)
+
+    def found(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
+        ok = (of[i] != of[j]) & (np.bitwise_count(d[i] ^ d[j]).sum(-1, dtype=np.int64) <= max_bits)
+        return tuple(np.broadcast_to(x, ok.shape)[ok] for x in (i, j))
+
+    for n in range(2, SMALL + 1):
+        first = start[mixed & (size == n)]
+        for p, q in zip(*np.triu_indices(n, 1), strict=True):
+            yield found(first + p, first + q)
+    for s, n in zip(start[mixed & (size > SMALL)].tolist(), size[mixed & (size > SMALL)].tolist(), strict=True):
+        # all but the bucket's largest class, each against the whole bucket
+        _, which, many = np.unique(of[s : s + n], return_inverse=True, return_counts=True)
+        rest = s + np.flatnonzero(which != many.argmax())
+        step = max(1, (1 << 20) // n)
+        for k in range(0, len(rest), step):
+            yield found(rest[k : k + step, None], s + np.arange(n)[None])
+
+
+def _linked_rows(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (key, sub): those that have a near descriptor of another class in their bucket."""
 
     def close(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(rows)
-        key, sub, node, of, at, d0, d1 = (t.column(c).to_numpy() for c in ("key", "sub", "node", "of", "at", "d0", "d1"))
-        d = np.stack([d0, d1], 1).view(np.uint64)
-        start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])]))
-        size = np.diff(np.append(start, len(key)))
-        mixed = np.minimum.reduceat(of, start) != np.maximum.reduceat(of, start)
+        linked = np.zeros(t.num_rows, bool)
+        for i, j in _links_across(t, max_bits):
+            linked[i] = linked[j] = True
+        yield from t.filter(pa.array(linked)).to_batches()
+
+    return _by_buckets(batches, close)
 
-        def found(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
-            ok = (of[i] != of[j]) & (np.bitwise_count(d[i] ^ d[j]).sum(-1, dtype=np.int64) <= max_bits)
-            i, j = (np.broadcast_to(x, ok.shape)[ok] for x in (i, j))
-            low, high = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
-            return node[low], node[high], np.left_shift(np.uint64(1), (at[high] % 64).astype(np.uint64)).view(np.int64)
+
+def _pairs_across(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows of _linked_rows() with others, sorted by (key, sub): a, b, mask of the links across classes in each bucket,
+    unless no other bucket can link a to another corner of b."""
+
+    def close(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(rows).combine_chunks()
+        node, at = t.column("node").to_numpy(), t.column("at").to_numpy()
+        others = t.column("others").chunk(0)
+        values, ends, listed = others.values.to_numpy(), others.offsets.to_numpy(), others.is_valid().to_numpy(zero_copy_only=False)
+        place = dict(zip(*(x.tolist() for x in np.unique(node, return_index=True)), strict=True))
+
+        @lru_cache(1 << 12)
+        def corners(n: int) -> dict[int, int] | None:
+            """Bits of the corners that the image has in each bucket in which it has links."""
+            k = place[n]
+            if not listed[k]:
+                return None
+            out: dict[int, int] = {}
+            for x in values[ends[k] : ends[k + 1]].tolist():
+                out[x >> 6] = out.get(x >> 6, 0) | 1 << (x & 63)
+            return out
+
+        def two(a: int, b: int, mask: int) -> bool:
+            of_a, of_b = corners(a), corners(b)
+            if of_a is None or of_b is None:
+                return True
+            for x in of_a.keys() & of_b.keys():
+                mask |= of_b[x]
+            return mask.bit_count() >= 2
+
+        def settled(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            batch = _once(found)
+            a, b, mask = (batch.column(c).to_numpy() for c in ("a", "b", "mask"))
+            return batch.filter(pa.array([two(*x) for x in zip(a.tolist(), b.tolist(), mask.view(np.uint64).tolist(), strict=True)], pa.bool_()))
 
         out, held = [], 0
-        for n in range(2, SMALL + 1):
-            first = start[mixed & (size == n)]
-            out += [found(first + p, first + q) for p, q in zip(*np.triu_indices(n, 1), strict=True)]
-        for s, n in zip(start[mixed & (size > SMALL)].tolist(), size[mixed & (size > SMALL)].tolist(), strict=True):
-            # all but the bucket's largest class, each against the whole bucket
-            names, which, many = np.unique(of[s : s + n], return_inverse=True, return_counts=True)
-            rest = s + np.flatnonzero(which != many.argmax())
-            step = max(1, (1 << 20) // n)
-            for k in range(0, len(rest), step):
-                out.append(found(rest[k : k + step, None], s + np.arange(n)[None]))
-                held += len(out[-1][0])
-                if held > 1 << 18:
-                    yield _once(out)
-                    out, held = [], 0
+        for i, j in _links_across(t, max_bits):
+            low, high = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
+            out.append((node[low], node[high], np.left_shift(np.uint64(1), (at[high] % 64).astype(np.uint64)).view(np.int64)))
+            held += len(i)
+            if held > 1 << 18:
+                yield settled(out)
+                out, held = [], 0
         if out:
-            yield _once(out)
+            yield settled(out)
 
     return _by_buckets(batches, close)
 
@@ -418,9 +469,15 @@ def _by_buckets(batches: Iterator[pa.RecordBatch], close) -> Iterator[pa.RecordB
         yield from close(held)
 
 
-def across(rows: DataFrame, labels: DataFrame, link_bits: int = LINK_BITS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """a, b of every two images of different classes with two linked corners, from rows of tables() and labels (node,
-    component). Parts of a bucket of more than block_rows rows meet in pairs."""
+def links_across(rows: DataFrame, labels: DataFrame, link_bits: int = LINK_BITS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """a, b, mask of links of images of different classes, from rows of tables() and labels (node, component).
+
+    Single links are chance and grow with the square of the images, so they are never made rows: the rows that have any link
+    are found first, at most as many as there are. Each then carries the buckets and corners of all linked rows of its
+    image, and a link counts only if the two images meet in a bucket by another corner too. This leaves out no two images
+    with two links. An image with more than LISTED of them carries none, and all its links are made rows.
+    Parts of a bucket of more than block_rows rows meet in pairs.
+    """
     of = rows.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("of"), "at", "d0", "d1")
     large = settle(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block_rows).select("key", F.ceil(2 * F.col("n") / block_rows).cast("int").alias("parts")))
     if large.isEmpty():
@@ -431,8 +488,17 @@ def across(rows: DataFrame, labels: DataFrame, link_bits: int = LINK_BITS, block
         dealt = of.join(large, "key", "left").select("*", mine.alias("mine"), other.alias("other"))
         pair = F.greatest("mine", "other") * (1 << 15) + F.least("mine", "other") + 1
         dealt = dealt.withColumn("sub", F.when(F.col("parts").isNull(), 0).otherwise(pair).cast("int"))
-    dealt = dealt.select("key", "sub", "node", "of", "at", "d0", "d1").repartition("key", "sub").sortWithinPartitions("key", "sub")
-    found = dealt.mapInArrow(lambda b: _pairs_across(b, link_bits), "a long, b long, mask long")
+    columns = "key long, sub int, node long, of long, at int, d0 long, d1 long"
+    in_buckets = lambda df: df.repartition("key", "sub").sortWithinPartitions("key", "sub")
+    linked = settle(in_buckets(dealt.select("key", "sub", "node", "of", "at", "d0", "d1")).mapInArrow(lambda b: _linked_rows(b, link_bits), columns))
+    bucket = F.shiftleft(F.xxhash64("key"), 6).bitwiseOR(F.pmod("at", F.lit(64)).cast("long"))
+    own = linked.groupBy("node").agg(F.collect_set(bucket).alias("others")).select("node", F.when(F.size("others") <= LISTED, F.col("others")).alias("others"))
+    return in_buckets(linked.join(own, "node")).mapInArrow(lambda b: _pairs_across(b, link_bits), "a long, b long, mask long")
+
+
+def across(rows: DataFrame, labels: DataFrame, link_bits: int = LINK_BITS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """a, b of every two images of different classes with two linked corners."""
+    found = links_across(rows, labels, link_bits, block_rows)
     return found.groupBy("a", "b").agg(F.bit_or("mask").alias("mask")).where(F.bit_count("mask") >= 2).select("a", "b")
 
 
