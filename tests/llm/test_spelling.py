@@ -110,3 +110,10 @@ def test_odd_documents(spark, odd_docs, no_docs):
 def test_words_are_passed_on_when_many_are_held(spark, odd_docs):
     want = dict(map(tuple, spelling.counts(odd_docs).collect()))
     assert dict(map(tuple, spelling.counts(odd_docs.repartition(1), hold=3).collect())) == want
+
+
+def test_signatures_of_few_words_are_not_broadcast(spark):
+    words = spelling.settle(spark.createDataFrame([("spelling", 9), ("speling", 5)], "word string, n long"))
+    pairs = spelling.near_pairs(words)
+    assert [tuple(r) for r in pairs.collect()] == [("speling", 5, "spelling", 9)]
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()

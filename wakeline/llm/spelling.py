@@ -133,12 +133,14 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """a, a_n, b, b_n: pairs of words (word, n) that differ by exactly one inserted, deleted or replaced code point.
 
     Each pair comes once; a is the shorter word, or the first in code-point order. Words must be distinct.
+    Spark sizes the signatures as it does the words, of which they are many times as many rows, so the join is told to be
+    a merge: neither side is ever broadcast.
     """
     left = _signed(words, False).toDF("signature", "a", "a_n")
     right = _signed(words, True).toDF("signature", "b", "b_n")
     longer = F.length("b") - F.length("a")
     near = ((longer == 1) | ((longer == 0) & (F.col("a") < F.col("b")))) & (F.levenshtein("a", "b", 1) == 1)
-    pairs = left.join(right, (left["signature"] == right["signature"]) & near)
+    pairs = left.join(right.hint("merge"), (left["signature"] == right["signature"]) & near)
     return pairs.select("a", "a_n", "b", "b_n").distinct()
 
 
@@ -156,15 +158,18 @@ def forms(words: DataFrame, times: int = TIMES) -> DataFrame:
     counts_so = -F.col("best.less") >= times * F.col("n")
     found = settle(found.select("word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.when(counts_so, F.col("best.near")).alias("form"), F.when(counts_so, -F.col("best.less")).alias("form_n")))
     roots = _followed(found.where("form is not null").select("word", F.col("form").alias("root")))
-    return found.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return found.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def _followed(links: DataFrame) -> DataFrame:
-    """Every word's last word over the links; a link leads to a word at least twice as frequent, so there is no cycle."""
+    """Every word's last word over the links; a link leads to a word at least twice as frequent, so there is no cycle.
+
+    Files of words are a fraction of their rows in memory, so these joins are merges too.
+    """
     links = settle(links)
-    while not (links.alias("x").join(links.alias("y"), F.col("x.root") == F.col("y.word"), "left_semi")).isEmpty():
+    while not (links.alias("x").join(links.alias("y").hint("merge"), F.col("x.root") == F.col("y.word"), "left_semi")).isEmpty():
         onward = links.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        links = settle(links.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root")))
+        links = settle(links.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root")))
     return links
 
 
