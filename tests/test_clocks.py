@@ -65,3 +65,13 @@ def test_attempts_outside_the_medium_are_left_out(spark):
     got = {r.id: (r.adjustment, r.contrast) for r in clocks.first_reading(rows, ["id"], text, F.lit(10.0)).collect()}
     assert got == {1: (0.4, 180), 2: (-0.4, 180), 3: (0.0, 180)}
     assert clocks.first_reading(rows, ["id"], lambda a, c: F.lit("nothing")).select("clock_seconds").distinct().collect() == [(None,)]
+
+
+def test_readings_exploded_from_few_rows_are_not_broadcast(spark, monkeypatch):
+    plans, settle = [], clocks.settle
+    few = settle(spark.createDataFrame([("a",)], "recording string"))  # files have a size
+    monkeypatch.setattr(clocks, "settle", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), settle(df))[1])
+    given = few.select("recording", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(49).cast("long"))).alias("second"))
+    got = clocks.synchronized(spark.createDataFrame([("a", 1, 20.0, 20.0, 130.0, 0.0, 50.0)], REQUEST), given.withColumn("clock", F.col("second") + 100.0), ["recording", "id"])
+    assert got.first().front_time == 30.0
+    assert plans and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)

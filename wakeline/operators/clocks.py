@@ -46,14 +46,15 @@ def synchronized(requests: DataFrame, readings: DataFrame, keys: list[str], roun
     requests: keys (the first one names the recording), rear_time, rear_sample (where the rear clock was read),
     rear_clock, offset, front_length. readings: the recording, second, clock. Returns keys, status, front_time,
     offset_seconds, residual, rounds. status: converged, no_clock, out_of_range, or not_converged after the last
-    round; only rows that are still open go into the next one.
+    round; only rows that are still open go into the next one. readings may have far more rows than Spark takes them
+    for (they may be exploded from recordings), so they are merged with the requests and never broadcast.
     """
     name = keys[0]
     start = F.least(F.greatest(F.lit(0.0), F.col("rear_time") - F.col("offset")), F.col("front_length") - 0.001)
     open_, done = requests.withColumn("_at", start), []
     for k in range(1, rounds + 1):
         seen = readings.select(name, F.col("second").alias("_second"), F.col("clock").alias("_clock"))
-        tried = open_.withColumn("_second", F.floor("_at").cast("long")).join(seen, [name, "_second"], "left")
+        tried = open_.withColumn("_second", F.floor("_at").cast("long")).join(seen.hint("merge"), [name, "_second"], "left")
         delta = F.col("rear_clock") - F.col("_clock")
         to = F.col("_second") + delta
         status = F.when(F.col("_clock").isNull(), "no_clock").when((to < 0) | (to >= F.col("front_length")), "out_of_range").when(F.abs(delta) <= within, "converged")
