@@ -1,5 +1,6 @@
 """Watchdog timers and tables kept by key, against plain loops."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -91,6 +92,27 @@ def test_samples_are_cut_to_their_runs(spark):
         assert {k: sorted(v) for k, v in got.items()} == {"one": [20, 30, 40], "edge": [90], "over": [40, 50, 60]}
 
 
+def test_statistics_of_runs_that_share_their_time_make_no_row_for_each_sample(spark):
+    rng = random.Random(5)
+    samples = [(rng.randrange(-300, 70_000), rng.choice([None, 1.5, -2.0, 7.25])) for _ in range(3000)] + [(None, 1.0)]
+    runs = [(k, a, a + rng.choice([-1, 0, 1, 7, 8, 63, 64, 500, 9000, 40_000, 200_000])) for k in range(300) for a in [rng.randrange(-400, 71_000)]]
+    df, laid = spark.createDataFrame(samples, "second long, value double"), spark.createDataFrame(runs, "run long, start long, end long")
+    parts = [tail.by_second(d, "second", "value") for d in df.randomSplit([0.3, 0.7], 1)]
+    found = tail.statistics(parts[0].unionByName(parts[1]), laid, "run")
+    want = {}
+    for run, a, b in runs:
+        own = [v for s, v in samples if s is not None and a <= s <= b]
+        known = [v for v in own if v is not None]
+        if own:
+            want[run] = (len(own), sum(known) / len(known) if known else None, min(known, default=None), max(known, default=None))
+    assert {r.run: tuple(r)[1:] for r in found.collect()} == want and 100 < len(want) < 300
+    # a second belongs to one block of a run, and a run has few blocks
+    once = laid.where("end >= start").select("run", "start", "end", F.explode(tail._blocks(F.col("start"), F.col("end"))).alias("c"))
+    size = F.pow(F.lit(tail.BASE), F.col("c.level"))
+    told = once.groupBy("run", "start", "end").agg(F.sum(size).alias("long"), F.count("*").alias("n"), F.countDistinct("c").alias("apart")).collect()
+    assert all(r.long == r.end - r.start + 1 and r.n == r.apart and r.n <= 80 for r in told)
+
+
 def test_feeds_are_ready_after_two_samples(spark, tmp_path):
     states = []
     rows = spark.createDataFrame([("a", at(0)), ("b", at(1)), ("a", at(50)), ("c", at(60))], "feed string, at timestamp")
