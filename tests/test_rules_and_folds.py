@@ -71,6 +71,19 @@ def test_bias_best_equals_a_search_over_all_candidates(spark):
         assert (got[key].bias, got[key].matches) == (best[3], -best[0]) and got[key].refined == pytest.approx(best[4], abs=1e-5)
 
 
+def test_biases_of_a_key_go_to_several_tasks(spark, monkeypatch):
+    given, real = [], matching._matched
+    monkeypatch.setattr(matching, "_matched", lambda rows, *a: (given.append(rows), real(rows, *a))[1])
+    lane = lambda name, step: matching.settle(spark.range(12).select(F.lit("hot").alias("key"), F.col("id").alias(name), (F.col("id") * step).alias("t")))
+    assert [r.key for r in matching.best_bias(lane("rear_id", 1.3), lane("front_id", 1.7), 0.5, 6.0).collect()] == ["hot"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = given[1].select("bias", F.spark_partition_id().alias("p")).distinct().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r.p for r in tasks}) > 1 and len(tasks) == len({r.bias for r in tasks})  # a bias whole in one
+
+
 def test_suppression_equals_a_plain_loop(spark):
     rnd = random.Random(4)
     rows = []

@@ -92,13 +92,13 @@ def greedy_pairs(rear: DataFrame, front: DataFrame, tolerance: float, bias: floa
 def candidates(rear: DataFrame, front: DataFrame, bound: float, key: str = "key", seeds: tuple[float, ...] = (0.0,)) -> DataFrame:
     """Distinct biases (to a tenth) of each key's pairs within the bound, and the seeds, which may lie beyond it.
 
-    Pairs come from buckets one bound wide.
+    Pairs come from buckets one bound wide. Spark takes exploded rows for as few as there were before, so they are merged.
     """
     bucket = F.floor(F.col("t") / bound)
     r = rear.select(key, F.col("t").alias("rt"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
     f = front.select(key, F.col("t").alias("ft"), bucket.alias("b"))
     bias = F.col("rt") - F.col("ft")
-    found = r.join(f, [key, "b"]).where(F.abs(bias) <= bound).select(key, F.round(bias, 1).alias("bias"))
+    found = r.join(f.hint("merge"), [key, "b"]).where(F.abs(bias) <= bound).select(key, F.round(bias, 1).alias("bias"))
     return found.unionByName(rear.select(key, F.explode(F.array(*map(F.lit, seeds))).alias("bias"))).distinct()
 
 
@@ -114,7 +114,7 @@ def _reach(rear: DataFrame, front: DataFrame, tolerance: float, bound: float, ke
     o = F.col("rt") - F.col("ft")
     # a little to spare on each side, as the bias itself is rounded
     cells = F.sequence(F.floor((o - tolerance) / tolerance - 1e-6), F.floor((o + tolerance) / tolerance + 1e-6))
-    near = r.join(f, [key, "b"]).where(F.abs(o) <= wide).select(key, "rear_id", F.explode(cells).alias("cell")).distinct()
+    near = r.join(f.hint("merge"), [key, "b"]).where(F.abs(o) <= wide).select(key, "rear_id", F.explode(cells).alias("cell")).distinct()
     return near.groupBy(key, "cell").agg(F.count("*").alias("most"))
 
 
@@ -128,13 +128,17 @@ def _searched(rear: DataFrame, front: DataFrame, tolerance: float, bound: float,
     tasks = settle(tasks.join(_reach(rear, front, tolerance, bound, key), [key, "cell"], "left").na.fill({"most": 0}).drop("cell"))
 
     def matched(own: DataFrame) -> DataFrame:
-        own = own.select(key, "bias")
-        return settle(_matched(_both(rear.join(own, key), front.join(own, key), [key, "bias"]), [key, "bias"], tolerance))
+        # Events come in as few partitions as they alone fill, but leave the join once for each bias: dealt anew, a task has what
+        # it can sort. A whole number deals them, as Spark deals by doubles once more before a window.
+        own = own.select(key, "bias", F.round(F.col("bias") * 10).cast("long").alias("_tenths"))
+        keys = [key, "_tenths", "bias"]
+        rows = _both(rear.join(own, key), front.join(own, key), keys).repartition(key, "_tenths")
+        return settle(_matched(rows, keys, tolerance).drop("_tenths"))
 
     first = tasks.groupBy(key).agg(F.max_by("bias", F.struct("most", -F.abs(F.col("bias") - preferred), -F.col("bias"))).alias("bias"))
     pairs = matched(first)
     least = first.join(pairs.groupBy(key).agg(F.count("*").alias("least")), key, "left").na.fill({"least": 0}).withColumnRenamed("bias", "_first")
-    others = tasks.join(least, key).where((F.col("bias") != F.col("_first")) & (F.col("most") >= F.col("least")))
+    others = tasks.hint("merge").join(least, key).where((F.col("bias") != F.col("_first")) & (F.col("most") >= F.col("least")))
     tried = first.select(key, "bias").unionByName(others.select(key, "bias"))
     pairs = pairs.unionByName(matched(others))
     size = F.round(F.sum(F.abs(F.col("offset") - F.col("bias"))), 6)
