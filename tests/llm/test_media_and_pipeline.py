@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +166,25 @@ def test_pipeline_without_rows(spark, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_a_crowded_bucket_is_not_compared_all_with_all(monkeypatch):
+    rnd = np.random.default_rng(7)
+    word = rnd.integers(0, 2**32, (4000, 4), dtype=np.uint32)
+    for k in range(0, 4000, 8):  # near ones: up to five bits in any of the other words, or six
+        word[k + 1] = word[k]
+        for bit in rnd.choice(96, 5 + k % 16 // 8, replace=False):
+            word[k + 1, 1 + bit // 32] ^= np.uint32(1 << bit % 32)
+    word[:, 0] = 9
+    d = np.ascontiguousarray(word).view(np.int64)
+    node = rnd.permutation(4000)
+    columns = {"key": np.full(4000, 9), "sub": np.zeros(4000, np.int64), "node": node, "of": node, "at": np.zeros(4000, np.int32), "d0": d[:, 0], "d1": d[:, 1]}
+    batch = pa.RecordBatch.from_pydict(columns)
+    want = {frozenset(node[[k, k + 1]].tolist()) for k in range(0, 4000, 16)}
+    seen, count = [], np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: (seen.append(x.size), count(x))[1])
+    links = [r for b in media._pairs_of_buckets(iter([batch]), 5) for r in b.to_pylist()]
+    assert {frozenset((r["a"], r["b"])) for r in links if r["b"] is not None} == want
+    rows = [r for b in media._linked_rows(iter([batch]), 5) for r in b.to_pylist()]
+    assert {r["node"] for r in rows} == set().union(*want)
+    assert sum(seen) < 4000 * 4000 / 10

@@ -14,10 +14,13 @@ Images are grey pixels in a binary column with width and height. Equal pixels co
    with one scale, rotation and shift (geometric consensus) link the images.
 5. Linked images form classes. What is left of each bucket is then one row for each class, in another order, and steps
    3 and 4 go on until a round brings no new link, ROUNDS times at most. So classes of n copies cost n, not n squared.
-6. At last every bucket's rows of different classes are compared, all pairs of them, whatever the bucket's size, and step 4
+6. At last the near rows of different classes in every bucket are found, all of them, whatever the bucket's size, and step 4
    settles what is new. Pairs within a class need no look, as they are one class already. Two images that one corner
    alone links are no rows on the way; see links_across().
 
+Near rows of a bucket are found without looking at all pairs: two descriptors that differ in fewer than six bits share one of
+the six times 16 bits outside their word, so rows of buckets over MANY are compared in groups that share 16 bits more.
+
 So no pair of images with two corners that share a word and lie within LINK_BITS is left out. The words are an index all the
 same: images whose corners share no word, or only one, are no candidates. Every image is indexed, and tests measure the
 classes against brute force.
@@ -58,6 +61,10 @@ SMALL = 4
 BLOCK_ROWS = 1 << 16
 SAMPLED = 64
 LISTED = 256
+MANY = 64
+PEELED = 16
+AT_ONCE = 1 << 18
+HELD_ROWS = 1 << 16
 SIDE = 80
 
 #: A corner: its place in pixels of the whole image, its level, its orientation in turns and its descriptor.
@@ -261,16 +268,120 @@ def tables(images: DataFrame) -> DataFrame:
     return images.select("node", "corners").mapInArrow(run, "key long, node long, at int, d0 long, d1 long")
 
 
-def _links_of(node: np.ndarray, d: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(first, second) places of near descriptors of different images in one bucket."""
-    left = np.arange(len(node))
-    while len(left) > 1:
-        root, left = left[0], left[1:]
-        ok = np.bitwise_count(d[left] ^ d[root]).sum(1, dtype=np.int64) <= max_bits
-        found = left[ok]
-        left = left[~ok]
-        found = found[node[found] != node[root]]
-        yield np.full(len(found), root), found
+@lru_cache(None)
+def _two_of(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.triu_indices(n, 1)
+
+
+def _all_pairs(rows: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All two of the rows of each group (rows[start : start + size]), the earlier first, some at a time."""
+    for n in np.unique(size[size > 1]).tolist():
+        first = start[size == n]
+        if n <= MANY:
+            p, q = _two_of(n)
+            step = max(1, AT_ONCE // len(p))
+            for k in range(0, len(first), step):
+                at = first[k : k + step, None]
+                yield rows[(at + p).ravel()], rows[(at + q).ravel()]
+            continue
+        step = max(1, AT_ONCE // n)
+        for s in first.tolist():
+            own = rows[s : s + n]
+            for k in range(0, n - 1, step):
+                p, q = np.nonzero(np.arange(k, min(k + step, n))[:, None] < np.arange(n)[None])
+                yield own[p + k], own[q]
+
+
+def _bits_apart(d: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of descriptors d (two rows of 64 bits)."""
+    return np.bitwise_count(d[0][i] ^ d[0][j]) + np.bitwise_count(d[1][i] ^ d[1][j])
+
+
+def _by_blocks(key: np.ndarray, bucket: np.ndarray, d: np.ndarray, rows: np.ndarray) -> Iterator[tuple]:
+    """Rows of large buckets in groups that share 16 more bits (rows, start, size), and a test that tells whether two near
+    rows of such a group share no earlier 16 bits: they are then met here first.
+
+    Outside its word a descriptor has six times 16 bits, so two that differ in fewer than six bits share one of them.
+    """
+    parts, word = np.ascontiguousarray(d.T).view(np.uint16), (key >> 32) * 2
+    for c in range(parts.shape[1]):
+        mine = rows[(word[rows] >> 1) != c >> 1]
+        if not len(mine):
+            continue
+        value = bucket[mine] << 16 | parts[mine, c]
+        by = np.argsort(value, kind="stable")
+        mine, value = mine[by], value[by]
+        start = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+
+        def first(i: np.ndarray, j: np.ndarray, c: int = c) -> np.ndarray:
+            same = (parts[i, :c] == parts[j, :c]) & ((word[i] >> 1)[:, None] != np.arange(c) >> 1)
+            return ~same.any(1)
+
+        yield mine, start, np.diff(np.append(start, len(mine))), first
+
+
+def _peeled(d: np.ndarray, s: int, n: int, max_bits: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Links of a large bucket's first rows to all near ones, as long as these take away many rows; the rows left."""
+    left, out = np.arange(s, s + n), []
+    while len(left) > MANY:
+        roots = left[:PEELED]
+        near = _bits_apart(d, roots[:, None], left[None]) <= max_bits
+        gone = np.zeros(len(left), bool)
+        for k in range(len(roots)):
+            if not gone[k]:
+                found = near[k] & ~gone
+                found[: k + 1] = False
+                gone |= found
+                out.append((np.full(int(found.sum()), roots[k]), left[found]))
+        gone[: len(roots)] = True
+        few = gone.sum() - len(roots) < len(left) // 20
+        left = left[~gone]
+        if few:
+            break
+    return out, left
+
+
+def _stars(key: np.ndarray, bucket: np.ndarray, d: np.ndarray, start: np.ndarray, size: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, second) places: in each bucket the first row with all near ones, then the first of those left, and so on."""
+    out, near, rest = [], [], []
+
+    def kept(i: np.ndarray, j: np.ndarray, first=None) -> None:
+        ok = _bits_apart(d, i, j) <= max_bits
+        i, j = i[ok], j[ok]
+        if first is not None:
+            ok = first(i, j)
+            i, j = i[ok], j[ok]
+        near.append((i, j))
+
+    large = size > MANY
+    for i, j in _all_pairs(np.arange(len(key)), start[~large], size[~large]):
+        kept(i, j)
+    for s, n in zip(start[large].tolist(), size[large].tolist(), strict=True):
+        links, left = _peeled(d, s, n, max_bits)
+        out += links
+        rest.append(left)
+    if rest:
+        rest = np.concatenate(rest)
+        if max_bits < 6:
+            groups = _by_blocks(key, bucket, d, rest)
+        else:
+            at = np.flatnonzero(np.concatenate([[True], bucket[rest][1:] != bucket[rest][:-1]])) if len(rest) else np.empty(0, np.int64)
+            groups = [(rest, at, np.diff(np.append(at, len(rest))), None)]
+        for rows, at, many, first in groups:
+            for i, j in _all_pairs(rows, at, many):
+                kept(i, j, first)
+    if near:
+        i, j = (np.concatenate(x) for x in zip(*near, strict=True))
+        by = np.lexsort((j, i))
+        gone, links = bytearray(len(key)), []
+        for k, a, b in zip(by.tolist(), i[by].tolist(), j[by].tolist(), strict=True):
+            if not (gone[a] or gone[b]):
+                gone[b] = 1
+                links.append(k)
+        out.append((i[links], j[links]))
+    if not out:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True))
 
 
 def _pairs_of_buckets(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
@@ -278,27 +389,22 @@ def _pairs_of_buckets(batches: Iterator[pa.RecordBatch], max_bits: int) -> Itera
 
     A bucket in which not all pairs were looked at is named by its key in a and a null b.
     """
-    held: list[pa.RecordBatch] = []
-
     def close(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows)
         key, sub, node, at, d0, d1 = (t.column(c).to_numpy() for c in ("key", "sub", "node", "at", "d0", "d1"))
-        d = np.stack([d0, d1], 1).view(np.uint64)
-        start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])]))
+        d = np.stack([d0, d1]).view(np.uint64)
+        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])])
+        start, bucket = np.flatnonzero(fresh), np.cumsum(fresh)
         size = np.diff(np.append(start, len(key)))
         i, j = [], []
-        for n in range(2, SMALL + 1):  # all pairs of small buckets
-            for p, q in zip(*np.triu_indices(n, 1), strict=True):
-                i.append(start[size == n] + p)
-                j.append(start[size == n] + q)
-        i, j = np.concatenate(i), np.concatenate(j)
-        ok = (node[i] != node[j]) & (np.bitwise_count(d[i] ^ d[j]).sum(1, dtype=np.int64) <= max_bits)
-        i, j = [i[ok]], [j[ok]]
-        for s, n in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-            for p, q in _links_of(node[s : s + n], d[s : s + n], max_bits):
-                i.append(s + p)
-                j.append(s + q)
-        i, j = np.concatenate(i), np.concatenate(j)
+        for p, q in _all_pairs(np.arange(len(key)), start[size <= SMALL], size[size <= SMALL]):  # all pairs of small buckets
+            ok = _bits_apart(d, p, q) <= max_bits
+            i.append(p[ok])
+            j.append(q[ok])
+        p, q = _stars(key, bucket, d, start[size > SMALL], size[size > SMALL], max_bits)
+        i, j = np.concatenate([*i, p]), np.concatenate([*j, q])
+        apart = node[i] != node[j]
+        i, j = i[apart], j[apart]
         low, high = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
         a, b, mask = node[low], node[high], np.left_shift(np.uint64(1), (at[high] % 64).astype(np.uint64))
         by = np.lexsort((b, a))
@@ -310,22 +416,7 @@ def _pairs_of_buckets(batches: Iterator[pa.RecordBatch], max_bits: int) -> Itera
         cols = [np.concatenate([a, open_keys]), pa.concat_arrays([pa.array(b), pa.nulls(len(open_keys), pa.int64())]), np.concatenate([mask.view(np.int64), np.full(len(open_keys), -1)])]
         return pa.RecordBatch.from_arrays([pa.array(cols[0]), cols[1], pa.array(cols[2])], names=["a", "b", "mask"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        k, s = (batch.column(c).to_numpy() for c in ("key", "sub"))
-        last = held[-1].slice(held[-1].num_rows - 1) if held else None
-        ends = np.flatnonzero((k[1:] != k[:-1]) | (s[1:] != s[:-1])) + 1
-        if last is not None and (last.column("key")[0].as_py() != k[0] or last.column("sub")[0].as_py() != s[0]):
-            yield close(held)
-            held = []
-        if len(ends):
-            yield close([*held, batch.slice(0, int(ends[-1]))])
-            held = [batch.slice(int(ends[-1]))]
-        else:
-            held.append(batch)
-    if held:
-        yield close(held)
+    return _by_buckets(batches, lambda rows: [close(rows)])
 
 
 def one_of_each_class(rows: DataFrame, labels: DataFrame, round_no: int) -> DataFrame:
@@ -354,26 +445,43 @@ def candidates(rows: DataFrame, round_no: int = 0, link_bits: int = LINK_BITS, b
 def _links_across(t: pa.Table, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of all two near descriptors of different classes (of) in each bucket of t, which has whole buckets."""
     key, sub, of, d0, d1 = (t.column(c).to_numpy() for c in ("key", "sub", "of", "d0", "d1"))
-    d = np.stack([d0, d1], 1).view(np.uint64)
-    start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])]))
+    d = np.stack([d0, d1]).view(np.uint64)
+    fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])])
+    start, bucket = np.flatnonzero(fresh), np.cumsum(fresh)
     size = np.diff(np.append(start, len(key)))
-    mixed = np.minimum.reduceat(of, start) != np.maximum.reduceat(of, start)
-
-    def found(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
-        ok = (of[i] != of[j]) & (np.bitwise_count(d[i] ^ d[j]).sum(-1, dtype=np.int64) <= max_bits)
-        return tuple(np.broadcast_to(x, ok.shape)[ok] for x in (i, j))
 
-    for n in range(2, SMALL + 1):
-        first = start[mixed & (size == n)]
-        for p, q in zip(*np.triu_indices(n, 1), strict=True):
-            yield found(first + p, first + q)
-    for s, n in zip(start[mixed & (size > SMALL)].tolist(), size[mixed & (size > SMALL)].tolist(), strict=True):
-        # all but the bucket's largest class, each against the whole bucket
-        _, which, many = np.unique(of[s : s + n], return_inverse=True, return_counts=True)
-        rest = s + np.flatnonzero(which != many.argmax())
-        step = max(1, (1 << 20) // n)
-        for k in range(0, len(rest), step):
-            yield found(rest[k : k + step, None], s + np.arange(n)[None])
+    def linked(rows: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        mixed = np.minimum.reduceat(of[rows], start) != np.maximum.reduceat(of[rows], start)
+        few = mixed & (size <= MANY)
+        for i, j in _all_pairs(rows, start[few], size[few]):
+            ok = (of[i] != of[j]) & (_bits_apart(d, i, j) <= max_bits)
+            yield i[ok], j[ok]
+        for s, n in zip(start[mixed & ~few].tolist(), size[mixed & ~few].tolist(), strict=True):
+            # all but the group's largest class, each against the whole group
+            own = rows[s : s + n]
+            _, which, many = np.unique(of[own], return_inverse=True, return_counts=True)
+            rest = own[which != many.argmax()]
+            step = max(1, AT_ONCE // n)
+            for k in range(0, len(rest), step):
+                i = rest[k : k + step]
+                p, q = np.nonzero((of[i][:, None] != of[own]) & (_bits_apart(d, i[:, None], own[None]) <= max_bits))
+                yield i[p], own[q]
+
+    rows, large = np.arange(len(key)), (size > MANY) & (max_bits < 6)
+    if not large.all():
+        yield from linked(rows, start[~large], size[~large]) if not large.any() else linked(*_whole(rows, start[~large], size[~large]))
+    if large.any():
+        mixed = np.minimum.reduceat(of, start) != np.maximum.reduceat(of, start)
+        for own, at, many, first in _by_blocks(key, bucket, d, rows[np.repeat(large & mixed, size)]):
+            for i, j in linked(own, at, many):
+                ok = first(i, j)
+                yield i[ok], j[ok]
+
+
+def _whole(rows: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """These groups alone, one after another."""
+    ends = np.cumsum(size)
+    return rows[np.repeat(start - (ends - size), size) + np.arange(ends[-1])], ends - size, size
 
 
 def _linked_rows(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
@@ -435,7 +543,7 @@ def _pairs_across(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[
         if out:
             yield settled(out)
 
-    return _by_buckets(batches, close)
+    return _by_buckets(batches, close, 1)  # rows are long
 
 
 def _once(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
@@ -448,16 +556,19 @@ def _once(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(mask)], names=["a", "b", "mask"])
 
 
-def _by_buckets(batches: Iterator[pa.RecordBatch], close) -> Iterator[pa.RecordBatch]:
-    """close() of runs of whole buckets."""
+def _by_buckets(batches: Iterator[pa.RecordBatch], close, least: int = HELD_ROWS) -> Iterator[pa.RecordBatch]:
+    """close() of runs of whole buckets, of so many rows or more but for the last."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
+        if sum(b.num_rows for b in held) < least:
+            held.append(batch)
+            continue
         k, s = (batch.column(c).to_numpy() for c in ("key", "sub"))
-        last = held[-1].slice(held[-1].num_rows - 1) if held else None
+        last = held[-1].slice(held[-1].num_rows - 1)
         ends = np.flatnonzero((k[1:] != k[:-1]) | (s[1:] != s[:-1])) + 1
-        if last is not None and (last.column("key")[0].as_py() != k[0] or last.column("sub")[0].as_py() != s[0]):
+        if last.column("key")[0].as_py() != k[0] or last.column("sub")[0].as_py() != s[0]:
             yield from close(held)
             held = []
         if len(ends):
